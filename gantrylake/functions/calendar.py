@@ -42,10 +42,14 @@ def day_window(year: int, month: int, day_start: int = 1, day_end: int = 31) ->
 
 
 def in_day_window(ts: Column, year: int, month: int, day_start: int = 1, day_end: int = 31) -> Column:
-    """One range comparison, so that a typed source can push it into its scan."""
+    """One range test, which a typed source pushes into its scan.
+
+    ``between`` evaluates its argument once; two comparisons would parse a text time twice.
+    """
     lower, upper = day_window(year, month, day_start, day_end)
-    bound = lambda at: F.lit(at.isoformat(sep=" ")).cast("timestamp_ntz")
-    return (ts >= bound(lower)) & (ts < bound(upper))
+    last = upper - dt.timedelta(microseconds=1)
+    bounds = [F.lit(at.isoformat(sep=" ", timespec="microseconds")).cast("timestamp_ntz") for at in (lower, last)]
+    return F.call_function("between", ts, *bounds)
 
 
 def hour_bit(hour: Column) -> Column:

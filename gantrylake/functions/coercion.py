@@ -13,20 +13,25 @@ from gantrylake.functions.text import strip
 
 # --- fixed values: accepted text forms ---------------------------------------------------
 NUMBER_PATTERN = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+WHOLE_PATTERN = r"^([+-]?[0-9]+)(?:\.0+)?$"
 CLOCK_PATTERN = r"^[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2}"
 
 
 def to_number(text: Column) -> Column:
     """A decimal number, NULL where the text is anything else."""
     bare = strip(text)
-    value = F.when(bare.rlike(NUMBER_PATTERN), bare.try_cast("double"))
-    return F.when(F.abs(value) < F.lit(float("inf")), value)
+    return F.when(bare.rlike(NUMBER_PATTERN), bare.try_cast("double"))
 
 
 def to_whole_number(text: Column) -> Column:
-    """An integer code; ``31`` and ``31.0`` are the same code, ``31.5`` is none."""
-    value = to_number(text)
-    return F.when(value == F.floor(value), value.try_cast("int"))
+    """An integer code; ``31`` and ``31.0`` are the same code, ``31.5`` is none.
+
+    Nearly every value is plain digits, which the integer cast settles. What it refuses goes
+    through a decimal, whose cast takes ``31.0`` and ``3.1e1`` but neither ``31d`` nor ``NaN``.
+    """
+    bare = strip(text)
+    decimal = bare.try_cast("decimal(38,18)").cast("string")
+    return F.coalesce(bare.try_cast("int"), F.regexp_extract(decimal, WHOLE_PATTERN, 1).try_cast("int"))
 
 
 def to_wall_clock(text: Column) -> Column:

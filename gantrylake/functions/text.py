@@ -14,18 +14,27 @@ WHITESPACE = (
     "           "
     "    　"
 )
+FIELD_BLANKS = " \t\n\r\x0b\x0c"
 WHITESPACE_CLASS = r"[\t-\r\x1c-\x20\x85\p{Z}]"
 FENCE_PATTERN = r"```[\p{L}\p{N}_]*\n?"
 LEAD_INS = ["好的，以下是", "好的，", "以下是", "當然可以", "沒問題，"]
 
 
-def strip(text: Column) -> Column:
-    """Remove white space of any kind from both ends (Spark's plain trim removes blanks only)."""
+def strip(field: Column) -> Column:
+    """Remove blanks, tabs and line ends around a field (Spark's plain trim removes blanks only).
+
+    The short ASCII set matters: the trimming loop searches it for every outer character.
+    """
+    return F.btrim(field, F.lit(FIELD_BLANKS))
+
+
+def strip_prose(text: Column) -> Column:
+    """Remove white space of any kind, the wide and typographic ones too, from both ends."""
     return F.btrim(text, F.lit(WHITESPACE))
 
 
-def blank_to_null(text: Column) -> Column:
-    return F.nullif(strip(text), F.lit(""))
+def blank_to_null(field: Column) -> Column:
+    return F.nullif(strip(field), F.lit(""))
 
 
 def collapse_spaces(text: Column) -> Column:
@@ -40,13 +49,13 @@ def drop_trailing_number(text: Column) -> Column:
 
 def tidy_label(text: Column) -> Column:
     """The form a name has after extraction: one-line, no page number, no outer blanks."""
-    return strip(drop_trailing_number(strip(collapse_spaces(text))))
+    return strip_prose(drop_trailing_number(strip_prose(collapse_spaces(text))))
 
 
 def drop_lead_in(text: Column, phrases: Sequence[str] = LEAD_INS) -> Column:
     """Remove the first listed phrase the text opens with, and the white space behind it."""
     opening = "|".join(re.escape(phrase) for phrase in phrases)
-    return F.regexp_replace(strip(text), f"^(?:{opening}){WHITESPACE_CLASS}*", "")
+    return F.regexp_replace(strip_prose(text), f"^(?:{opening}){WHITESPACE_CLASS}*", "")
 
 
 def drop_fences(text: Column) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,19 +15,16 @@ TRIP_TIME = "trip_time"
 
 
 def coerce_trips(raw: DataFrame) -> DataFrame:
-    """Typed fields under their own names; a field that does not parse is NULL.
-
-    The fields later filters test come out of a one-element ``inline``. Filters do not move below
-    a generator, so each pattern match and cast runs once per row instead of once per test.
-    """
-    tested = F.struct(
-        to_whole_number(F.col("VehicleType")).alias("VehicleType"),
-        to_wall_clock(F.col("DetectionTime_O")).alias(TRIP_TIME),
-        blank_to_null(F.col("GantryID_O")).alias("GantryID_O"),
-        blank_to_null(F.col("GantryID_D")).alias("GantryID_D"),
+    """Typed fields under their own names; a field that does not parse is NULL."""
+    return raw.withColumns(
+        {
+            "VehicleType": to_whole_number(F.col("VehicleType")),
+            "TripLength": to_number(F.col("TripLength")),
+            TRIP_TIME: to_wall_clock(F.col("DetectionTime_O")),
+            "GantryID_O": blank_to_null(F.col("GantryID_O")),
+            "GantryID_D": blank_to_null(F.col("GantryID_D")),
+        }
     )
-    others = [c for c in raw.columns if c not in ("VehicleType", "GantryID_O", "GantryID_D", "TripLength")]
-    return raw.select(*others, to_number(F.col("TripLength")).alias("TripLength"), F.inline(F.array(tested)))
 
 
 def reject_reason() -> Column:
@@ -44,11 +41,14 @@ def in_list(gantry: Column, gantries: Sequence[str]) -> Column:
     return F.coalesce(gantry.isin(list(gantries)), F.lit(False))
 
 
-def touches(gantries: Sequence[str]) -> Column:
-    """Origin or destination is listed; an empty list keeps everything."""
+def touches(gantries: Sequence[str], of: Callable[[Column], Column] = lambda gantry: gantry) -> Column:
+    """Origin or destination is listed; an empty list keeps everything.
+
+    ``of`` prepares the id, for rows that are still raw.
+    """
     if not gantries:
         return F.lit(True)
-    return in_list(F.col("GantryID_O"), gantries) | in_list(F.col("GantryID_D"), gantries)
+    return in_list(of(F.col("GantryID_O")), gantries) | in_list(of(F.col("GantryID_D")), gantries)
 
 
 def target_gantry(gantries: Sequence[str]) -> Column:
@@ -65,11 +65,16 @@ def keep_condition(
     day_start: int = 1,
     day_end: int = 31,
 ) -> Column:
-    """True for coerced rows the cleaning keeps, never NULL."""
-    sound = reject_reason().isNull()
-    if year is not None and month is not None:
-        sound = sound & in_day_window(F.col(TRIP_TIME), year, month, day_start, day_end)
-    return F.coalesce(sound & touches(gantries), F.lit(False))
+    """True for coerced rows the cleaning keeps, never NULL.
+
+    Tests run in this order and stop at the first that fails: the id lists reject most rows at the
+    price of a trim, so times and codes are parsed for few.
+    """
+    time = F.col(TRIP_TIME)
+    bounded = year is not None and month is not None
+    in_time = in_day_window(time, year, month, day_start, day_end) if bounded else time.isNotNull()
+    kept = touches(gantries) & F.col("GantryID_O").isNotNull() & in_time & F.col("VehicleType").isNotNull()
+    return F.coalesce(kept, F.lit(False))
 
 
 def add_calendar(trips: DataFrame, time: str = TRIP_TIME) -> DataFrame:

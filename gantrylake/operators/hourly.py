@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gantrylake.functions.calendar import month_key, week_of_month
-from gantrylake.operators.clean import add_calendar, clean_trips, coerce_trips, keep_condition, target_gantry
+from gantrylake.functions.text import blank_to_null
+from gantrylake.operators.clean import add_calendar, coerce_trips, keep_condition, target_gantry, touches
 from gantrylake.schemas import HOURLY_CSV_COLUMNS, HOURLY_KEYS, LAKE_COLUMNS, PARTITION_KEY
 
 
@@ -17,17 +17,28 @@ def count_hourly(cleaned: DataFrame, keys: Sequence[str] = HOURLY_KEYS) -> DataF
     """One row per key with its number of trips.
 
     The map side counts first, so a gantry that holds a third of all trips sends one row per
-    hour and type out of each task. Rows with a NULL key belong to no group and are dropped.
+    hour and type out of each task.
     """
-    attributed = cleaned.withColumn("GantryID_O", F.col("TargetGantry")).dropna(subset=list(keys))
-    return attributed.groupBy(*keys).agg(F.count(F.lit(1)).alias("counts"))
+    return _count_keyed(cleaned.withColumn("GantryID_O", F.col("TargetGantry")), keys)
+
+
+def _count_keyed(trips: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Count per key; rows with a NULL key belong to no group.
+
+    They are left out by what was counted, not by a filter on the keys: that filter would move
+    below the aggregate and parse every time field again for each key derived from it.
+    """
+    counted = F.call_function("count", *[F.col(k) for k in keys])
+    return trips.groupBy(*keys).agg(counted.alias("counts")).where("counts > 0")
 
 
 def merge_hourly(parts: DataFrame, *more: DataFrame, keys: Sequence[str] = HOURLY_KEYS) -> DataFrame:
     """Add up partial counts. Order and split of the parts do not matter."""
     for part in more:
         parts = parts.unionByName(part)
-    return parts.dropna(subset=list(keys)).groupBy(*keys).agg(F.sum("counts").alias("counts"))
+    whole = F.call_function("count", *[F.col(k) for k in keys])
+    merged = parts.groupBy(*keys).agg(F.sum("counts").alias("counts"), whole.alias("whole"))
+    return merged.where("whole > 0").drop("whole")
 
 
 def add_week_index(hourly: DataFrame) -> DataFrame:
@@ -55,6 +66,22 @@ def to_text_layout(lake_rows: DataFrame) -> DataFrame:
     return lake_rows.withColumnsRenamed(dict(zip(LAKE_COLUMNS, HOURLY_CSV_COLUMNS))).select(*HOURLY_CSV_COLUMNS)
 
 
+def keyed_trips(
+    raw: DataFrame,
+    gantries: Sequence[str],
+    year: int | None = None,
+    month: int | None = None,
+    day_start: int = 1,
+    day_end: int = 31,
+) -> DataFrame:
+    """Raw rows with the verdict of the cleaning and, where it keeps a row, the hourly key."""
+    kept = keep_condition(gantries, year, month, day_start, day_end)
+    trips = add_calendar(coerce_trips(raw).withColumn("kept", kept)).withColumn(
+        "GantryID_O", target_gantry(gantries)
+    )
+    return trips.withColumns({c: F.when(F.col("kept"), F.col(c)) for c in HOURLY_KEYS})
+
+
 def hourly_counts(
     raw: DataFrame,
     gantries: Sequence[str],
@@ -63,9 +90,14 @@ def hourly_counts(
     day_start: int = 1,
     day_end: int = 31,
 ) -> DataFrame:
-    """Raw trips to lake rows: one scan, one exchange of already counted rows."""
-    cleaned = clean_trips(raw, gantries, year, month, day_start, day_end)
-    return to_lake_rows(add_week_index(count_hourly(cleaned)))
+    """Raw trips to lake rows: one scan, one exchange of already counted rows.
+
+    Rows touching no listed gantry leave by a filter on two trimmed ids; only the rest has its
+    time and codes parsed, in a projection, where each is evaluated once.
+    """
+    near = raw.where(touches(gantries, blank_to_null))
+    keyed = keyed_trips(near, gantries, year, month, day_start, day_end)
+    return to_lake_rows(add_week_index(_count_keyed(keyed, HOURLY_KEYS)))
 
 
 def tally_trips(
@@ -77,32 +109,27 @@ def tally_trips(
     day_end: int = 31,
     file_column: str = "file_name",
 ) -> DataFrame:
-    """Everything one pass over the raw rows can tell: row counts per file, verdict and hourly key.
+    """Everything one pass over the raw rows can tell: scanned and cleaned rows per file and key.
 
     Rows the cleaning drops share a NULL key. The hourly table, the run counters and the retained
     share all follow from this small table, so the raw files are read once.
     """
-    trips = coerce_trips(raw).withColumn("kept", keep_condition(gantries, year, month, day_start, day_end))
-    dated = add_calendar(trips).withColumn("GantryID_O", target_gantry(gantries))
-    keys = [F.when(F.col("kept"), F.col(c)).alias(c) for c in HOURLY_KEYS]
-    return (
-        dated.select(file_column, "kept", *keys)
-        .groupBy(file_column, "kept", *HOURLY_KEYS)
-        .agg(F.count(F.lit(1)).alias("counts"))
+    keyed = keyed_trips(raw, gantries, year, month, day_start, day_end)
+    return keyed.groupBy(file_column, *HOURLY_KEYS).agg(
+        F.count(F.lit(1)).alias("scanned"), F.count_if("kept").alias("cleaned")
     )
 
 
 def hourly_from_tally(tally: DataFrame) -> DataFrame:
-    return merge_hourly(tally.where("kept"))
+    return merge_hourly(tally.withColumnRenamed("cleaned", "counts"))
 
 
-def counters_from_tally(tally: DataFrame, file_column: str) -> DataFrame:
+def counters_from_tally(tally: DataFrame, file_column: str = "file_name") -> DataFrame:
     """One row: scanned and cleaned rows, hourly rows, files."""
-    key = F.struct(*HOURLY_KEYS)
-    whole_key = reduce(lambda a, b: a & b, (F.col(c).isNotNull() for c in HOURLY_KEYS))
+    total = lambda column: F.coalesce(F.sum(column), F.lit(0))
     return tally.agg(
-        F.coalesce(F.sum("counts"), F.lit(0)).alias("scanned_rows"),
-        F.coalesce(F.sum(F.when(F.col("kept"), F.col("counts"))), F.lit(0)).alias("cleaned_rows"),
-        F.countDistinct(F.when(whole_key, key)).alias("hourly_rows"),
+        total("scanned").alias("scanned_rows"),
+        total("cleaned").alias("cleaned_rows"),
+        F.countDistinct(*HOURLY_KEYS).alias("hourly_rows"),
         F.countDistinct(file_column).alias("file_count"),
     )

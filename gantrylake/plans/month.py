@@ -62,7 +62,7 @@ def run_month(spark: SparkSession, run: MonthRun) -> DataFrame:
             fresh_path(spark, "tally"),
         )
         write_lake(to_lake_rows(add_week_index(hourly_from_tally(tally))), run.lake_path)
-        counters = counters_from_tally(tally, "file_name")
+        counters = counters_from_tally(tally)
         append_counters(counters, run.record_path, run.job_id)
     except Exception as error:
         append_record(spark, run.record_path, run.job_id, "error", str(error)[:2000])

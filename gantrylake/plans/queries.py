@@ -107,7 +107,7 @@ def quarantine_rows(spark, sf):
 @query
 def run_summary(spark, sf):
     tally = hourly.tally_trips(fx.trips(spark, sf), fx.TARGETS, fx.YEAR, fx.MONTH)
-    return quality.run_summary(hourly.counters_from_tally(tally, "file_name"))
+    return quality.run_summary(hourly.counters_from_tally(tally))
 
 
 @query
