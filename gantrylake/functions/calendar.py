@@ -55,3 +55,17 @@ def in_day_window(ts: Column, year: int, month: int, day_start: int = 1, day_end
 def hour_bit(hour: Column) -> Column:
     """Bit ``hour`` of an integer: a day's hours fit into one 24-bit mask."""
     return F.call_function("shiftleft", F.lit(1), hour)
+
+
+def wall_clock_instant(ts: Column) -> Column:
+    """The instant at which clocks in UTC show this wall clock: watermarks need instants."""
+    return F.timestamp_micros(F.timestamp_diff("MICROSECOND", _epoch(), ts))
+
+
+def instant_wall_clock(at: Column) -> Column:
+    """Inverse of :func:`wall_clock_instant`, whatever the session zone."""
+    return _epoch() + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.unix_seconds(at).cast("decimal(18,6)"))
+
+
+def _epoch() -> Column:
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.query import StreamingQuery
 
-from gantrylake.functions.calendar import clock_text
+from gantrylake.functions.calendar import clock_text, instant_wall_clock, wall_clock_instant
 from gantrylake.operators.clean import TRIP_TIME, clean_trips, coerce_trips, quarantine, reject_reason
 from gantrylake.operators.hourly import count_hourly, merge_hourly
 from gantrylake.schemas import HOURLY_COLUMNS
@@ -82,14 +82,16 @@ def hourly_windows(raw: DataFrame, late_by: str | None = None) -> DataFrame:
     hour stays open, which a batch always has.
     """
     trips = coerce_trips(raw).where(reject_reason().isNull())
+    time = F.col(TRIP_TIME)
     if late_by is not None:
-        trips = trips.withWatermark(TRIP_TIME, late_by)
+        trips = trips.withColumn(TRIP_TIME, wall_clock_instant(time)).withWatermark(TRIP_TIME, late_by)
     counted = trips.groupBy(F.window(TRIP_TIME, "1 hour").alias("hour"), "VehicleType").agg(
         F.count(F.lit(1)).alias("trips")
     )
+    shown = (lambda at: clock_text(instant_wall_clock(at))) if late_by is not None else clock_text
     return counted.select(
-        clock_text(F.col("hour.start")).alias("window_start"),
-        clock_text(F.col("hour.end")).alias("window_end"),
+        shown(F.col("hour.start")).alias("window_start"),
+        shown(F.col("hour.end")).alias("window_end"),
         F.col("VehicleType").alias("vehicle_type"),
         "trips",
     )
