@@ -7,12 +7,12 @@ from collections.abc import Mapping
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from gantrylake.functions.literals import literal_map
 from gantrylake.schemas import VEHICLE_LABELS, WEEKDAY_LABELS
 
 
 def label(code: Column, labels: Mapping[int | str, str], default: Column) -> Column:
-    pairs = [F.lit(part) for item in labels.items() for part in item]
-    return F.coalesce(F.try_element_at(F.create_map(*pairs), code), default)
+    return F.coalesce(F.try_element_at(literal_map(labels), code), default)
 
 
 def vehicle_label(code: Column) -> Column:

@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gantrylake.functions.literals import literal_map
 from gantrylake.functions.text import WHITESPACE_CLASS, strip, tidy_label
 from gantrylake.schemas import GANTRY_ID_PATTERN
 
@@ -82,18 +83,16 @@ def both_directions(bases: DataFrame, base: str = "base_id") -> DataFrame:
 
 
 def extract_entries(documents: DataFrame, text: str, order: Sequence[str]) -> DataFrame:
-    """All ``id name`` entries of a text with their position, names tidied.
-
-    The text is searched once; both parts are then taken from the short match.
-    """
+    """All ``id name`` entries of a text with their position; the text is searched once."""
     found = F.regexp_extract_all(F.col(text), F.lit(ENTRY_PATTERN), F.lit(0))
-    matches = documents.select(*order, F.posexplode(found).alias("entry_pos", "match"))
-    return matches.select(
-        *order,
-        "entry_pos",
-        F.regexp_extract("match", ENTRY_PATTERN, 1).alias("gantry_id"),
-        tidy_label(F.regexp_extract("match", ENTRY_PATTERN, 2)).alias("section"),
-    )
+    matches = documents.select(*order, F.posexplode(found).alias("entry_pos", "entry"))
+    return matches.withColumn("gantry_id", F.regexp_extract("entry", f"^{GANTRY_ID_PATTERN}", 0))
+
+
+def entry_names(entries: DataFrame) -> DataFrame:
+    """The entry text replaced by the tidied name in it. Cheapest after :func:`first_seen`."""
+    section = tidy_label(F.regexp_extract("entry", ENTRY_PATTERN, 2))
+    return entries.withColumn("section", section).drop("entry")
 
 
 def first_seen(entries: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
@@ -134,8 +133,7 @@ def join_chunks(chunks: Column) -> Column:
 
 def enrich_with_labels(table: DataFrame, labels: Mapping[str, str], key: str, name: str) -> DataFrame:
     """A label column from a small fixed mapping; an unknown key shows itself."""
-    pairs = [F.lit(part) for item in labels.items() for part in item]
-    return table.withColumn(name, F.coalesce(F.try_element_at(F.create_map(*pairs), F.col(key)), F.col(key)))
+    return table.withColumn(name, F.coalesce(F.try_element_at(literal_map(labels), F.col(key)), F.col(key)))
 
 
 def clean_id(text: Column) -> Column:

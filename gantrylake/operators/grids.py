@@ -7,70 +7,75 @@ table and a join against it are not needed.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gantrylake.functions.literals import literal, name
+from gantrylake.schemas import HOURS, WEEKDAYS
 
-def cell_sum(axis: str, value: object, measure: str = "counts") -> Column:
-    """Sum of the measure where the axis has this value, NULL where no row does."""
-    return F.sum(F.when(F.col(axis) == F.lit(value), F.col(measure)))
+
+def cell_sum(axis: str, value: int | str, measure: str = "counts") -> str:
+    """SQL: sum of the measure where the axis has this value, NULL where no row does."""
+    return f"sum(CASE WHEN {name(axis)} = {literal(value)} THEN {name(measure)} END)"
+
+
+def cells(rows: Iterable[Mapping[str, str]]) -> Column:
+    """An array with one struct per row of the grid, each field a SQL expression."""
+    structs = ["struct(" + ", ".join(f"{sql} AS {name(n)}" for n, sql in row.items()) + ")" for row in rows]
+    return F.expr(f"array({', '.join(structs)})").alias("cells")
 
 
 def pivot_sums(
     table: DataFrame,
     keys: Sequence[str],
     axis: str,
-    values: Iterable[object],
+    values: Iterable[int | str],
     names: Sequence[str],
     measure: str = "counts",
 ) -> DataFrame:
     """One column per listed value, in the listed order, 0 where nothing was counted."""
-    cells = [F.coalesce(cell_sum(axis, v, measure), F.lit(0)).alias(n) for v, n in zip(values, names)]
-    return table.groupBy(*keys).agg(*cells)
+    sums = [F.expr(f"coalesce({cell_sum(axis, v, measure)}, 0) AS {name(n)}") for v, n in zip(values, names)]
+    return table.groupBy(*keys).agg(*sums)
 
 
 def dense_axis(
     table: DataFrame,
     keys: Sequence[str],
     axis: str,
-    values: Sequence[int],
+    values: Iterable[int],
     measure: str = "counts",
     result: str = "counts",
 ) -> DataFrame:
     """One row per key and axis value; values that never occur count 0."""
-    cells = [F.struct(F.lit(v).alias(axis), F.coalesce(cell_sum(axis, v, measure), F.lit(0)).alias(result)) for v in values]
-    return table.groupBy(*keys).agg(F.array(*cells).alias("cells")).select(*keys, F.inline("cells"))
+    grid = cells({axis: literal(v), result: f"coalesce({cell_sum(axis, v, measure)}, 0)"} for v in values)
+    return table.groupBy(*keys).agg(grid).select(*keys, F.inline("cells"))
 
 
 def dense_pivot(
     table: DataFrame,
     keys: Sequence[str],
     rows: str,
-    row_values: Sequence[int],
+    row_values: Iterable[int],
     columns: str,
-    column_values: Sequence[object],
+    column_values: Sequence[int | str],
     names: Sequence[str],
     measure: str = "counts",
 ) -> DataFrame:
     """Pivot with every listed row and column present, 0 in empty cells."""
-    cell = lambda r, c: F.sum(
-        F.when((F.col(rows) == F.lit(r)) & (F.col(columns) == F.lit(c)), F.col(measure))
-    )
-    lines = [
-        F.struct(
-            F.lit(r).alias(rows),
-            *[F.coalesce(cell(r, c), F.lit(0)).alias(n) for c, n in zip(column_values, names)],
-        )
-        for r in row_values
-    ]
-    return table.groupBy(*keys).agg(F.array(*lines).alias("cells")).select(*keys, F.inline("cells"))
+
+    def cell(row: int, column: int | str) -> str:
+        hit = f"{name(rows)} = {literal(row)} AND {name(columns)} = {literal(column)}"
+        return f"coalesce(sum(CASE WHEN {hit} THEN {name(measure)} END), 0)"
+
+    grid = cells({rows: literal(r), **{n: cell(r, c) for c, n in zip(column_values, names)}} for r in row_values)
+    return table.groupBy(*keys).agg(grid).select(*keys, F.inline("cells"))
 
 
 def hour_grid(hourly: DataFrame, keys: Sequence[str] = ("gantry_id_o", "year", "month", "day")) -> DataFrame:
     """24 hours for every gantry and day that has data."""
-    return dense_axis(hourly, list(keys), "hour_0", list(range(24)))
+    return dense_axis(hourly, list(keys), "hour_0", HOURS)
 
 
 def hour_day_pivot(hourly: DataFrame) -> DataFrame:
@@ -87,7 +92,7 @@ def hour_day_pivot(hourly: DataFrame) -> DataFrame:
 def weekday_vehicle_totals(hourly: DataFrame, codes: Sequence[int]) -> DataFrame:
     """Weekdays down, vehicle types across, total counts, per gantry."""
     return dense_pivot(
-        hourly, ["gantry_id_o"], "weekday", list(range(1, 8)), "vehicle_type", codes, [f"vt_{c}" for c in codes]
+        hourly, ["gantry_id_o"], "weekday", WEEKDAYS, "vehicle_type", codes, [f"vt_{c}" for c in codes]
     )
 
 

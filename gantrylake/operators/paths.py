@@ -1,53 +1,51 @@
 """Trip paths, origin-destination pairs and the holiday calendar.
 
-A path is ``gantry;time`` stops joined by ``|``. It is one row's own array, so order and neighbours
-come from array functions and nothing is shuffled.
+A path is ``gantry;time`` stops joined by ``|``. It lies in one row, so order and neighbours need no
+shuffle.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gantrylake.functions.calendar import clock_text
 from gantrylake.functions.coercion import to_wall_clock
 
 
-def path_stops(path: Column) -> Column:
-    """Array of structs (gantry, passed) in travel order."""
-    parts = F.filter(F.split(path, r"\|"), lambda p: p != "")
-    return F.transform(
-        parts,
-        lambda p: F.struct(
-            F.trim(F.substring_index(p, ";", 1)).alias("gantry"),
-            to_wall_clock(F.substring_index(p, ";", -1)).alias("passed"),
-        ),
-    )
-
-
 def strict_crossing(trips: DataFrame, entry: str, exit: str, path: str = "TripInformation") -> DataFrame:
-    """Trips whose path passes the entry gantry and later the exit gantry."""
-    gantries = F.transform(F.split(path, r"\|"), lambda p: F.trim(F.substring_index(p, ";", 1)))
-    first_entry = F.array_position(gantries, entry)
-    last_exit = F.size(gantries) + 1 - F.array_position(F.reverse(gantries), exit)
-    passes_both = F.array_contains(gantries, entry) & F.array_contains(gantries, exit)
-    return trips.where(passes_both & (first_entry < last_exit))
+    """Trips whose path passes the entry gantry and later the exit gantry.
+
+    A stop opens with its gantry between ``|`` and ``;``, so two text searches decide.
+    """
+    stops = F.concat(F.lit("|"), F.replace(F.col(path), F.lit(" "), F.lit("")))
+    first_entry = F.instr(stops, f"|{entry};")
+    later_exit = F.call_function("locate", F.lit(f"|{exit};"), stops, first_entry + 1)
+    return trips.where((first_entry > 0) & (later_exit > 0))
 
 
 def path_segments(trips: DataFrame, keys: list[str], path: str = "TripInformation") -> DataFrame:
-    """One row per pair of neighbouring stops with the seconds between them."""
-    stops = trips.select(*keys, path_stops(F.col(path)).alias("stops"))
-    legs = F.transform(
-        "stops",
-        lambda s, i: F.struct(
-            i.alias("segment"),
-            s["gantry"].alias("from_gantry"),
-            F.get(F.col("stops"), i + 1)["gantry"].alias("to_gantry"),
-            F.timestamp_diff("SECOND", s["passed"], F.get(F.col("stops"), i + 1)["passed"]).alias("seconds"),
-        ),
+    """One row per pair of neighbouring stops with the seconds between them.
+
+    The stop list is zipped with itself one place on; parsing happens after the pairs are rows, in
+    generated code, not inside an array function.
+    """
+    stops = F.filter(F.split(path, r"\|"), lambda p: p != "")
+    pairs = F.greatest(F.size("stops") - 1, F.lit(0))
+    zipped = F.arrays_zip(F.slice("stops", F.lit(1), pairs).alias("a"), F.slice("stops", F.lit(2), pairs).alias("b"))
+    legs = trips.select(*keys, stops.alias("stops")).where(F.size("stops") > 1).select(
+        *keys, F.posexplode(zipped).alias("segment", "leg")
+    )
+    gantry = lambda stop: F.trim(F.substring_index(stop, ";", 1))
+    passed = lambda stop: to_wall_clock(F.substring_index(stop, ";", -1))
+    before, after = F.col("leg")["a"], F.col("leg")["b"]
+    return legs.select(
+        *keys,
+        "segment",
+        gantry(before).alias("from_gantry"),
+        gantry(after).alias("to_gantry"),
+        F.timestamp_diff("SECOND", passed(before), passed(after)).alias("seconds"),
     )
-    pairs = F.slice(legs, F.lit(1), F.greatest(F.size("stops") - 1, F.lit(0)))
-    return stops.select(*keys, F.inline(pairs))
 
 
 def segment_averages(segments: DataFrame) -> DataFrame:

@@ -17,7 +17,7 @@ from gantrylake.functions.calendar import hour_bit
 from gantrylake.functions.coercion import to_calendar_date
 from gantrylake.functions.labels import vehicle_label, weekday_label
 from gantrylake.functions.numbers import round_half_even
-from gantrylake.operators.grids import cell_sum
+from gantrylake.operators.grids import cell_sum, cells
 from gantrylake.schemas import ANOMALY_Z, DATE_KEYS, HOURS, VEHICLE_CODES, WEEKDAYS
 
 GANTRY = "gantry_id_o"
@@ -77,39 +77,24 @@ def vehicle_weekday_average(hourly: DataFrame, codes: Sequence[int] = VEHICLE_CO
         .groupBy(GANTRY, "vehicle_type", "weekday", *DATE_KEYS)
         .agg(F.sum("counts").alias("total"))
     )
-    cells = [
-        F.struct(F.lit(w).alias("weekday"), F.coalesce(_mean_where("weekday", w), F.lit(0.0)).alias("daily_avg"))
-        for w in WEEKDAYS
-    ]
-    return (
-        daily.groupBy(GANTRY, "vehicle_type")
-        .agg(F.array(*cells).alias("cells"))
-        .select(GANTRY, "vehicle_type", F.inline("cells"))
-    )
+    grid = cells({"weekday": str(w), "daily_avg": _mean_where("weekday", w)} for w in WEEKDAYS)
+    return daily.groupBy(GANTRY, "vehicle_type").agg(grid).select(GANTRY, "vehicle_type", F.inline("cells"))
 
 
 def mean_24h(hourly: DataFrame) -> DataFrame:
     """Mean over the day-hours that exist, per hour; an hour that never occurs is 0."""
-    cells = [
-        F.struct(F.lit(h).alias("hour_0"), F.coalesce(_mean_where("hour_0", h), F.lit(0.0)).alias("mean"))
-        for h in HOURS
-    ]
-    return (
-        day_hour_total(hourly)
-        .groupBy(GANTRY)
-        .agg(F.array(*cells).alias("cells"))
-        .select(GANTRY, F.inline("cells"))
-    )
+    grid = cells({"hour_0": str(h), "mean": _mean_where("hour_0", h)} for h in HOURS)
+    return day_hour_total(hourly).groupBy(GANTRY).agg(grid).select(GANTRY, F.inline("cells"))
 
 
-def _mean_where(axis: str, value: int) -> Column:
-    hit = F.when(F.col(axis) == value, F.col("total"))
-    return F.sum(hit).cast("double") / F.nullif(F.count(hit), F.lit(0))
+def _mean_where(axis: str, value: int) -> str:
+    hit = f"CASE WHEN {axis} = {value} THEN total END"
+    return f"coalesce(CAST(sum({hit}) AS DOUBLE) / nullif(count({hit}), 0), 0.0D)"
 
 
 def gantry_days(hourly: DataFrame) -> DataFrame:
     """One row per gantry and day: total, 24 hour sums (NULL where absent), hours observed."""
-    hour_sums = F.array(*[cell_sum("hour_0", h) for h in HOURS])
+    hour_sums = F.expr(f"array({', '.join(cell_sum('hour_0', h) for h in HOURS)})")
     return hourly.groupBy(GANTRY, *DATE_KEYS).agg(
         F.sum("counts").alias("total"),
         hour_sums.alias("hours"),
@@ -119,13 +104,13 @@ def gantry_days(hourly: DataFrame) -> DataFrame:
 
 def gantry_summary(hourly: DataFrame) -> DataFrame:
     """Per gantry: days with data, sum and sum of squares of day totals, sums of occurring hours."""
-    hour_sums = [F.struct(F.lit(h).alias("hour_0"), F.sum(F.col("hours")[h]).alias("total")) for h in HOURS]
+    hour_sums = cells({"hour_0": str(h), "total": f"sum(hours[{h}])"} for h in HOURS)
     square = F.col("total").cast("decimal(19,0)") * F.col("total").cast("decimal(19,0)")
     per_gantry = gantry_days(hourly).groupBy(GANTRY).agg(
         F.count(F.lit(1)).alias("days"),
         F.sum("total").alias("total"),
         F.sum(square.cast("decimal(38,0)")).alias("squares"),
-        F.array(*hour_sums).alias("hours"),
+        hour_sums.alias("hours"),
     )
     return per_gantry.withColumn("hours", F.filter("hours", lambda h: h["total"].isNotNull()))
 

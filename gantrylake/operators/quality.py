@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from gantrylake.functions.calendar import hour_bit
 from gantrylake.functions.files import day_text_to_date, file_day, file_hour
+from gantrylake.functions.literals import literal_array
 from gantrylake.functions.numbers import ratio, round_half_even
 from gantrylake.schemas import FILES_PER_DAY, GANTRY_ID_PATTERN, HOURS
 
@@ -76,7 +77,7 @@ def missing_hours(inventory: DataFrame, calendar: DataFrame) -> DataFrame:
     masks = present.groupBy(day_text_to_date(F.col("yyyymmdd")).alias("date")).agg(
         F.bit_or(hour_bit(F.col("hour_0"))).alias("mask")
     )
-    hours = F.array(*[F.lit(h) for h in HOURS])
+    hours = literal_array(HOURS)
     return (
         calendar.join(masks, "date", "left")
         .withColumn("mask", F.coalesce("mask", F.lit(0)))

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from gantrylake.functions.calendar import clock_text, month_key_of
 from gantrylake.functions.files import hourly_file_name
+from gantrylake.functions.literals import literal_array, literal_map
 from gantrylake.functions.text import LEAD_INS
 from gantrylake.operators.hourly import hourly_counts
 
@@ -35,18 +36,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def gantry(n: Column) -> Column:
-    return F.get(F.array(*[F.lit(g) for g in GANTRIES]), n.cast("int"))
-
-
-def _coded(value: Column, codes: dict[str, int]) -> Column:
-    chain = F
-    for text, code in codes.items():
-        chain = chain.when(value == text, F.lit(code))
-    return chain
+    return F.get(literal_array(GANTRIES), n.cast("int"))
 
 
 def vehicle(event_type: Column) -> Column:
-    return _coded(event_type, VEHICLES)
+    return F.try_element_at(literal_map(VEHICLES), event_type)
 
 
 def trips_raw(events: DataFrame) -> DataFrame:
@@ -121,7 +115,7 @@ def hourly_multi(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.weekday(ts) + 1).alias("weekday"),
         F.hour(ts).alias("hour_0"),
         gantry(F.col("o_custkey") % 4).alias("gantry_id_o"),
-        _coded(F.substring("o_orderpriority", 1, 1), PRIORITIES).alias("vehicle_type"),
+        F.try_element_at(literal_map(PRIORITIES), F.substring("o_orderpriority", 1, 1)).alias("vehicle_type"),
         (F.call_function("div", day - 1, F.lit(7)) + 1).cast("int").alias("week_index"),
         month_key_of(ts).alias("yyyymm"),
     )
@@ -209,7 +203,7 @@ def knowledge_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def chat_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Conversation turns, some opening with a stock phrase or enclosed in a code fence."""
     conv = F.col("conv_id")
-    phrase = F.get(F.array(*[F.lit(p) for p in LEAD_INS]), (conv % 7).cast("int"))
+    phrase = F.get(literal_array(LEAD_INS), (conv % 7).cast("int"))
     body = F.when(conv % 3 == 0, F.concat(F.lit("```text\n"), F.col("text"), F.lit("\n```"))).otherwise(F.col("text"))
     opened = F.concat(F.lit(" "), F.coalesce(phrase, F.lit("")), F.lit("\n "), body, F.lit("\t"))
     return table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", opened.alias("text"))

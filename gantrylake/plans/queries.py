@@ -413,7 +413,7 @@ def dim_group_count(spark, sf):
 @query
 def id_extract(spark, sf):
     entries = dims.extract_entries(fx.manual_texts(spark, sf), "text", ["doc_id"])
-    return dims.first_seen(entries, "gantry_id", ["doc_id", "entry_pos"])
+    return dims.entry_names(dims.first_seen(entries, "gantry_id", ["doc_id", "entry_pos"]))
 
 
 @query

@@ -121,7 +121,7 @@ def test_entries_first_seen_and_tidied(spark):
     text = "01F0001N  North  Gate  12\n05FR113S South\n01F0001N Again\n1F0001N no\n99H0200S x\n"
     documents = spark.createDataFrame([(2, "01F0001N later"), (1, text)], "doc int, text string")
     entries = dims.extract_entries(documents, "text", ["doc"])
-    first = dims.first_seen(entries, "gantry_id", ["doc", "entry_pos"])
+    first = dims.entry_names(dims.first_seen(entries, "gantry_id", ["doc", "entry_pos"]))
     assert sorted((r.gantry_id, r.doc, r.section) for r in first.collect()) == [
         ("01F0001N", 1, "North Gate"), ("05FR113S", 1, "South"),
     ]
@@ -160,10 +160,11 @@ def test_tidy_label(spark):
 def test_paths(spark):
     rows = [
         (1, "A;2026-03-01 08:00:00|B;2026-03-01 08:10:00|C;2026-03-01 08:30:00"), (2, "C;2026-03-01 08:00:00|A;2026-03-01 08:01:00"),
-        (3, "A;2026-03-01 08:00:00"), (4, None), (5, "C;x|A;y|C;2026-03-01 09:00:00"),
+        (3, "A;2026-03-01 08:00:00"), (4, None), (6, "AA;2026-03-01 08:00:00| A;x| C ;2026-03-01 09:00:00"), (7, "C;x|AA;y|CC;z"), (5, "C;x|A;y|C;2026-03-01 09:00:00"),
     ]
     trips = spark.createDataFrame(rows, "id int, TripInformation string")
-    assert sorted(r.id for r in paths.strict_crossing(trips, "A", "C").collect()) == [1, 5]
+    assert sorted(r.id for r in paths.strict_crossing(trips, "A", "C").collect()) == [1, 5, 6]
+    trips = trips.where("id < 6")
     segments = paths.path_segments(trips, ["id"]).collect()
     assert [(r.id, r.segment, r.from_gantry, r.to_gantry, r.seconds) for r in segments] == [
         (1, 0, "A", "B", 600), (1, 1, "B", "C", 1200), (2, 0, "C", "A", 60), (5, 0, "C", "A", None), (5, 1, "A", "C", None),
