@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from gantrylake.functions.calendar import clock_text
 from gantrylake.functions.coercion import to_wall_clock
+from gantrylake.operators.clean import TRIP_TIME, count_sound
 
 
 def strict_crossing(trips: DataFrame, entry: str, exit: str, path: str = "TripInformation") -> DataFrame:
@@ -54,12 +55,12 @@ def segment_averages(segments: DataFrame) -> DataFrame:
     )
 
 
-def od_pairs(trips: DataFrame, time: str = "trip_time", width: str = "5 minutes") -> DataFrame:
-    """Trips per origin, destination and vehicle type in tumbling windows."""
-    slot = F.window(time, width)
+def od_pairs(trips: DataFrame, width: str = "5 minutes") -> DataFrame:
+    """Sound trips per origin, destination and vehicle type in tumbling windows, from coerced rows."""
+    slot = F.window(TRIP_TIME, width)
     counted = trips.groupBy(slot.alias("slot"), "GantryID_O", "GantryID_D", "VehicleType").agg(
-        F.count(F.lit(1)).alias("trips")
-    )
+        count_sound().alias("trips")
+    ).where("trips > 0")
     return counted.select(
         clock_text(F.col("slot.start")).alias("slot_start"), "GantryID_O", "GantryID_D", "VehicleType", "trips"
     )

@@ -478,8 +478,7 @@ def segment_times(spark, sf):
 
 @query
 def od_pairs(spark, sf):
-    sound = clean.coerce_trips(fx.trips(spark, sf)).where(clean.reject_reason().isNull())
-    return paths.od_pairs(sound)
+    return paths.od_pairs(clean.coerce_trips(fx.trips(spark, sf)))
 
 
 @query

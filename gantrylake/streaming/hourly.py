@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming.query import StreamingQuery
 
 from gantrylake.functions.calendar import clock_text, instant_wall_clock, wall_clock_instant
-from gantrylake.operators.clean import TRIP_TIME, clean_trips, coerce_trips, quarantine, reject_reason
+from gantrylake.operators.clean import TRIP_TIME, clean_trips, coerce_trips, count_sound, quarantine
 from gantrylake.operators.hourly import count_hourly, merge_hourly
 from gantrylake.schemas import HOURLY_COLUMNS
 
@@ -81,13 +81,13 @@ def hourly_windows(raw: DataFrame, late_by: str | None = None) -> DataFrame:
     With ``late_by`` a stream may emit and forget hours the watermark has passed; without it every
     hour stays open, which a batch always has.
     """
-    trips = coerce_trips(raw).where(reject_reason().isNull())
-    time = F.col(TRIP_TIME)
+    trips = coerce_trips(raw)
     if late_by is not None:
-        trips = trips.withColumn(TRIP_TIME, wall_clock_instant(time)).withWatermark(TRIP_TIME, late_by)
+        instant = wall_clock_instant(F.col(TRIP_TIME))
+        trips = trips.withColumn(TRIP_TIME, instant).withWatermark(TRIP_TIME, late_by)
     counted = trips.groupBy(F.window(TRIP_TIME, "1 hour").alias("hour"), "VehicleType").agg(
-        F.count(F.lit(1)).alias("trips")
-    )
+        count_sound().alias("trips")
+    ).where("trips > 0")
     shown = (lambda at: clock_text(instant_wall_clock(at))) if late_by is not None else clock_text
     return counted.select(
         shown(F.col("hour.start")).alias("window_start"),
