@@ -215,6 +215,17 @@ def global_stats(hourly: DataFrame) -> DataFrame:
     )
 
 
+def requested_documents(documents: DataFrame, requested: DataFrame) -> DataFrame:
+    """A document for every requested gantry with its label; one without data says so.
+
+    ``requested`` has the columns ``gantry_id`` and ``label``.
+    """
+    joined = requested.join(documents, requested["gantry_id"] == documents[GANTRY], "left")
+    body = F.coalesce("document", F.lit('{"available":false}'))
+    head = F.regexp_replace(F.to_json(F.struct("label")), r"\}$", ",")
+    return joined.select("gantry_id", F.concat(head, F.substr(body, F.lit(2))).alias("document"))
+
+
 def stats_documents(hourly: DataFrame, threshold: str = ANOMALY_Z) -> DataFrame:
     """One JSON document per gantry, from a single pass over the hourly table.
 

@@ -245,6 +245,21 @@ _MARKER_ROWS = ", ".join(f"('{m}')" for m in MARKERS)
 _REQUESTED_ROWS = ", ".join(f"('{g}')" for g in REQUESTED)
 _HOLIDAY_ROWS = ", ".join(f"(DATE '{d}', '{n}')" for d, n in HOLIDAYS)
 
+DOCUMENTS = (
+    DAY_TOTALS
+    + """,
+share_docs AS (SELECT gantry_id_o, CAST('{' || string_agg('"' || label || '":' || to_json(share_pct), ',' ORDER BY vehicle_type) || '}' AS JSON) AS doc FROM shares GROUP BY gantry_id_o),
+weekday_docs AS (SELECT gantry_id_o, CAST('{' || string_agg('"' || label || '":' || to_json(daily_avg), ',' ORDER BY weekday) || '}' AS JSON) AS doc FROM weekdays GROUP BY gantry_id_o),
+anomaly_docs AS (
+  SELECT gantry_id_o, to_json(list(struct_pack(year := year, month := month, day := day, total := total, z := z) ORDER BY year, month, day)) AS doc
+  FROM anomalies GROUP BY gantry_id_o),
+documents_ AS (
+SELECT gantry_id_o, CAST(json_object('available', true, 'days_with_data', days_with_data, 'daily_total_mean', daily_total_mean,
+  'daily_total_std', daily_total_std, 'peak_hour', peak_hour, 'peak_hour_avg', peak_hour_avg, 'off_hour', off_hour,
+  'off_hour_avg', off_hour_avg, 'vehicle_share_pct', s.doc, 'weekday_daily_avg', w.doc, 'anomaly_days', coalesce(a.doc, '[]'::JSON)) AS VARCHAR) AS document
+FROM stats JOIN share_docs s USING (gantry_id_o) JOIN weekday_docs w USING (gantry_id_o) LEFT JOIN anomaly_docs a USING (gantry_id_o))"""
+)
+
 SQL: dict[str, str] = {
     "hourly_counts": _with(HOURLY, "SELECT * FROM hourly"),
     "hourly_ordered": _with(
@@ -359,18 +374,11 @@ grid AS (SELECT gantry_id_o, CAST(unnest(range(24)) AS INTEGER) AS hour_0 FROM (
         "SELECT (SELECT count(*) FROM hourly) AS total_rows, (SELECT string_agg(CAST(day AS VARCHAR), ',' ORDER BY day) "
         "FROM (SELECT DISTINCT day FROM hourly)) AS days_covered",
     ),
-    "stats_json": _with(
-        DAY_TOTALS
-        + """,
-share_docs AS (SELECT gantry_id_o, CAST('{' || string_agg('"' || label || '":' || to_json(share_pct), ',' ORDER BY vehicle_type) || '}' AS JSON) AS doc FROM shares GROUP BY gantry_id_o),
-weekday_docs AS (SELECT gantry_id_o, CAST('{' || string_agg('"' || label || '":' || to_json(daily_avg), ',' ORDER BY weekday) || '}' AS JSON) AS doc FROM weekdays GROUP BY gantry_id_o),
-anomaly_docs AS (
-  SELECT gantry_id_o, to_json(list(struct_pack(year := year, month := month, day := day, total := total, z := z) ORDER BY year, month, day)) AS doc
-  FROM anomalies GROUP BY gantry_id_o)""",
-        """SELECT gantry_id_o, CAST(json_object('available', true, 'days_with_data', days_with_data, 'daily_total_mean', daily_total_mean,
-  'daily_total_std', daily_total_std, 'peak_hour', peak_hour, 'peak_hour_avg', peak_hour_avg, 'off_hour', off_hour,
-  'off_hour_avg', off_hour_avg, 'vehicle_share_pct', s.doc, 'weekday_daily_avg', w.doc, 'anomaly_days', coalesce(a.doc, '[]'::JSON)) AS VARCHAR) AS document
-FROM stats JOIN share_docs s USING (gantry_id_o) JOIN weekday_docs w USING (gantry_id_o) LEFT JOIN anomaly_docs a USING (gantry_id_o)""",
+    "stats_json": _with(DOCUMENTS, "SELECT * FROM documents_"),
+    "stats_requested": _with(
+        DOCUMENTS,
+        f"""SELECT g.gantry_id, '{{"label":"gantry ' || g.gantry_id || '",' || coalesce(substr(document, 2), '"available":false}}') AS document
+FROM (VALUES {_REQUESTED_ROWS}) g(gantry_id) LEFT JOIN documents_ d ON d.gantry_id_o = g.gantry_id""",
     ),
     "hour_grid": _with(
         HOURLY

@@ -239,6 +239,13 @@ def stats_json(spark, sf):
     return profile.stats_documents(fx.hourly(spark, sf))
 
 
+@query
+def stats_requested(spark, sf):
+    """Documents for a list of requested gantries, one of them without data."""
+    requested = spark.createDataFrame([(g, f"gantry {g}") for g in fx.REQUESTED], "gantry_id string, label string")
+    return profile.requested_documents(profile.stats_documents(fx.hourly(spark, sf)), requested)
+
+
 # --- grids and pivots ----------------------------------------------------------------------
 
 
