@@ -65,6 +65,7 @@ DIMENSION_ATTRIBUTES = T.StructType(
     [T.StructField(name, T.StringType()) for name in ["section", "county", "city", "note", "route"]]
 )
 
+# --- fixed values: field names of the knowledge documents ---------------------------------
 CHUNK_SCHEMA = T.ArrayType(
     T.StructType([T.StructField("title", T.StringType()), T.StructField("text", T.StringType())])
 )
