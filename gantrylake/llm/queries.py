@@ -42,3 +42,25 @@ def op8_pack_windows(spark: SparkSession, sf: str) -> DataFrame:
     return pieces.select(
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
     )
+
+
+@query
+def op5_contamination(spark: SparkSession, sf: str) -> DataFrame:
+    from gantrylake.llm.decontaminate import contamination, hit_words
+
+    found = contamination(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        hit_words().alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.size("spans") > 0).alias("contaminated"),
+    )
+
+
+@query
+def op10_near_duplicates(spark: SparkSession, sf: str) -> DataFrame:
+    from gantrylake.llm.parity_join import near_duplicates
+
+    return near_duplicates(table(spark, sf, "documents"))
