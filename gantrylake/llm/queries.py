@@ -64,3 +64,18 @@ def op10_near_duplicates(spark: SparkSession, sf: str) -> DataFrame:
     from gantrylake.llm.parity_join import near_duplicates
 
     return near_duplicates(table(spark, sf, "documents"))
+
+
+@query
+def op6_remove_repeats(spark: SparkSession, sf: str) -> DataFrame:
+    from gantrylake.llm.decontaminate import hit_words
+    from gantrylake.llm.suffix_dedup import remove_repeats
+
+    cut = remove_repeats(table(spark, sf, "documents"))
+    return cut.select(
+        "doc_id",
+        "n_bytes",
+        hit_words().alias("n_removed"),
+        (F.size("spans") / 2).cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
