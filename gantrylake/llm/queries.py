@@ -79,3 +79,33 @@ def op6_remove_repeats(spark: SparkSession, sf: str) -> DataFrame:
         (F.size("spans") / 2).cast("long").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
     )
+
+
+@query
+def op1_quality_grades(spark: SparkSession, sf: str) -> DataFrame:
+    from gantrylake.llm.quality import fit_quality, grade_quality
+
+    docs = table(spark, sf, "documents")
+    return grade_quality(docs, fit_quality(docs, table(spark, sf, "labels")))
+
+
+@query
+def op9_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
+    from gantrylake.llm.divergence import language_references, quality_rules
+
+    docs = table(spark, sf, "documents")
+    return quality_rules(docs, language_references(docs, "lang", "text"))
+
+
+def remainder(divisor: int) -> F.Column:
+    """The fold of a document: its id's checksum, by a divisor; a NULL id counts as empty text."""
+    return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % divisor
+
+
+@query
+def op3_word_languages(spark: SparkSession, sf: str) -> DataFrame:
+    from gantrylake.llm.language import identify, learn_languages
+
+    docs = table(spark, sf, "documents")
+    found = identify(docs, learn_languages(docs, remainder(3) != 1))
+    return found.select("doc_id", (remainder(3) == 1).alias("held_out"), "lang_pred", "score")
