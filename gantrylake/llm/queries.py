@@ -109,3 +109,13 @@ def op3_word_languages(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents")
     found = identify(docs, learn_languages(docs, remainder(3) != 1))
     return found.select("doc_id", (remainder(3) == 1).alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op4_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    from gantrylake.llm.toxicity import learn_toxicity, score_toxicity
+
+    docs = table(spark, sf, "documents")
+    model = learn_toxicity(docs, table(spark, sf, "labels"), remainder(5) != 0)
+    scored = score_toxicity(docs, model)
+    return scored.select("doc_id", (remainder(5) == 0).alias("held_out"), "score", "predicted")
