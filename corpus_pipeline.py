@@ -5,18 +5,58 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from gantrylake.llm.decontaminate import contamination
 from gantrylake.llm.packing import pack_documents
+from gantrylake.llm.parity_join import near_duplicates
+from gantrylake.llm.quality import fit_quality, grade_quality
 from gantrylake.llm.queries import tokenizer_path
+from gantrylake.llm.rows import quoted
+from gantrylake.llm.suffix_dedup import remove_repeats
 from gantrylake.session import fresh_path
 
 
+def accept(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier, fitted on the graded ones among them, accepts."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return grade_quality(docs, fit_quality(docs, labels), carry=docs.columns, rejected=False).select(docs.columns)
+
+
+def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near duplicates (five words, similarity 0.8) the document with the least id.
+
+    Rows without an id cannot stand for a group and stay; equal rows under one id are one document.
+    """
+    found = near_duplicates(docs.where("doc_id is not null"), width=5, percent=80)
+    chosen = found.where("doc_id = component_id").select("doc_id").distinct()
+    kept = docs.join(chosen, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
+    return kept.select(docs.columns).union(docs.where("doc_id is null"))
+
+
+def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without the bytes of strings that start elsewhere too; their length is counted anew."""
+    cut = remove_repeats(docs, carry=docs.columns, as_text=True)
+    new = {"text": F.col("kept"), "n_chars": F.length("kept").cast("long")}
+    return cut.select(*[new[name].alias(name) if name in new else quoted(name) for name in docs.columns])
+
+
+def clean_of_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without any window of a benchmark item."""
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return contamination(docs, items, carry=docs.columns).where(F.size("spans") == 0).select(docs.columns)
+
+
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document kept so far, as pieces of fixed windows."""
     return pack_documents(docs, tokenizer_path())
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("quality classifier", accept),
+    ("n-gram Jaccard join", one_of_each),
+    ("suffix-array dedup", without_repeats),
+    ("benchmark decontamination", clean_of_benchmark),
     ("packing", pack),
 ]
 

@@ -119,3 +119,11 @@ def op4_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     model = learn_toxicity(docs, table(spark, sf, "labels"), remainder(5) != 0)
     scored = score_toxicity(docs, model)
     return scored.select("doc_id", (remainder(5) == 0).alias("held_out"), "score", "predicted")
+
+
+@query
+def op2_licences(spark: SparkSession, sf: str) -> DataFrame:
+    from gantrylake.llm.licences import fit_licences, scan_licences
+
+    docs = table(spark, sf, "documents")
+    return scan_licences(docs, fit_licences(docs))

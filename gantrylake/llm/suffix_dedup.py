@@ -344,10 +344,12 @@ def repeated_ranges(units: DataFrame, length: int) -> DataFrame:
 
 
 def remove_repeats(
-    docs: DataFrame, length: int = 200, id_col: str = "doc_id", text_col: str = "text", carry: list[str] | None = None
+    docs: DataFrame, length: int = 200, id_col: str = "doc_id", text_col: str = "text", carry: list[str] | None = None, as_text: bool = False
 ) -> DataFrame:
     """The carried columns of every row, ``n_bytes``, ``spans`` (removed runs as flat pairs) and ``kept`` (bytes).
 
+    With ``as_text``, ``kept`` is text: characters of which only a part was removed go whole.
+
     A byte is removed if a string of ``length`` bytes that covers it also starts anywhere else in the documents, as
     they come in. Strings never cross texts. NULL is an empty text: nothing to remove, no bytes kept. Repeated
     rows and copies repeat each other, so all of them lose those strings. Texts shorter than ``length`` stay.
@@ -382,12 +384,12 @@ def remove_repeats(
                     gone[pairs[:, 0]] += 1
                     gone[pairs[:, 1]] -= 1
                     kept.append(mine[np.cumsum(gone[:-1]) == 0].tobytes())
-                yield pa.record_batch(
-                    [own.column("row"), pa.array(np.diff(offsets)), pa.array(spans, pa.list_(pa.int64())), pa.array(kept, pa.binary())],
-                    ["row", "n_bytes", "spans", "kept"],
-                )
+                left = pa.array([x.decode("utf-8", "ignore") for x in kept], pa.string()) if as_text else pa.array(kept, pa.binary())
+                columns = [own.column("row"), pa.array(np.diff(offsets)), pa.array(spans, pa.list_(pa.int64())), left]
+                yield pa.record_batch(columns, ["row", "n_bytes", "spans", "kept"])
 
-    out = joined.mapInArrow(cut, result_schema(joined, "n_bytes long, spans array<long>, kept binary"))
+    kind = "string" if as_text else "binary"
+    out = joined.mapInArrow(cut, result_schema(joined, f"n_bytes long, spans array<long>, kept {kind}"))
     return unpacked(out, carry, "n_bytes", "spans", "kept")
 
 
