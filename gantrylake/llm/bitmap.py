@@ -30,3 +30,26 @@ def may_hold(bitmap: np.ndarray, keys: np.ndarray) -> np.ndarray:
     """Flags of the keys (unsigned) whose bit is set."""
     place = keys >> np.uint64(64 - BITS)
     return (bitmap[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63))) & np.uint64(1) != 0
+
+
+#: 2**SLOTS bytes, 16 MB.
+SLOTS = 24
+
+
+def rarity_table(counts: DataFrame, column: str, number: str) -> np.ndarray:
+    """For each slot of hashed keys the binary order of magnitude of its most frequent key, 0 if it has none.
+
+    ``counts`` holds the keys that occur more than once with their numbers. The table has one size whatever the
+    data; keys that share a slot share a rank, which makes an order coarser and never wrong.
+    """
+    slot = F.shiftrightunsigned(column, 64 - SLOTS).cast("int")
+    grades = counts.groupBy(slot.alias("slot")).agg(F.max(F.ceil(F.log2(F.col(number) + 1))).cast("tinyint").alias("grade"))
+    table = np.zeros(1 << SLOTS, np.int8)
+    for batch in grades.toArrow().to_batches():
+        table[batch.column("slot").to_numpy()] = batch.column("grade").to_numpy()
+    return table
+
+
+def rarity(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """The rank of each key (unsigned): 0 for keys that occur once."""
+    return table[(keys >> np.uint64(64 - SLOTS)).astype(np.int64)]

@@ -1,15 +1,16 @@
 """Jaccard join of word-shingle sets by parity sketches.
 
-A set of size s is hashed into a sketch of m blocks: each shingle flips one bit of one block. Every flipped bit
-that two sketches do not share comes from a shingle that the sets do not share, so blocks that differ
+A set of size s is hashed into a sketch of m blocks: each shingle flips one bit of one block. Every bit
+in which two sketches differ comes from a shingle that the sets do not share, so the blocks that differ
 number at most the symmetric difference. Two linked sets differ in at most d shingles, d known from their
-sizes: of m blocks at least m - d are equal. Blocks are ranked by how many bits they hold, the fullest
-first, and linked sets share one of their d + 1 first blocks. m depends on the size band only, and a set that
-may have partners in the next band is sketched for that band too.
-
-Sets in one bucket are not paired with each other. Each is compared with one centre it shares most buckets
-with; what links is one component. Only sets of different components that still share a bucket are
-then compared, so that no link between components is lost.
+sizes: of m blocks at least m - d are equal. With the blocks of each set in one common order, linked sets share
+one of their d + 1 first blocks. The order puts rare blocks first (by a table of fixed size), so blocks
+that no other set has, where a copy was edited, take up the first places and meet nothing. m
+depends on the size band only; a set that may have partners in the next band is sketched for that band too.
+
+Sets in one bucket are not paired with each other. Each is compared with one or two centres, the sets with the
+fewest blocks of their own that it shares a bucket with; what links is one component. Only sets of different
+components that still share a bucket are then compared, so that no link between components is lost.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gantrylake.llm.arrays import LOWER, SPACE, SpanHash, blocks, mix, ragged, runs, text_buffers
-from gantrylake.llm.bitmap import bitmap_of, may_hold
+from gantrylake.llm.bitmap import bitmap_of, may_hold, rarity, rarity_table
 from gantrylake.llm.components import connected_components
 from gantrylake.llm.rows import quoted
 from gantrylake.session import fresh_path
@@ -32,6 +33,8 @@ BLOCK_BITS = 1024
 SPARE = 1.25
 #: Sizes in a band differ by this factor at most.
 BAND = 1.5
+#: Blocks of its own that are told apart when a centre is chosen.
+OWN_LIMIT = (1 << 15) - 1
 _BIT_CODES = np.random.Generator(np.random.PCG64(77)).integers(1, 2**63, BLOCK_BITS, dtype=np.uint64)
 
 
@@ -90,9 +93,9 @@ class Bands:
         return out
 
 
-def sketch_keys(members: np.ndarray, first: np.ndarray, bands: Bands) -> tuple[np.ndarray, np.ndarray]:
-    """(set, key) of the leading blocks of every set's sketches."""
-    owners, keys = [], []
+def sketch_keys(members: np.ndarray, first: np.ndarray, bands: Bands) -> list[tuple[np.ndarray, ...]]:
+    """Per role: (sets, blocks, leading blocks, keys of all blocks set after set, the fullest blocks first)."""
+    out = []
     sizes = np.diff(first)
     for own, band, number, lead in bands.roles(sizes):
         counts = sizes[own]
@@ -117,38 +120,61 @@ def sketch_keys(members: np.ndarray, first: np.ndarray, bands: Bands) -> tuple[n
         place = np.arange(len(owner)) - base[owner]
         label = (band[owner].astype(np.uint64) << np.uint64(40)) + place.astype(np.uint64)
         key = mix(pattern + mix(label + np.uint64(1)))
-        order = np.lexsort((key, -bits, owner))
-        leading = np.arange(len(owner)) - base[owner] < lead[owner]
-        chosen = order[leading]
-        owners.append(own[owner[chosen]])
-        keys.append(key[chosen])
-    return np.concatenate(owners), np.concatenate(keys)
+        out.append((own, number, lead, key[np.lexsort((key, -bits, owner))]))
+    return out
+
+
+def _role_columns(role: tuple[np.ndarray, ...], rows: int) -> tuple[pa.Array, pa.Array]:
+    """Keys and number of leading blocks per row; a row without this role has none."""
+    own, number, lead, keys = role
+    sizes, leads = np.zeros(rows, np.int64), np.zeros(rows, np.int32)
+    sizes[own], leads[own] = number, lead
+    ends = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(keys.view(np.int64))), pa.array(leads)
 
 
 def sketched(docs: DataFrame, width: int, percent: int, id_col: str, text_col: str) -> DataFrame:
-    """``doc_id``, ``n_shingles``, ``node`` (digest of the set) and ``keys`` of every row."""
+    """``doc_id``, ``n_shingles``, ``node`` (digest of the set) and for both roles ``keys`` and ``lead`` of every row."""
     selected = docs.select(quoted(id_col).alias("doc_id"), quoted(text_col).cast("string").alias("text"))
     kind = selected.schema["doc_id"].dataType.simpleString()
+    names = ["doc_id", "n_shingles", "node", "keys", "lead", "next_keys", "next_lead"]
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bands = Bands(percent)
         for batch in batches:
             for rows, data, offsets in blocks(batch):
                 members, first = shingle_sets(data, offsets, width)
-                owner, keys = sketch_keys(members, first, bands)
-                order = np.argsort(owner, kind="stable")
-                ends = np.searchsorted(owner[order], np.arange(rows.num_rows + 1))
-                yield pa.record_batch(
-                    [
-                        rows.column("doc_id"),
-                        pa.array(np.diff(first)),
-                        _nodes(members, first),
-                        pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(keys[order].view(np.int64))),
-                    ],
-                    ["doc_id", "n_shingles", "node", "keys"],
-                )
-
-    return selected.mapInArrow(sketch, f"doc_id {kind}, n_shingles long, node binary, keys array<long>")
+                own, after = sketch_keys(members, first, bands)
+                roles = [*_role_columns(own, rows.num_rows), *_role_columns(after, rows.num_rows)]
+                yield pa.record_batch([rows.column("doc_id"), pa.array(np.diff(first)), _nodes(members, first), *roles], names)
+
+    kinds = "node binary, keys array<long>, lead int, next_keys array<long>, next_lead int"
+    return selected.mapInArrow(sketch, f"doc_id {kind}, n_shingles long, {kinds}")
+
+
+def leading_keys(table: np.ndarray, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(key, short, own) of each set's leading blocks that another set may have; ``own`` counts blocks it has alone."""
+    for batch in batches:
+        short = batch.column("short").to_numpy()
+        alone = np.zeros(len(short), np.int64)
+        keys, owners = [], []
+        for name, lead_name in (("keys", "lead"), ("next_keys", "next_lead")):
+            listed = batch.column(name)
+            flat = listed.flatten().to_numpy(zero_copy_only=False)
+            sizes = listed.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+            lead = batch.column(lead_name).to_numpy()
+            owner = np.repeat(np.arange(len(short)), sizes)
+            first = np.cumsum(sizes) - sizes
+            often = rarity(table, flat.view(np.uint64))
+            if name == "keys":
+                alone = np.bincount(owner[often == 0], minlength=len(short))
+            order = np.lexsort((often, owner))  # stable: ties stay fullest first
+            chosen = order[(np.arange(len(flat)) - first[owner] < lead[owner]) & (often[order] > 0)]
+            keys.append(flat[chosen])
+            owners.append(owner[chosen])
+        owner = np.concatenate(owners)
+        own = np.minimum(alone, OWN_LIMIT).astype(np.int64)
+        yield pa.record_batch([pa.array(np.concatenate(keys)), pa.array(short[owner]), pa.array(own[owner])], ["key", "short", "own"])
 
 
 def _nodes(members: np.ndarray, first: np.ndarray) -> pa.Array:
@@ -182,11 +208,16 @@ def candidate_texts(docs: DataFrame, shorts: np.ndarray, width: int, text_col: s
     return found.groupBy("short", "node").agg(F.min("text").alias("text"))
 
 
+def _brief(short: str) -> F.Column:
+    """48 bits of a set's short digest. Sets that share them are all compared: nothing is lost by it."""
+    return F.shiftrightunsigned(short, 16)
+
+
 def verified(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
-    """(a, b) nodes of the candidate pairs (short_a, short_b) whose sets are linked."""
-    left = texts.select(F.col("short").alias("short_a"), F.col("node").alias("a"), F.col("text").alias("text_a"))
-    right = texts.select(F.col("short").alias("short_b"), F.col("node").alias("b"), F.col("text").alias("text_b"))
-    rows = pairs.join(left, "short_a").join(right, "short_b").select("a", "text_a", "b", "text_b")
+    """(a, b) nodes of the candidate pairs (short, brief) whose sets are linked."""
+    left = texts.select("short", F.col("node").alias("a"), F.col("text").alias("text_a"))
+    right = texts.select(_brief("short").alias("brief"), F.col("node").alias("b"), F.col("text").alias("text_b"))
+    rows = pairs.join(left, "short").join(right, "brief").select("a", "text_a", "b", "text_b")
 
     def checked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -222,39 +253,36 @@ def near_duplicates(
     """
     spark = docs.sparkSession
     rows = _written(sketched(docs, width, percent, id_col, text_col), "sketches")
-    buckets = rows.select(_short("node").alias("short"), F.explode("keys").alias("key"))
-    # Buckets with two different sets, and the centre of each: pre-aggregated before the shuffle.
-    ends = buckets.groupBy("key").agg(F.min("short").alias("centre"), F.max("short").alias("last"))
-    shared = _written(ends.where("centre != last").select("key", "centre"), "buckets")
-    filled = spark.sparkContext.broadcast(bitmap_of(shared, "key"))
-
-    def hits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keys = batch.column("keys")
-            flat = keys.flatten().to_numpy(zero_copy_only=False)
-            hit = may_hold(filled.value, flat.view(np.uint64))
-            shorts = np.repeat(batch.column("short").to_numpy(), keys.value_lengths().to_numpy(zero_copy_only=False))
-            yield pa.record_batch([pa.array(flat[hit]), pa.array(shorts[hit])], ["key", "short"])
-
-    members = rows.where("n_shingles > 0").select(_short("node").alias("short"), "keys").mapInArrow(hits, "key long, short long")
-    members = _written(members.distinct().join(shared, "key"), "members")
-    # First each set with the centre it shares most buckets with.
-    counted = members.where("short != centre").groupBy("short", "centre").agg(F.count(F.lit(1)).alias("n"))
-    first = counted.groupBy("short").agg(F.max_by("centre", F.struct("n", "centre")).alias("centre"))
-    first = _written(first.select(F.col("short").alias("short_a"), F.col("centre").alias("short_b")), "pairs")
+    short = _short("node").alias("short")
+    filled = rows.where("n_shingles > 0")
+    buckets = filled.select(short, F.explode(F.concat("keys", "next_keys")).alias("key"))
+    # How common each block is among different sets: combined before the shuffle.
+    common = buckets.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("short").alias("low"), F.max("short").alias("high"))
+    table = spark.sparkContext.broadcast(rarity_table(common.where("low != high").select("key", "n"), "key", "n"))
+    sketches = filled.select(short, "keys", "lead", "next_keys", "next_lead")
+    leading = sketches.mapInArrow(lambda batches: leading_keys(table.value, batches), "key long, short long, own long")
+    leading = _written(leading.distinct(), "leading")
+    # The centre of a bucket is its set with the fewest blocks of its own.
+    rank = F.shiftleft("own", 48).bitwiseOR(_brief("short"))
+    centres = leading.groupBy("key").agg(F.min(rank).alias("centre"), F.count(F.lit(1)).alias("members")).where("members > 1")
+    members = _written(leading.join(centres.select("key", "centre"), "key").withColumn("rank", rank), "members")
+    counted = members.where("rank != centre").groupBy("short", "centre").agg(F.count(F.lit(1)).alias("n"))
+    nearest = counted.groupBy("short").agg(F.max_by("centre", F.struct("n", "centre")).alias("most"), F.min("centre").alias("least"))
+    brief = F.col("centre").bitwiseAND(F.lit((1 << 48) - 1)).alias("brief")
+    first = nearest.select("short", F.explode(F.array_distinct(F.array("most", "least"))).alias("centre")).select("short", brief)
+    first = _written(first, "pairs")
     texts = _written(candidate_texts(docs, bitmap_of(members.select("short").distinct(), "short"), width, text_col), "texts")
-    edges = _written(verified(first, texts, width, percent), "links")
+    edges = _written(verified(first, texts, width, percent).where("a != b"), "links")
     # Then what shares a bucket across components.
     roots = connected_components(edges)
     groups = texts.select("short", "node").join(roots, "node", "left").select("short", F.coalesce("root", "node").alias("root"))
     labelled = members.select("key", "short").join(groups, "short")
     mixed = labelled.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low != high").select("key")
     open_ = _written(labelled.join(mixed, "key"), "open")
-    one = open_.select("key", F.col("short").alias("short_a"), F.col("root").alias("root_a"))
-    two = open_.select("key", F.col("short").alias("short_b"), F.col("root").alias("root_b"))
-    across = one.join(two, "key").where("root_a < root_b").select("short_a", "short_b").distinct()
-    tried = first.union(first.select("short_b", "short_a"))
-    across = _written(across.join(tried, ["short_a", "short_b"], "left_anti"), "across")
+    one = open_.select("key", "short", F.col("root").alias("root_a"))
+    two = open_.select("key", _brief("short").alias("brief"), F.col("root").alias("root_b"))
+    across = one.join(two, "key").where("root_a < root_b").select("short", "brief").distinct()
+    across = _written(across.join(first, ["short", "brief"], "left_anti"), "across")
     later = _written(verified(across, texts, width, percent), "links")
     roots = connected_components(edges.union(later))
     nodes = rows.where("n_shingles > 0").groupBy("node").agg(F.min("doc_id").alias("least"))
