@@ -10,7 +10,9 @@ depends on the size band only; a set that may have partners in the next band is
 
 Sets in one bucket are not paired with each other. Each is compared with one or two centres, the sets with the
 fewest blocks of their own that it shares a bucket with; what links is one component. Only sets of different
-components that still share a bucket are then compared, so that no link between components is lost.
+components that still share a bucket are then compared, so that no link between components is lost: their
+whole sketches side by side in tiles of bounded size, and the sets themselves only where the Hamming distance
+leaves a link possible.
 """
 
 from __future__ import annotations
@@ -33,6 +35,9 @@ BLOCK_BITS = 1024
 SPARE = 1.25
 #: Sizes in a band differ by this factor at most.
 BAND = 1.5
+#: Sets of a bucket that are compared in one piece of work, and bits of a whole sketch per differing shingle.
+TILE = 2048
+WHOLE_BITS = 16
 #: Blocks of its own that are told apart when a centre is chosen.
 OWN_LIMIT = (1 << 15) - 1
 _BIT_CODES = np.random.Generator(np.random.PCG64(77)).integers(1, 2**63, BLOCK_BITS, dtype=np.uint64)
@@ -93,8 +98,8 @@ class Bands:
         return out
 
 
-def sketch_keys(members: np.ndarray, first: np.ndarray, bands: Bands) -> list[tuple[np.ndarray, ...]]:
-    """Per role: (sets, blocks, leading blocks, keys of all blocks set after set, the fullest blocks first)."""
+def sketch_keys(members: np.ndarray, first: np.ndarray, bands: Bands) -> list[tuple]:
+    """Per role: (sets, blocks, leading blocks, keys of all blocks set after set, the fullest first; sketches)."""
     out = []
     sizes = np.diff(first)
     for own, band, number, lead in bands.roles(sizes):
@@ -120,24 +125,32 @@ def sketch_keys(members: np.ndarray, first: np.ndarray, bands: Bands) -> list[tu
         place = np.arange(len(owner)) - base[owner]
         label = (band[owner].astype(np.uint64) << np.uint64(40)) + place.astype(np.uint64)
         key = mix(pattern + mix(label + np.uint64(1)))
-        out.append((own, number, lead, key[np.lexsort((key, -bits, owner))]))
+        whole = 1 << np.ceil(np.log2(np.maximum(256, WHOLE_BITS * number))).astype(np.int64)
+        ends = np.cumsum(whole)
+        flips = (ends - whole)[local] + ((mix(values) >> np.uint64(8)).astype(np.int64) & (np.repeat(whole, counts) - 1))
+        packed = np.packbits((np.bincount(flips, minlength=int(ends[-1]) if len(ends) else 0) & 1).astype(bool)).tobytes()
+        sketches = [packed[a // 8 : b // 8] for a, b in zip((ends - whole).tolist(), ends.tolist(), strict=True)]
+        out.append((own, number, lead, key[np.lexsort((key, -bits, owner))], sketches))
     return out
 
 
-def _role_columns(role: tuple[np.ndarray, ...], rows: int) -> tuple[pa.Array, pa.Array]:
-    """Keys and number of leading blocks per row; a row without this role has none."""
-    own, number, lead, keys = role
+def _role_columns(role: tuple, rows: int) -> tuple[pa.Array, pa.Array, pa.Array]:
+    """Keys, number of leading blocks and sketch per row; a row without this role has none."""
+    own, number, lead, keys, sketches = role
     sizes, leads = np.zeros(rows, np.int64), np.zeros(rows, np.int32)
     sizes[own], leads[own] = number, lead
     ends = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
-    return pa.ListArray.from_arrays(pa.array(ends), pa.array(keys.view(np.int64))), pa.array(leads)
+    whole: list[bytes | None] = [None] * rows
+    for n, sketch in zip(own.tolist(), sketches, strict=True):
+        whole[n] = sketch
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(keys.view(np.int64))), pa.array(leads), pa.array(whole, pa.binary())
 
 
 def sketched(docs: DataFrame, width: int, percent: int, id_col: str, text_col: str) -> DataFrame:
-    """``doc_id``, ``n_shingles``, ``node`` (digest of the set) and for both roles ``keys`` and ``lead`` of every row."""
+    """``doc_id``, ``n_shingles``, ``node`` (digest of the set) and for both roles ``keys``, ``lead``, ``sketch`` of every row."""
     selected = docs.select(quoted(id_col).alias("doc_id"), quoted(text_col).cast("string").alias("text"))
     kind = selected.schema["doc_id"].dataType.simpleString()
-    names = ["doc_id", "n_shingles", "node", "keys", "lead", "next_keys", "next_lead"]
+    names = ["doc_id", "n_shingles", "node", "keys", "lead", "sketch", "next_keys", "next_lead", "next_sketch"]
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bands = Bands(percent)
@@ -148,12 +161,15 @@ def sketched(docs: DataFrame, width: int, percent: int, id_col: str, text_col: s
                 roles = [*_role_columns(own, rows.num_rows), *_role_columns(after, rows.num_rows)]
                 yield pa.record_batch([rows.column("doc_id"), pa.array(np.diff(first)), _nodes(members, first), *roles], names)
 
-    kinds = "node binary, keys array<long>, lead int, next_keys array<long>, next_lead int"
+    kinds = "node binary, keys array<long>, lead int, sketch binary, next_keys array<long>, next_lead int, next_sketch binary"
     return selected.mapInArrow(sketch, f"doc_id {kind}, n_shingles long, {kinds}")
 
 
 def leading_keys(table: np.ndarray, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(key, short, own) of each set's leading blocks that another set may have; ``own`` counts blocks it has alone."""
+    """(key, short, own, later) of each set's leading blocks that another set may have.
+
+    ``own`` counts blocks it has alone; ``later`` marks blocks of its sketch for the next band.
+    """
     for batch in batches:
         short = batch.column("short").to_numpy()
         alone = np.zeros(len(short), np.int64)
@@ -172,9 +188,11 @@ def leading_keys(table: np.ndarray, batches: Iterator[pa.RecordBatch]) -> Iterat
             chosen = order[(np.arange(len(flat)) - first[owner] < lead[owner]) & (often[order] > 0)]
             keys.append(flat[chosen])
             owners.append(owner[chosen])
+        later = np.repeat([False, True], [len(keys[0]), len(keys[1])])
         owner = np.concatenate(owners)
         own = np.minimum(alone, OWN_LIMIT).astype(np.int64)
-        yield pa.record_batch([pa.array(np.concatenate(keys)), pa.array(short[owner]), pa.array(own[owner])], ["key", "short", "own"])
+        columns = [np.concatenate(keys), short[owner], own[owner], later]
+        yield pa.record_batch([pa.array(column) for column in columns], ["key", "short", "own", "later"])
 
 
 def _nodes(members: np.ndarray, first: np.ndarray) -> pa.Array:
@@ -235,6 +253,75 @@ def verified(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> Da
     return rows.mapInArrow(checked, "a binary, b binary")
 
 
+def _tile_pairs(rows: list[tuple], low: int, high: int, bands: Bands) -> list[tuple[int, int]]:
+    """(short, short) of different components whose sketches leave a link possible, once per pair and bucket.
+
+    A pair that shares several buckets belongs to the one with the least key.
+    """
+    key = rows[0][0]
+    short = np.array([row[1] for row in rows], np.int64)
+    roots = np.unique(np.array([row[2] for row in rows], object), return_inverse=True)[1]
+    sizes = np.array([row[3] for row in rows], np.int64)
+    words = np.frombuffer(b"".join(row[4] for row in rows), np.uint64).reshape(len(rows), -1)
+    keys = [frozenset(row[5]) for row in rows]
+    tile = np.array([row[6] for row in rows])
+    found = []
+    left = np.flatnonzero(tile == low)
+    right = np.flatnonzero(tile == high)
+    step = max(1, (1 << 21) // max(1, len(right) * words.shape[1]))
+    for at in range(0, len(left), step):
+        mine = left[at : at + step]
+        apart = np.bitwise_count(words[mine][:, None, :] ^ words[right][None, :, :]).sum(2)
+        near = (apart <= bands.differing(sizes[mine][:, None], sizes[right][None, :])) & (roots[mine][:, None] != roots[right][None, :])
+        for a, b in zip(*np.nonzero(near), strict=True):
+            one, two = int(mine[a]), int(right[b])
+            if (low != high or one < two) and min(keys[one] & keys[two]) == key:
+                found.append((int(short[one]), int(short[two])))
+    return found
+
+
+def compared(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """Candidate pairs (short, other) of rows sorted by tile."""
+    bands = Bands(percent)
+    names = ("key", "short", "root", "n_shingles", "sketch", "shared", "tile", "low", "high")
+    rows: list[tuple] = []
+
+    def pairs() -> pa.RecordBatch:
+        found = _tile_pairs(rows, rows[0][7], rows[0][8], bands)
+        return pa.record_batch([pa.array([pair[n] for pair in found], pa.int64()) for n in (0, 1)], ["short", "other"])
+
+    for batch in batches:
+        for row in zip(*(batch.column(name).to_pylist() for name in names), strict=True):
+            if rows and (row[0], row[7], row[8]) != (rows[0][0], rows[0][7], rows[0][8]):
+                yield pairs()
+                rows = []
+            rows.append(row)
+    if rows:
+        yield pairs()
+
+
+def pairs_across(open_: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """Pairs of different components that share a bucket and whose whole sketches are near enough.
+
+    A large bucket is cut into tiles by hash, and every two tiles are one piece of work, so no task holds more than
+    two tiles at a time.
+    """
+    tiles = open_.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / TILE).cast("int").alias("tiles"))
+    shared = open_.groupBy("short").agg(F.collect_set("key").alias("shared"))
+    rows = open_.join(tiles, "key").join(shared, "short").join(sketches, "short")
+    rows = rows.withColumns(
+        {
+            "sketch": F.when(F.col("later"), F.col("next_sketch")).otherwise(F.col("sketch")),
+            "tile": F.pmod(F.xxhash64("short"), F.col("tiles")).cast("int"),
+        }
+    )
+    kept = ["key", "short", "root", "n_shingles", "sketch", "shared", "tile"]
+    other = F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("other")
+    spread = rows.select(*kept, other).select(*kept, F.least("tile", "other").alias("low"), F.greatest("tile", "other").alias("high"))
+    work = spread.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high")
+    return work.mapInArrow(lambda batches: compared(batches, percent), "short long, other long")
+
+
 def _written(frame: DataFrame, name: str) -> DataFrame:
     folder = fresh_path(frame.sparkSession, name)
     frame.write.parquet(folder)
@@ -260,7 +347,7 @@ def near_duplicates(
     common = buckets.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("short").alias("low"), F.max("short").alias("high"))
     table = spark.sparkContext.broadcast(rarity_table(common.where("low != high").select("key", "n"), "key", "n"))
     sketches = filled.select(short, "keys", "lead", "next_keys", "next_lead")
-    leading = sketches.mapInArrow(lambda batches: leading_keys(table.value, batches), "key long, short long, own long")
+    leading = sketches.mapInArrow(lambda batches: leading_keys(table.value, batches), "key long, short long, own long, later boolean")
     leading = _written(leading.distinct(), "leading")
     # The centre of a bucket is its set with the fewest blocks of its own.
     rank = F.shiftleft("own", 48).bitwiseOR(_brief("short"))
@@ -276,12 +363,11 @@ def near_duplicates(
     # Then what shares a bucket across components.
     roots = connected_components(edges)
     groups = texts.select("short", "node").join(roots, "node", "left").select("short", F.coalesce("root", "node").alias("root"))
-    labelled = members.select("key", "short").join(groups, "short")
+    labelled = members.select("key", "short", "later").join(groups, "short")
     mixed = labelled.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low != high").select("key")
     open_ = _written(labelled.join(mixed, "key"), "open")
-    one = open_.select("key", "short", F.col("root").alias("root_a"))
-    two = open_.select("key", _brief("short").alias("brief"), F.col("root").alias("root_b"))
-    across = one.join(two, "key").where("root_a < root_b").select("short", "brief").distinct()
+    whole = filled.select(short, "n_shingles", "sketch", "next_sketch").join(open_.select("short").distinct(), "short", "left_semi")
+    across = pairs_across(open_, whole.distinct(), percent).select("short", _brief("other").alias("brief")).distinct()
     across = _written(across.join(first, ["short", "brief"], "left_anti"), "across")
     later = _written(verified(across, texts, width, percent), "links")
     roots = connected_components(edges.union(later))
