@@ -16,9 +16,10 @@ BITS = 26
 
 def bitmap_of(keys: DataFrame, column: str) -> np.ndarray:
     """The words of the bitmap of a column of 64-bit hashes; at most 2**(BITS - 6) rows reach the driver."""
-    place = F.shiftrightunsigned(column, 64 - BITS)
+    # The low bits: a hash chosen for being small still spreads evenly over them.
+    place = F.col(column).bitwiseAND(F.lit((1 << BITS) - 1))
     words = keys.groupBy(F.shiftright(place, 6).cast("int").alias("word")).agg(
-        F.bit_or(F.expr(f"shiftleft(1L, cast(shiftrightunsigned({column}, {64 - BITS}) & 63 as int))")).alias("bits")
+        F.bit_or(F.expr(f"shiftleft(1L, cast({column} & 63 as int))")).alias("bits")
     )
     bitmap = np.zeros(1 << (BITS - 6), np.uint64)
     for row in words.toArrow().to_batches():
@@ -28,7 +29,7 @@ def bitmap_of(keys: DataFrame, column: str) -> np.ndarray:
 
 def may_hold(bitmap: np.ndarray, keys: np.ndarray) -> np.ndarray:
     """Flags of the keys (unsigned) whose bit is set."""
-    place = keys >> np.uint64(64 - BITS)
+    place = keys & np.uint64((1 << BITS) - 1)
     return (bitmap[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63))) & np.uint64(1) != 0
 
 
@@ -42,7 +43,7 @@ def rarity_table(counts: DataFrame, column: str, number: str) -> np.ndarray:
     ``counts`` holds the keys that occur more than once with their numbers. The table has one size whatever the
     data; keys that share a slot share a rank, which makes an order coarser and never wrong.
     """
-    slot = F.shiftrightunsigned(column, 64 - SLOTS).cast("int")
+    slot = F.col(column).bitwiseAND(F.lit((1 << SLOTS) - 1)).cast("int")
     grades = counts.groupBy(slot.alias("slot")).agg(F.max(F.ceil(F.log2(F.col(number) + 1))).cast("tinyint").alias("grade"))
     table = np.zeros(1 << SLOTS, np.int8)
     for batch in grades.toArrow().to_batches():
@@ -52,4 +53,4 @@ def rarity_table(counts: DataFrame, column: str, number: str) -> np.ndarray:
 
 def rarity(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
     """The rank of each key (unsigned): 0 for keys that occur once."""
-    return table[(keys >> np.uint64(64 - SLOTS)).astype(np.int64)]
+    return table[(keys & np.uint64((1 << SLOTS) - 1)).astype(np.int64)]

@@ -74,17 +74,15 @@ class Runs:
 
 
 def run_keys(docs: DataFrame, length: int, text_col: str) -> DataFrame:
-    """(key, mixed) of anchors with at least two runs; mixed if their contents differ."""
+    """``key`` of every anchor that has at least two runs."""
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, data, offsets in blocks(batch):
-                found = Runs(data, offsets, length)
-                yield pa.record_batch([pa.array(found.keys.view(np.int64)), pa.array(found.units.view(np.int64))], ["key", "unit"])
+                yield pa.record_batch([pa.array(Runs(data, offsets, length).keys.view(np.int64))], ["key"])
 
-    rows = docs.select(quoted(text_col).cast("string").alias("text")).mapInArrow(keyed, "key long, unit long")
-    groups = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("unit").alias("low"), F.max("unit").alias("high"))
-    return groups.where("n > 1").select("key", (F.col("low") != F.col("high")).alias("mixed"))
+    rows = docs.select(quoted(text_col).cast("string").alias("text")).mapInArrow(keyed, "key long")
+    return rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
 
 
 def reference(text: F.Column) -> list[F.Column]:
@@ -92,42 +90,56 @@ def reference(text: F.Column) -> list[F.Column]:
     return [F.xxhash64(text).alias("ref"), F.xxhash64(F.lit(SALT), text).alias("ref2")]
 
 
-def repeated_runs(docs: DataFrame, length: int, text_col: str, every: np.ndarray, mixed: np.ndarray) -> DataFrame:
-    """Runs whose anchor the bitmaps may hold; with their bytes where contents differ."""
-    shared = docs.sparkSession.sparkContext.broadcast((every, mixed))
+def _referenced(docs: DataFrame, text_col: str) -> DataFrame:
+    text = F.coalesce(quoted(text_col).cast("string"), F.lit(""))
+    return docs.select(text.alias("text"), *reference(text))
+
+
+def _occurrences(rows: pa.RecordBatch, offsets: np.ndarray, low: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Text digests, place and a hash of all three for the runs that begin at ``low``."""
+    text = np.searchsorted(offsets, low, side="right") - 1
+    ref, ref2 = (rows.column(name).to_numpy()[text] for name in ("ref", "ref2"))
+    at = low - offsets[text]
+    spot = mix(ref.view(np.uint64) ^ mix(ref2.view(np.uint64) + mix(at.astype(np.uint64) + np.uint64(1))))
+    return ref, ref2, at, spot.view(np.int64)
+
+
+def repeated_runs(docs: DataFrame, length: int, text_col: str, every: np.ndarray) -> DataFrame:
+    """The runs whose anchor the bitmap may hold."""
+    shared = docs.sparkSession.sparkContext.broadcast(every)
+    names = ["key", "unit", "strings", "near", "ref", "ref2", "at", "spot"]
 
     def chosen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rows, data, offsets in blocks(batch):
                 found = Runs(data, offsets, length)
-                hit = np.flatnonzero(may_hold(shared.value[0], found.keys))
-                open_ = may_hold(shared.value[1], found.keys[hit])
+                hit = np.flatnonzero(may_hold(shared.value, found.keys))
                 low, high = found.low[hit], found.high[hit]
-                text = np.searchsorted(offsets, low, side="right") - 1
+                own = [found.keys[hit].view(np.int64), found.units[hit].view(np.int64)]
+                sizes = [(high - low + 1).astype(np.int32), (found.anchor[hit] - high).astype(np.int32)]
+                columns = [*own, *sizes, *_occurrences(rows, offsets, low)]
+                yield pa.record_batch([pa.array(column) for column in columns], names)
+
+    kinds = "key long, unit long, strings int, near int, ref long, ref2 long, at long, spot long"
+    return _referenced(docs, text_col).mapInArrow(chosen, kinds)
+
+
+def run_contents(docs: DataFrame, length: int, text_col: str, spots: np.ndarray) -> DataFrame:
+    """(key, unit, content) of the runs whose place the bitmap may hold."""
+    shared = docs.sparkSession.sparkContext.broadcast(spots)
+
+    def chosen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for rows, data, offsets in blocks(batch):
+                found = Runs(data, offsets, length)
+                spot = _occurrences(rows, offsets, found.low)[3]
+                hit = np.flatnonzero(may_hold(shared.value, spot.view(np.uint64)))
                 raw = data.tobytes()
-                content = [
-                    raw[a:b] if need else None for a, b, need in zip(low.tolist(), (high + length).tolist(), open_.tolist(), strict=True)
-                ]
-                at = pa.array(text)
-                yield pa.record_batch(
-                    [
-                        pa.array(found.keys[hit].view(np.int64)),
-                        pa.array(found.units[hit].view(np.int64)),
-                        rows.column("ref").take(at),
-                        rows.column("ref2").take(at),
-                        pa.array(low - offsets[text]),
-                        pa.array((high - low + 1).astype(np.int32)),
-                        pa.array((found.anchor[hit] - high).astype(np.int32)),
-                        pa.array(content, pa.binary()),
-                    ],
-                    ["key", "unit", "ref", "ref2", "at", "strings", "near", "content"],
-                )
+                content = [raw[a:b] for a, b in zip(found.low[hit].tolist(), (found.high[hit] + length).tolist(), strict=True)]
+                keys = [pa.array(found.keys[hit].view(np.int64)), pa.array(found.units[hit].view(np.int64))]
+                yield pa.record_batch([*keys, pa.array(content, pa.binary())], ["key", "unit", "content"])
 
-    text = F.coalesce(quoted(text_col).cast("string"), F.lit(""))
-    selected = docs.select(text.alias("text"), *reference(text))
-    return selected.mapInArrow(
-        chosen, "key long, unit long, ref long, ref2 long, at long, strings int, near int, content binary"
-    )
+    return _referenced(docs, text_col).mapInArrow(chosen, "key long, unit long, content binary").distinct()
 
 
 def suffix_order(symbols: np.ndarray, depth: int) -> np.ndarray:
@@ -311,33 +323,33 @@ def _written(frame: DataFrame, name: str) -> DataFrame:
     return frame.sparkSession.read.parquet(folder)
 
 
+def _sized(units: DataFrame) -> DataFrame:
+    """Units with the number of their group's ``members``."""
+    sizes = units.groupBy("key").agg(F.count(F.lit(1)).alias("members"))
+    return _written(units.join(sizes, "key"), "units")
+
+
 def repeated_ranges(units: DataFrame, length: int) -> DataFrame:
-    """(key, unit, ranges) of the units' strings that occur twice or more.
+    """(key, unit, ranges) of the strings that occur twice or more among sized units.
 
-    ``units``: distinct contents with their key, how often they occur (``n``), their number of strings, how far
-    the anchor lies from the last string's start (``near``), and the range of such distances (``first``, ``end``).
+    ``units``: distinct runs with their key, ``content`` (where ``members`` is above 1), how often they occur (``n``),
+    their number of ``strings``, how far the anchor lies from the last string's start (``near``), and the range of
+    such distances in the group (``first``, ``end``).
     """
-    sizes = units.groupBy("key").agg(F.count(F.lit(1)).alias("members"))
-    sized = _written(units.join(sizes, "key"), "units")
-    whole = sized.where("n > 1").select("key", "unit", F.array(F.lit(0), F.col("strings")).alias("ranges"))
-    small = sized.where(f"members > 1 and members <= {GROUP_UNITS}").select("key", "unit", "content")
+    whole = units.where("n > 1").select("key", "unit", F.array(F.lit(0), F.col("strings")).alias("ranges"))
+    small = units.where(f"members > 1 and members <= {GROUP_UNITS}").select("key", "unit", "content")
     searched = small.repartition("key").sortWithinPartitions("key").mapInArrow(
         lambda batches: _searched(batches, length), "key long, unit long, ranges array<int>"
     )
     results = whole.union(searched.where("size(ranges) > 0"))
-    large = sized.where(f"members > {GROUP_UNITS}")
+    large = units.where(f"members > {GROUP_UNITS}")
     if not large.limit(1).count():
         return results
-    parts = large.select("key", "unit", "strings", "near", "content", "first", "end", "n").repartition("unit")
-    split = _written(
-        parts.select("key", "unit", "strings", "near", "content", "first", "end").mapInArrow(
-            lambda batches: _parts(batches, length), PARTS
-        ),
-        "parts",
-    )
+    parts = large.select("key", "unit", "strings", "near", "content", "first", "end").repartition("unit")
+    split = _written(parts.mapInArrow(lambda batches: _parts(batches, length), PARTS), "parts")
     counted = split.join(large.select(F.col("key").alias("old_key"), F.col("unit").alias("old_unit"), "n"), ["old_key", "old_unit"])
     grouped = ["key", "unit", "strings", "near", "content", "first", "end"]
-    below = repeated_ranges(counted.groupBy(*grouped).agg(F.sum("n").alias("n")), length)
+    below = repeated_ranges(_sized(counted.groupBy(*grouped).agg(F.sum("n").alias("n"))), length)
     back = split.select("old_key", "old_unit", "skipped", "key", "unit").join(below, ["key", "unit"])
     shifted = F.transform("ranges", lambda x: (x + F.col("skipped")).cast("int"))
     return results.union(back.select(F.col("old_key").alias("key"), F.col("old_unit").alias("unit"), shifted.alias("ranges")))
@@ -356,18 +368,24 @@ def remove_repeats(
     An empty table gives no rows.
     """
     carry = carry or [id_col]
-    every = _written(run_keys(docs, length, text_col), "anchors")
-    bitmaps = bitmap_of(every, "key"), bitmap_of(every.where("mixed"), "key")
-    runs = _written(repeated_runs(docs, length, text_col, *bitmaps), "runs")
+    every = bitmap_of(run_keys(docs, length, text_col), "key")
+    runs = _written(repeated_runs(docs, length, text_col, every), "runs")
+    # One place of each unit stands for it, so that its bytes are fetched once.
+    kinds = runs.groupBy("key", "unit", "strings", "near").agg(F.count(F.lit(1)).alias("n"), F.min("spot").alias("spot"))
     span = max(length - GRAM, 0) + 1
-    units = runs.groupBy("key", "unit", "strings", "near", "content").agg(F.count(F.lit(1)).alias("n"))
-    units = units.withColumns({"first": F.lit(0), "end": F.lit(span)})
-    ranges = _written(repeated_ranges(units, length), "ranges")
-    where = runs.select("key", "unit", "ref", "ref2", "at").distinct()
+    units = _sized(kinds.withColumns({"first": F.lit(0), "end": F.lit(span)}))
+    several = units.where("members > 1")
+    contents = run_contents(docs, length, text_col, bitmap_of(several, "spot"))
+    columns = ["key", "unit", "strings", "near", "content", "n", "members", "first", "end"]
+    filled = several.join(contents, ["key", "unit"]).select(*columns)
+    alone = units.where("members = 1").withColumn("content", F.lit(None).cast("binary")).select(*columns)
+    ranges = _written(repeated_ranges(_written(filled, "contents").union(alone), length), "ranges")
+    where = runs.select("key", "unit", "ref", "ref2", "at")
     pieces = where.join(ranges, ["key", "unit"]).select(
         "ref", "ref2", F.transform("ranges", lambda x: x + F.col("at")).alias("strings")
     )
-    found = pieces.groupBy("ref", "ref2").agg(F.flatten(F.collect_list("strings")).alias("strings"))
+    # A set: copies of one text have the same strings, and are combined before the shuffle.
+    found = pieces.groupBy("ref", "ref2").agg(F.flatten(F.collect_set("strings")).alias("strings"))
     text = F.coalesce(quoted(text_col).cast("string"), F.lit(""))
     rows = docs.select(F.struct(*[quoted(name) for name in carry]).alias("row"), text.alias("text"), *reference(text))
     joined = rows.join(found, ["ref", "ref2"], "left").select("row", "text", "strings")
