@@ -17,7 +17,6 @@ WHITESPACE = (
 FIELD_BLANKS = " \t\n\r\x0b\x0c"
 WHITESPACE_CLASS = r"[\t-\r\x1c-\x20\x85\p{Z}]"
 FENCE_PATTERN = r"```[\p{L}\p{N}_]*\n?"
-LEAD_INS = ["好的，以下是", "好的，", "以下是", "當然可以", "沒問題，"]
 
 
 def strip(field: Column) -> Column:
@@ -52,7 +51,7 @@ def tidy_label(text: Column) -> Column:
     return strip_prose(drop_trailing_number(strip_prose(collapse_spaces(text))))
 
 
-def drop_lead_in(text: Column, phrases: Sequence[str] = LEAD_INS) -> Column:
+def drop_lead_in(text: Column, phrases: Sequence[str]) -> Column:
     """Remove the first listed phrase the text opens with, and the white space behind it."""
     opening = "|".join(re.escape(phrase) for phrase in phrases)
     return F.regexp_replace(strip_prose(text), f"^(?:{opening}){WHITESPACE_CLASS}*", "")
@@ -63,5 +62,6 @@ def drop_fences(text: Column) -> Column:
     return F.regexp_replace(text, FENCE_PATTERN, "")
 
 
-def normalise(text: Column, phrases: Sequence[str] = LEAD_INS) -> Column:
+def normalise(text: Column, phrases: Sequence[str]) -> Column:
+    """Text without a stock opening phrase and without code-fence markers."""
     return drop_fences(drop_lead_in(F.coalesce(text, F.lit("")), phrases))

@@ -10,8 +10,11 @@ from pyspark.sql import functions as F
 from gantrylake.functions.calendar import in_day_window, iso_weekday
 from gantrylake.functions.coercion import to_number, to_wall_clock, to_whole_number
 from gantrylake.functions.text import blank_to_null
+from gantrylake.schemas import RAW_TRIP_COLUMNS
 
 TRIP_TIME = "trip_time"
+#: Ids of a list that is broadcast, a few hundred kB, and parts that a longer list's trips are dealt over.
+LIST_ROWS, SALTS = 20_000, 32
 
 
 def coerce_trips(raw: DataFrame) -> DataFrame:
@@ -130,16 +133,23 @@ def quarantine(raw: DataFrame) -> DataFrame:
 def clean_trips_by_table(raw: DataFrame, gantry_table: DataFrame, gantry: str = "gantry_id") -> DataFrame:
     """As :func:`clean_trips` for a gantry list that arrives as a table, one left join per endpoint.
 
-    No broadcast hint: Spark broadcasts a list below its size threshold and otherwise sorts and
-    merges, splitting a hot gantry by adaptive skew handling.
+    The list is counted first. Up to ``LIST_ROWS`` ids it is broadcast, and no raw row is shuffled. A longer one
+    is joined by id and salt: the trips of a hot gantry are dealt over ``SALTS`` parts, and the list is
+    repeated once per part.
     """
     listed = gantry_table.select(F.col(gantry).alias("listed")).dropna().distinct()
     trips = coerce_trips(raw).where(reject_reason().isNull())
-    marked = (
-        trips.join(listed.withColumnRenamed("listed", "hit_o"), F.col("GantryID_O") == F.col("hit_o"), "left")
-        .join(listed.withColumnRenamed("listed", "hit_d"), F.col("GantryID_D") == F.col("hit_d"), "left")
-        .withColumn("TargetGantry", F.coalesce("hit_o", "hit_d"))
-        .where(F.col("TargetGantry").isNotNull())
-        .drop("hit_o", "hit_d")
-    )
-    return add_calendar(marked)
+    if listed.limit(LIST_ROWS + 1).count() <= LIST_ROWS:
+        small = F.broadcast(listed)
+        marked = trips.join(small.withColumnRenamed("listed", "hit_o"), F.col("GantryID_O") == F.col("hit_o"), "left")
+        marked = marked.join(small.withColumnRenamed("listed", "hit_d"), F.col("GantryID_D") == F.col("hit_d"), "left")
+    else:
+        salt = F.pmod(F.xxhash64(*RAW_TRIP_COLUMNS[3:], TRIP_TIME), F.lit(SALTS))
+        parts = listed.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)).cast("array<bigint>")))
+        marked = trips.withColumn("salt", salt)
+        for end, hit in (("GantryID_O", "hit_o"), ("GantryID_D", "hit_d")):
+            side = parts.select(F.col("listed").alias(hit), "part")
+            marked = marked.join(side, (F.col(end) == F.col(hit)) & (F.col("salt") == F.col("part")), "left").drop("part")
+        marked = marked.drop("salt")
+    target = marked.withColumn("TargetGantry", F.coalesce("hit_o", "hit_d")).where(F.col("TargetGantry").isNotNull())
+    return add_calendar(target.drop("hit_o", "hit_d"))

@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gantrylake.functions.literals import literal_map
-from gantrylake.functions.text import WHITESPACE_CLASS, strip, tidy_label
+from gantrylake.functions.text import WHITESPACE_CLASS, tidy_label
 from gantrylake.schemas import GANTRY_ID_PATTERN
+from gantrylake.session import fresh_path
+from gantrylake.sinks.lake import materialise
 
-ENTRY_PATTERN = f"({GANTRY_ID_PATTERN}){WHITESPACE_CLASS}+([^\\n]{{2,40}})"
+ENTRY_PATTERN = f"({GANTRY_ID_PATTERN}){WHITESPACE_CLASS}+([^\\n]{{2,}})"
 
 
 def enrich_dimension(
@@ -64,6 +65,8 @@ def top_changes(diff: DataFrame, key: str, limit: int = 30) -> DataFrame:
     changed = diff.where(F.col("change") == "changed").select(
         F.col(key).cast("string").alias("item"), "old_value", "new_value", F.col(key).alias("_order")
     )
+    # Written once: the list and the count read the rows, neither compares the versions again.
+    changed = materialise(changed, fresh_path(diff.sparkSession, "changes"))
     listed = changed.orderBy("_order").limit(limit).select("item", "old_value", "new_value", F.lit(0).cast("bigint").alias("more"))
     rest = changed.agg(F.greatest(F.count(F.lit(1)) - F.lit(limit), F.lit(0)).alias("more")).select(
         F.lit("...").alias("item"), F.lit(None).cast("string").alias("old_value"),
@@ -89,6 +92,22 @@ def extract_entries(documents: DataFrame, text: str, order: Sequence[str]) -> Da
     return matches.withColumn("gantry_id", F.regexp_extract("entry", f"^{GANTRY_ID_PATTERN}", 0))
 
 
+def entry_routes(documents: DataFrame, text: str, keys: Sequence[str], markers: Sequence[str]) -> DataFrame:
+    """All entries with the route they stand under: the marker that opens their section, NULL before the first.
+
+    A row's text is cut at its markers and each part searched; no text is shuffled. ``start_pos`` and ``entry_pos`` give
+    the reading order.
+    """
+    bounds = section_bounds(documents, text, [*keys, text], markers)
+    body = F.substring(F.col(text), F.col("start_pos"), F.col("end_pos") - F.col("start_pos"))
+    parts = bounds.select(*keys, F.col("marker").alias("route"), "start_pos", body.alias("part"))
+    found = [F.instr(F.col(text), marker) for marker in markers]
+    opening = F.array_min(F.filter(F.array(*found), lambda place: place > 0))
+    head = F.when(opening.isNull(), F.col(text)).otherwise(F.substring(F.col(text), F.lit(1), opening - 1))
+    before = documents.select(*keys, F.lit(None).cast("string").alias("route"), F.lit(0).alias("start_pos"), head.alias("part"))
+    return extract_entries(parts.unionByName(before), "part", [*keys, "route", "start_pos"])
+
+
 def entry_names(entries: DataFrame) -> DataFrame:
     """The entry text replaced by the tidied name in it. Cheapest after :func:`first_seen`."""
     section = tidy_label(F.regexp_extract("entry", ENTRY_PATTERN, 2))
@@ -129,14 +148,3 @@ def join_chunks(chunks: Column) -> Column:
     """``- title：text`` per chunk, one line each, in document order."""
     lines = F.transform(chunks, lambda c: F.concat(F.lit("- "), c["title"], F.lit("："), c["text"]))
     return F.array_join(lines, "\n")
-
-
-def enrich_with_labels(table: DataFrame, labels: Mapping[str, str], key: str, name: str) -> DataFrame:
-    """A label column from a small fixed mapping; an unknown key shows itself."""
-    return table.withColumn(name, F.coalesce(F.try_element_at(literal_map(labels), F.col(key)), F.col(key)))
-
-
-def clean_id(text: Column) -> Column:
-    """A gantry id if the trimmed text is one, else NULL."""
-    bare = strip(text)
-    return F.when(bare.rlike(f"^{GANTRY_ID_PATTERN}$"), bare)

@@ -19,10 +19,10 @@ def count_hourly(cleaned: DataFrame, keys: Sequence[str] = HOURLY_KEYS) -> DataF
     The map side counts first, so a gantry that holds a third of all trips sends one row per
     hour and type out of each task.
     """
-    return _count_keyed(cleaned.withColumn("GantryID_O", F.col("TargetGantry")), keys)
+    return count_keyed(cleaned.withColumn("GantryID_O", F.col("TargetGantry")), keys)
 
 
-def _count_keyed(trips: DataFrame, keys: Sequence[str]) -> DataFrame:
+def count_keyed(trips: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Count per key; rows with a NULL key belong to no group.
 
     They are left out by what was counted, not by a filter on the keys: that filter would move
@@ -97,7 +97,7 @@ def hourly_counts(
     """
     near = raw.where(touches(gantries, blank_to_null))
     keyed = keyed_trips(near, gantries, year, month, day_start, day_end)
-    return to_lake_rows(add_week_index(_count_keyed(keyed, HOURLY_KEYS)))
+    return to_lake_rows(add_week_index(count_keyed(keyed, HOURLY_KEYS)))
 
 
 def tally_trips(

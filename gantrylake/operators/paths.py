@@ -67,8 +67,8 @@ def od_pairs(trips: DataFrame, width: str = "5 minutes") -> DataFrame:
 
 
 def holiday_flag(daily: DataFrame, holidays: DataFrame, date: str = "date") -> DataFrame:
-    """Day rows with the holiday's name, empty on working days."""
-    marked = daily.join(holidays.select(date, "holiday"), date, "left")
+    """Day rows with the holiday's name, empty on working days. The calendar has a row per holiday: it is broadcast."""
+    marked = daily.join(F.broadcast(holidays.select(date, "holiday")), date, "left")
     return marked.withColumns(
         {"is_holiday": F.col("holiday").isNotNull(), "holiday": F.coalesce("holiday", F.lit(""))}
     )

@@ -215,19 +215,29 @@ def global_stats(hourly: DataFrame) -> DataFrame:
     )
 
 
-def requested_documents(documents: DataFrame, requested: DataFrame) -> DataFrame:
+def global_document(hourly: DataFrame) -> DataFrame:
+    """One JSON document over all gantries: rows and the days of the month that occur."""
+    return global_stats(hourly).select(F.to_json(F.struct("total_rows", "days_covered")).alias("document"))
+
+
+def requested_documents(hourly: DataFrame, requested: DataFrame, threshold: str = ANOMALY_Z) -> DataFrame:
     """A document for every requested gantry with its label; one without data says so.
 
-    ``requested`` has the columns ``gantry_id`` and ``label``.
+    ``requested`` has the columns ``gantry_id`` and ``label``; a gantry without label has none in its document.
     """
-    joined = requested.join(documents, requested["gantry_id"] == documents[GANTRY], "left")
-    body = F.coalesce("document", F.lit('{"available":false}'))
-    head = F.regexp_replace(F.to_json(F.struct("label")), r"\}$", ",")
-    return joined.select("gantry_id", F.concat(head, F.substr(body, F.lit(2))).alias("document"))
+    stats = stats_structs(hourly, threshold).select(F.col(GANTRY).alias("gantry_id"), "stats")
+    parts = [F.col(f"stats.{name}") for name in stats.schema["stats"].dataType.names if name not in ("gantry_id", "available")]
+    document = F.struct("label", "gantry_id", F.col("stats").isNotNull().alias("available"), *parts)
+    return requested.join(stats, "gantry_id", "left").select("gantry_id", F.to_json(document).alias("document"))
 
 
 def stats_documents(hourly: DataFrame, threshold: str = ANOMALY_Z) -> DataFrame:
-    """One JSON document per gantry, from a single pass over the hourly table.
+    """One JSON document per gantry, its id inside."""
+    return stats_structs(hourly, threshold).select(GANTRY, F.to_json("stats").alias("document"))
+
+
+def stats_structs(hourly: DataFrame, threshold: str = ANOMALY_Z) -> DataFrame:
+    """The statistics of each gantry as one struct, from a single pass over the hourly table.
 
     Three grouping sets (day, hour, vehicle type) share one exchange; what then meets per gantry is
     a row per calendar day, 24 hours and the vehicle types, never the trips themselves.
@@ -260,6 +270,7 @@ def stats_documents(hourly: DataFrame, threshold: str = ANOMALY_Z) -> DataFrame:
     n, root = F.col("n"), F.col("root")
     average = lambda total: round_half_even(total.cast("double") / n, 1)
     document = F.struct(
+        F.col(GANTRY).alias("gantry_id"),
         F.lit(True).alias("available"),
         n.alias("days_with_data"),
         F.call_function("div", F.col("total"), n).alias("daily_total_mean"),
@@ -272,7 +283,7 @@ def stats_documents(hourly: DataFrame, threshold: str = ANOMALY_Z) -> DataFrame:
         _weekday_map().alias("weekday_daily_avg"),
         _anomaly_list(threshold).alias("anomaly_days"),
     )
-    return measured.select(GANTRY, F.to_json(document).alias("document"))
+    return measured.select(GANTRY, document.alias("stats"))
 
 
 def _sorted_list(condition: Column, *fields: str) -> Column:

@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from gantrylake.functions.calendar import clock_text, month_key_of
 from gantrylake.functions.files import hourly_file_name
 from gantrylake.functions.literals import literal_array, literal_map
-from gantrylake.functions.text import LEAD_INS
 from gantrylake.operators.hourly import hourly_counts
 
 # --- fixed values of the fixtures ---------------------------------------------------------
@@ -27,6 +26,8 @@ PRIORITIES = {"1": 31, "2": 32, "3": 41, "4": 42, "5": 5}
 YEAR, MONTH = 2024, 1
 FIRST_DAY, LAST_DAY = dt.date(2024, 1, 1), dt.date(2024, 1, 31)
 FILE_PREFIX = "TRIPS"
+LEAD_INS = ["Sure, here is", "Sure,", "Here is", "Certainly", "No problem,"]
+ROUTES = ["Route A", "Route B", "Route C"]
 MARKERS = ["<head", "<nav", "<article", "<table", "<footer", "</body"]
 HOLIDAYS = [(dt.date(2024, 1, 1), "New Year"), (dt.date(2024, 1, 15), "Founding Day"), (dt.date(2024, 2, 10), "Lunar New Year")]
 
@@ -189,6 +190,41 @@ def manual_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", F.array_join(lines, "\n").alias("text"))
 
 
+def routed_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Manual pages whose lines stand under route headings; what precedes the first heading has no route."""
+    heading = lambda i: F.concat(F.get(literal_array(ROUTES), ((F.col("doc_id") + F.call_function("div", i, F.lit(4))) % 3).cast("int")), F.lit("\n"))
+    headed = F.transform(F.split("text", "\n"), lambda line, i: F.when(i % 4 == 2, F.concat(heading(i), line)).otherwise(line))
+    return manual_texts(spark, sf_dir).select("doc_id", F.array_join(headed, "\n").alias("text"))
+
+
+def damaged_copies(spark: SparkSession, landed: str, target: str) -> None:
+    """Plain copies of landed text under names that say they are packed."""
+    spark.read.text(landed).write.text(target)
+    path = spark._jvm.org.apache.hadoop.fs.Path(target)
+    system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    for status in system.listStatus(path):
+        name = status.getPath().getName()
+        if name.startswith("part-"):
+            system.rename(status.getPath(), spark._jvm.org.apache.hadoop.fs.Path(f"{target}/{name}.csv.gz"))
+
+
+def write_daily_files(spark: SparkSession, sf_dir: str, target: str) -> None:
+    """One file of trips per day, and an empty one."""
+    days = trips(spark, sf_dir).select(F.substring("DetectionTime_D", 1, 10).alias("day"), "VehicleType", "GantryID_D")
+    days.repartition("day").write.partitionBy("day").csv(target)
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{target}/day=none/empty.csv")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).create(path).close()
+
+
+def write_dictionaries(spark: SparkSession, sf_dir: str, target: str) -> None:
+    """The part table as JSON dictionaries of a thousand ids each, a file per dictionary."""
+    ids = F.format_string("P%07d", "gantry_id")
+    entry = F.struct(ids.alias("key"), F.struct("section", "county").alias("value"))
+    part = F.call_function("div", F.col("gantry_id"), F.lit(1000)).alias("part")
+    books = _part(spark, sf_dir).groupBy(part).agg(F.to_json(F.map_from_entries(F.collect_list(entry))).alias("value"))
+    books.repartition("part").write.partitionBy("part").text(target)
+
+
 def knowledge_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as knowledge JSON, one chunk per line."""
     chunk = lambda line, i: F.struct(

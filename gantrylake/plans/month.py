@@ -6,6 +6,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from gantrylake.operators.flow import (
     hourly_flow,
@@ -21,13 +22,14 @@ from gantrylake.operators.hourly import (
     tally_trips,
     to_lake_rows,
 )
-from gantrylake.operators.profile import stats_documents
+from gantrylake.operators.profile import global_document, stats_documents
 from gantrylake.operators.quality import run_summary
 from gantrylake.session import fresh_path
-from gantrylake.sinks.lake import create_table_as, materialise, write_lake
-from gantrylake.sinks.records import append_counters, append_record
+from gantrylake.sinks.lake import create_table_as, drop_folder, materialise, replace_days
+from gantrylake.sinks.records import append_counters, append_record, append_skipped
 from gantrylake.sources.hourly import read_lake
-from gantrylake.sources.trips import read_trips, require_rows, with_file_name
+from gantrylake.sources.inventory import read_inventory
+from gantrylake.sources.trips import ANY_FILES, damaged_files, read_trips, require_rows, with_file_name
 
 
 @dataclass(frozen=True)
@@ -43,6 +45,7 @@ class MonthRun:
     record_path: str
     day_start: int = 1
     day_end: int = 31
+    skip_damaged: bool = False
 
 
 def run_month(spark: SparkSession, run: MonthRun) -> DataFrame:
@@ -50,30 +53,42 @@ def run_month(spark: SparkSession, run: MonthRun) -> DataFrame:
 
     The raw files are scanned once, into a tally in the shared folder; hourly rows and counters
     both come from that tally. Counters are read off written rows, so a retried task cannot count
-    twice. Any error is recorded under the job before it is raised.
+    twice. The run replaces its days and leaves the month's other days alone. A damaged file fails
+    the run; with ``skip_damaged`` it is left out whole, each under a record of its own. Any error is
+    recorded under the job, in full, before it is raised.
     """
     if not run.gantries:
         raise ValueError("a job needs at least one gantry")
     append_record(spark, run.record_path, run.job_id, "cleaning")
     try:
-        raw = with_file_name(require_rows(read_trips(spark, run.raw_path)))
-        tally = materialise(
-            tally_trips(raw, run.gantries, run.year, run.month, run.day_start, run.day_end),
-            fresh_path(spark, "tally"),
-        )
-        write_lake(to_lake_rows(add_week_index(hourly_from_tally(tally))), run.lake_path)
-        counters = counters_from_tally(tally)
-        append_counters(counters, run.record_path, run.job_id)
+        raw = with_file_name(read_trips(spark, run.raw_path, tolerant=run.skip_damaged))
+        tally = tally_trips(raw, run.gantries, run.year, run.month, run.day_start, run.day_end)
+        skipped = 0
+        if run.skip_damaged:
+            damaged = materialise(damaged_files(spark, run.raw_path), fresh_path(spark, "damaged"))
+            skipped = damaged.count()
+            append_skipped(damaged, run.record_path, run.job_id)
+            tally = tally.join(damaged, "file_name", "left_anti")
+        folder = fresh_path(spark, "tally")
+        tally = require_rows(materialise(tally, folder))
+        hourly = to_lake_rows(add_week_index(hourly_from_tally(tally)))
+        replace_days(hourly, run.lake_path, run.year, run.month, run.day_start, run.day_end)
+        files = read_inventory(spark, run.raw_path, ANY_FILES).count() - skipped
+        counters = counters_from_tally(tally).withColumn("file_count", F.lit(files).cast("long"))
+        counters = materialise(counters, fresh_path(spark, "counters"))
+        append_counters(counters, run.record_path, run.job_id, skipped=skipped)
+        drop_folder(spark, folder)
     except Exception as error:
-        append_record(spark, run.record_path, run.job_id, "error", str(error)[:2000])
+        append_record(spark, run.record_path, run.job_id, "error", str(error))
         raise
     return run_summary(counters)
 
 
 def run_statistics(spark: SparkSession, lake_path: str, out_path: str, months: list[str] | None = None) -> None:
-    """One JSON statistics document per gantry of the lake, as text files."""
-    documents = stats_documents(read_lake(spark, lake_path, months))
-    documents.select("document").write.mode("overwrite").text(out_path)
+    """JSON statistics as text files: a document per gantry in ``gantries``, one over all in ``all``."""
+    lake = read_lake(spark, lake_path, months)
+    stats_documents(lake).select("document").write.mode("overwrite").text(f"{out_path}/gantries")
+    global_document(lake).write.mode("overwrite").text(f"{out_path}/all")
 
 
 def run_flow(

@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from gantrylake.functions.text import LEAD_INS, WHITESPACE
-from gantrylake.plans.fixtures import GANTRIES, HOLIDAYS, MARKERS, REQUESTED, STATIONS, TARGETS
+from gantrylake.plans.fixtures import GANTRIES, HOLIDAYS, LEAD_INS, MARKERS, REQUESTED, ROUTES, STATIONS, TARGETS
 from gantrylake.schemas import VEHICLE_CODES, VEHICLE_LABELS, WEEKDAY_LABELS
 
 SPACE = r"[\t-\r\x1c-\x20\x85\p{Z}]"
-ENTRY = rf"([0-9]{{2}}[A-Za-z]{{1,2}}[0-9]{{3,4}}[NS]){SPACE}+([^\n]{{2,40}})"
+ENTRY = rf"([0-9]{{2}}[A-Za-z]{{1,2}}[0-9]{{3,4}}[NS]){SPACE}+([^\n]{{2,}})"
 
 
 def _quoted(items: list[str]) -> str:
@@ -199,6 +198,16 @@ weekdays AS (
   FROM day_totals GROUP BY gantry_id_o, weekday)"""
 )
 
+#: The characters of Unicode's white space, and four separators that the clean-up counts in.
+WHITESPACE_CODES = [*range(9, 14), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
+
+MANUAL_LINES = """
+manual_lines AS (
+  SELECT doc_id, list_transform(string_split(text, chr(10)), lambda line, i:
+    lpad(CAST(doc_id % 12 AS VARCHAR), 2, '0') || 'F' || lpad(CAST((i - 1) % 10000 AS VARCHAR), 4, '0')
+    || CASE WHEN (doc_id + i - 1) % 2 = 0 THEN 'N' ELSE 'S' END || '  ' || line || '  ' || CAST(i - 1 AS VARCHAR)) AS lines
+  FROM documents)"""
+
 MANUAL = f"""
 manual AS (
   SELECT doc_id, array_to_string(list_transform(string_split(text, chr(10)), lambda line, i:
@@ -212,7 +221,7 @@ entries AS (
 
 
 def _chars() -> str:
-    return " || ".join(f"chr({ord(c)})" for c in WHITESPACE)
+    return " || ".join(f"chr({code})" for code in WHITESPACE_CODES)
 
 
 def _strip(text: str) -> str:
@@ -241,6 +250,11 @@ def _pivot(axis: str, values: list, names: list[str]) -> str:
 
 
 _VT_NAMES = [f"vt_{c}" for c in VEHICLE_CODES]
+_ROUTE_ROWS = ", ".join(f"('{r}')" for r in ROUTES)
+_TEXT_LIST = (
+    'year AS "Year", month AS "Month", day AS "Day", weekday AS "Weekday", hour_0 AS "Hour_0", gantry_id_o AS "GantryID_O", '
+    'vehicle_type AS "VehicleType", counts, week_index AS "WeekIndex"'
+)
 _MARKER_ROWS = ", ".join(f"('{m}')" for m in MARKERS)
 _REQUESTED_ROWS = ", ".join(f"('{g}')" for g in REQUESTED)
 _HOLIDAY_ROWS = ", ".join(f"(DATE '{d}', '{n}')" for d, n in HOLIDAYS)
@@ -374,10 +388,18 @@ grid AS (SELECT gantry_id_o, CAST(unnest(range(24)) AS INTEGER) AS hour_0 FROM (
         "SELECT (SELECT count(*) FROM hourly) AS total_rows, (SELECT string_agg(CAST(day AS VARCHAR), ',' ORDER BY day) "
         "FROM (SELECT DISTINCT day FROM hourly)) AS days_covered",
     ),
-    "stats_json": _with(DOCUMENTS, "SELECT * FROM documents_"),
+    "stats_json": _with(
+        DOCUMENTS, """SELECT gantry_id_o, '{"gantry_id":"' || gantry_id_o || '",' || substr(document, 2) AS document FROM documents_"""
+    ),
+    "stats_global": _with(
+        HOURLY,
+        """SELECT '{"total_rows":' || (SELECT count(*) FROM hourly) || ',"days_covered":[' ||
+  (SELECT string_agg(CAST(day AS VARCHAR), ',' ORDER BY day) FROM (SELECT DISTINCT day FROM hourly)) || ']}' AS document""",
+    ),
     "stats_requested": _with(
         DOCUMENTS,
-        f"""SELECT g.gantry_id, '{{"label":"gantry ' || g.gantry_id || '",' || coalesce(substr(document, 2), '"available":false}}') AS document
+        f"""SELECT g.gantry_id, '{{' || CASE WHEN g.gantry_id = '{REQUESTED[1]}' THEN '' ELSE '"label":"gantry ' || g.gantry_id || '",' END ||
+  '"gantry_id":"' || g.gantry_id || '",' || coalesce(substr(document, 2), '"available":false}}') AS document
 FROM (VALUES {_REQUESTED_ROWS}) g(gantry_id) LEFT JOIN documents_ d ON d.gantry_id_o = g.gantry_id""",
     ),
     "hour_grid": _with(
@@ -422,8 +444,21 @@ grid AS (SELECT *, CAST(unnest(range(1, 8)) AS INTEGER) AS weekday FROM (SELECT
         HOURLY + "," + MULTI,
         f"SELECT {_HOURLY_LIST}, yyyymm FROM multi UNION ALL SELECT {_HOURLY_LIST}, '202401' FROM hourly",
     ),
-    "week_layer": _with(HOURLY, "SELECT *, '202401' AS yyyymm, 'week' || week_index AS layer FROM hourly"),
-    "day_layer": _with(HOURLY, "SELECT *, '202401' AS yyyymm, 'day' || lpad(day::VARCHAR, 2, '0') AS layer FROM hourly"),
+    "week_layer": _with(HOURLY, "SELECT *, '202401' AS yyyymm FROM hourly WHERE week_index = 2"),
+    "day_layer": _with(HOURLY, "SELECT *, '202401' AS yyyymm FROM hourly WHERE day = 17"),
+    "layer_csv": _with(
+        HOURLY,
+        f"SELECT layer, {_TEXT_LIST} FROM hourly, (VALUES ('month'), ('week'), ('day')) l(layer)",
+    ),
+    "month_window_run": _with(
+        HOURLY,
+        f"SELECT {_HOURLY_LIST}, '202401' AS yyyymm FROM hourly WHERE day <> 30 AND (day NOT BETWEEN 5 AND 9 OR vehicle_type = 31)",
+    ),
+    "nested_files": _with(TRIPS, 'SELECT VehicleType AS "VehicleType", count(*) AS rows FROM trips GROUP BY 1'),
+    "skipped_files": _with(HOURLY, "SELECT * FROM hourly"),
+    "inventory_sizes": (
+        "SELECT true AS filled, count(DISTINCT strftime(ts + INTERVAL 20 MINUTES, '%Y-%m-%d')) AS files FROM events UNION ALL SELECT false, 1"
+    ),
     "hourly_reload": _with(
         HOURLY,
         'SELECT year AS "Year", month AS "Month", day AS "Day", weekday AS "Weekday", hour_0 AS "Hour_0", gantry_id_o AS "GantryID_O", '
@@ -495,6 +530,29 @@ UNION ALL SELECT '...', NULL, NULL, count(*) - 30 FROM diff WHERE change = 'chan
   {_strip(f"regexp_replace({_strip(f"regexp_replace(name, '{SPACE}+', ' ', 'g')")}, '{SPACE}*[0-9]+{SPACE}*$', '')")} AS section
 FROM entries QUALIFY row_number() OVER (PARTITION BY gantry_id ORDER BY doc_id, entry_pos) = 1""",
     ),
+    "entry_routes": _with(
+        MANUAL_LINES
+        + f""",
+headed AS (
+  SELECT doc_id, array_to_string(list_transform(lines, lambda line, i: CASE WHEN (i - 1) % 4 = 2
+    THEN {_case('(doc_id + (i - 1) // 4) % 3', {n: f"'{route}'" for n, route in enumerate(ROUTES)})} || chr(10) || line ELSE line END), chr(10)) AS text
+  FROM manual_lines),
+opened AS (
+  SELECT doc_id, text, route, strpos(text, route) AS start_pos FROM headed, (VALUES {_ROUTE_ROWS}) r(route) WHERE strpos(text, route) > 0
+  UNION ALL SELECT doc_id, text, NULL, 0 FROM headed),
+parts AS (
+  SELECT doc_id, route, substr(text, greatest(start_pos, 1), coalesce(lead(start_pos) OVER w, length(text) + 1) - greatest(start_pos, 1)) AS part
+  FROM opened WINDOW w AS (PARTITION BY doc_id ORDER BY start_pos)),
+found AS (SELECT doc_id, route, unnest(regexp_extract_all(part, '{ENTRY}')) AS entry FROM parts)""",
+        f"""SELECT doc_id, route, regexp_extract(entry, '{ENTRY}', 1) AS gantry_id,
+  {_strip(f"regexp_replace({_strip(f"regexp_replace(regexp_extract(entry, '{ENTRY}', 2), '{SPACE}+', ' ', 'g')")}, '{SPACE}*[0-9]+{SPACE}*$', '')")} AS section
+FROM found""",
+    ),
+    "both_directions": (
+        "SELECT p_partkey AS part, printf('%06d', p_partkey) AS base_id, printf('%06d', p_partkey) || way AS gantry_id "
+        "FROM part, (VALUES ('N'), ('S')) w(way)"
+    ),
+    "dictionary_rows": "SELECT printf('P%07d', p_partkey) AS gantry_id, p_name AS section, p_type AS county FROM part",
     "section_bounds": f"""WITH starts AS (
   SELECT page_id, marker, strpos(html, marker) AS start_pos, length(html) + 1 AS text_end
   FROM pages, (VALUES {_MARKER_ROWS}) m(marker) WHERE strpos(html, marker) > 0)

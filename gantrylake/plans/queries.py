@@ -12,14 +12,15 @@ from gantrylake.functions.files import file_day
 from gantrylake.functions.text import normalise
 from gantrylake.operators import clean, dims, flow, grids, hourly, paths, profile, quality
 from gantrylake.plans import fixtures as fx
-from gantrylake.schemas import KNOWLEDGE_SCHEMA, RAW_TRIP_COLUMNS, VEHICLE_CODES
+from gantrylake.schemas import HOURLY_CSV_COLUMNS, KNOWLEDGE_SCHEMA, RAW_TRIP_COLUMNS, VEHICLE_CODES
 from gantrylake.session import fresh_path
-from gantrylake.sinks.lake import create_table_as, register_lake, write_lake
-from gantrylake.sinks.text import write_hourly_csv, write_layers
-from gantrylake.sources.documents import json_number
+from gantrylake.sinks.lake import create_table_as, register_lake, replace_days, write_lake
+from gantrylake.sinks.text import write_hourly_csv, write_layer_csv, write_layers
+from gantrylake.sources.documents import json_number, read_dictionary
 from gantrylake.sources.hourly import coerce_hourly, read_hourly_csv, read_lake, tag_month, union_months
-from gantrylake.sources.trips import read_trip_months
-from gantrylake.streaming.hourly import hourly_windows, start_hourly_stream, streamed_hourly
+from gantrylake.sources.inventory import read_inventory
+from gantrylake.sources.trips import damaged_files, read_trip_months, read_trips, with_file_name
+from gantrylake.streaming.hourly import compact_partials, hourly_windows, start_hourly_stream, streamed_hourly
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -63,6 +64,34 @@ def raw_scan(spark, sf):
     return read_trip_months(spark, path)
 
 
+def _landed(spark, sf, **options):
+    """All trips as packed text files below a fresh folder."""
+    path = fresh_path(spark, "raw")
+    writer = fx.trips(spark, sf).select(*RAW_TRIP_COLUMNS).write.option("compression", "gzip").option("emptyValue", "")
+    writer.option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false").csv(path)
+    return path
+
+
+@query
+def nested_files(spark, sf):
+    """Trips read back from packed files in nested folders, counted per vehicle code."""
+    path = fresh_path(spark, "nested")
+    trips = fx.trips(spark, sf).select(*RAW_TRIP_COLUMNS, F.substring("DetectionTime_D", 1, 7).alias("part"))
+    trips.write.option("compression", "gzip").partitionBy("part").csv(path)
+    return read_trips(spark, path).groupBy("VehicleType").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@query
+def skipped_files(spark, sf):
+    """Trips of sound files only: a second, damaged landing of the same trips is left out whole."""
+    path = _landed(spark, sf)
+    fx.damaged_copies(spark, path, f"{path}/damaged")
+    bad = damaged_files(spark, path)
+    tally = hourly.tally_trips(with_file_name(read_trips(spark, path, tolerant=True)), fx.TARGETS, fx.YEAR, fx.MONTH)
+    sound = tally.join(F.broadcast(bad.select("file_name")), "file_name", "left_anti")
+    return hourly.to_lake_rows(hourly.add_week_index(hourly.hourly_from_tally(sound))).drop("yyyymm")
+
+
 @query
 def clean_trips(spark, sf):
     cleaned = clean.clean_trips(fx.trips(spark, sf), fx.TARGETS, fx.YEAR, fx.MONTH)
@@ -243,7 +272,13 @@ def stats_json(spark, sf):
 def stats_requested(spark, sf):
     """Documents for a list of requested gantries, one of them without data."""
     requested = spark.createDataFrame([(g, f"gantry {g}") for g in fx.REQUESTED], "gantry_id string, label string")
-    return profile.requested_documents(profile.stats_documents(fx.hourly(spark, sf)), requested)
+    named = requested.withColumn("label", F.when(F.col("gantry_id") != fx.REQUESTED[1], F.col("label")))
+    return profile.requested_documents(fx.hourly(spark, sf), named)
+
+
+@query
+def stats_global(spark, sf):
+    return profile.global_document(fx.hourly(spark, sf))
 
 
 # --- grids and pivots ----------------------------------------------------------------------
@@ -305,6 +340,18 @@ def lake_roundtrip(spark, sf):
     return register_lake(spark, name, path)
 
 
+@query
+def month_window_run(spark, sf):
+    """A month, then its days 5 to 9 again from other trips, then day 30 without any: the other days stay."""
+    path = fresh_path(spark, "window")
+    trips = fx.trips(spark, sf)
+    replace_days(fx.hourly(spark, sf), path, fx.YEAR, fx.MONTH)
+    sedans = trips.where(F.col("VehicleType") == "31")
+    replace_days(hourly.hourly_counts(sedans, fx.TARGETS, fx.YEAR, fx.MONTH, 5, 9), path, fx.YEAR, fx.MONTH, 5, 9)
+    replace_days(fx.hourly(spark, sf).limit(0), path, fx.YEAR, fx.MONTH, 30, 30)
+    return read_lake(spark, path)
+
+
 def _layers(spark, sf):
     path = fresh_path(spark, "layers")
     write_layers(fx.hourly(spark, sf), path)
@@ -313,15 +360,25 @@ def _layers(spark, sf):
 
 @query
 def week_layer(spark, sf):
-    """Every week of the month as its layer."""
-    rows = _layers(spark, sf)
-    return rows.withColumn("layer", F.concat(F.lit("week"), F.col("week_index").cast("string")))
+    """The second week's layer, read by its folder."""
+    return _layers(spark, sf).where("week_index = 2")
 
 
 @query
 def day_layer(spark, sf):
-    rows = _layers(spark, sf)
-    return rows.withColumn("layer", F.concat(F.lit("day"), F.lpad(F.col("day").cast("string"), 2, "0")))
+    """The layer of day 17, read by its folder."""
+    return _layers(spark, sf).where("day = 17")
+
+
+@query
+def layer_csv(spark, sf):
+    """Month, week and day layers in the CSV form, each read back whole."""
+    rows = []
+    for layer in ("month", "week", "day"):
+        path = fresh_path(spark, f"{layer}-csv")
+        write_layer_csv(fx.hourly(spark, sf), path, layer)
+        rows.append(read_hourly_csv(spark, path).select(F.lit(layer).alias("layer"), *HOURLY_CSV_COLUMNS))
+    return rows[0].unionByName(rows[1]).unionByName(rows[2])
 
 
 @query
@@ -373,6 +430,15 @@ def manifest_pending(spark, sf):
     return quality.pending_files(fx.remote_files(spark, sf), fx.local_files(spark, sf))
 
 
+@query
+def inventory_sizes(spark, sf):
+    """Files of a landing by whether they hold anything; an empty one is among them."""
+    path = fresh_path(spark, "inventory")
+    fx.write_daily_files(spark, sf, path)
+    filled = (F.col("size") > 0).alias("filled")
+    return read_inventory(spark, path, "*.csv").groupBy(filled).agg(F.countDistinct("path").alias("files"))
+
+
 @query
 def reconcile(spark, sf):
     """Daily layers against a copy with a lost day, a changed day and a day too many."""
@@ -423,6 +489,27 @@ def id_extract(spark, sf):
     return dims.entry_names(dims.first_seen(entries, "gantry_id", ["doc_id", "entry_pos"]))
 
 
+@query
+def entry_routes(spark, sf):
+    """Every entry of the manual with the route of the section it stands in."""
+    found = dims.entry_routes(fx.routed_texts(spark, sf), "text", ["doc_id"], fx.ROUTES)
+    return dims.entry_names(found).drop("start_pos", "entry_pos")
+
+
+@query
+def both_directions(spark, sf):
+    parts = fx.table(spark, sf, "part").select(F.col("p_partkey").alias("part"), F.format_string("%06d", "p_partkey").alias("base_id"))
+    return dims.both_directions(parts)
+
+
+@query
+def dictionary_rows(spark, sf):
+    """The part table as a JSON dictionary per brand, written and read back."""
+    path = fresh_path(spark, "dictionary")
+    fx.write_dictionaries(spark, sf, path)
+    return read_dictionary(spark, path).select("gantry_id", "section", "county")
+
+
 @query
 def section_bounds(spark, sf):
     return dims.section_bounds(fx.table(spark, sf, "pages"), "html", ["page_id"], fx.MARKERS)
@@ -430,7 +517,7 @@ def section_bounds(spark, sf):
 
 @query
 def text_normalise(spark, sf):
-    return fx.chat_texts(spark, sf).select("conv_id", "turn", normalise(F.col("text")).alias("text"))
+    return fx.chat_texts(spark, sf).select("conv_id", "turn", normalise(F.col("text"), fx.LEAD_INS).alias("text"))
 
 
 @query
@@ -459,12 +546,14 @@ def hourly_window(spark, sf):
 
 @query
 def stream_equals_batch(spark, sf):
-    """The events table read as a stream, counted per micro-batch, partials added up."""
+    """The events read as a stream of eight files, two to a batch, partials added up and some merged on the way."""
     root = fresh_path(spark, "stream")
-    source = f"{sf}/events.parquet*"  # a pattern, so that one file serves as well as a folder of files
-    schema = fx.table(spark, sf, "events").schema
-    stream = fx.trips_raw(spark.readStream.schema(schema).parquet(source))
+    events = fx.table(spark, sf, "events")
+    events.repartition(8, "event_id").write.parquet(f"{root}/in")
+    source = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 2).parquet(f"{root}/in")
+    stream = fx.trips_raw(source)
     start_hourly_stream(stream, f"{root}/partials", f"{root}/checkpoint", fx.TARGETS, fx.YEAR, fx.MONTH).awaitTermination()
+    compact_partials(spark, f"{root}/partials", 1)
     counted = hourly.add_week_index(streamed_hourly(spark, f"{root}/partials"))
     return hourly.to_lake_rows(counted).drop("yyyymm")
 

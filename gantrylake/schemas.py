@@ -33,7 +33,6 @@ GANTRY_ID_PATTERN = r"[0-9]{2}[A-Za-z]{1,2}[0-9]{3,4}[NS]"
 
 # --- keys --------------------------------------------------------------------------------
 HOURLY_KEYS = HOURLY_COLUMNS[:-1]
-LAKE_KEYS = LAKE_COLUMNS[:7]
 DATE_KEYS = ["year", "month", "day"]
 PARTITION_KEY = "yyyymm"
 
@@ -60,7 +59,7 @@ FLOW_SCHEMA = T.StructType(
     ]
 )
 
-DIMENSION_COLUMNS = ["gantry_id", "route", "section", "county", "city", "note"]
+# --- fixed values: field names of the dimension dictionary ---------------------------------
 DIMENSION_ATTRIBUTES = T.StructType(
     [T.StructField(name, T.StringType()) for name in ["section", "county", "city", "note", "route"]]
 )

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -11,7 +10,7 @@ CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
 
 def build_session(app: str = "gantrylake", master: str | None = None, **settings: str) -> SparkSession:
-    """A session with adaptive execution on; the cluster's own settings win where it has any."""
+    """A session with adaptive execution on. These settings hold over the cluster's; ``settings`` hold over these."""
     builder = (
         SparkSession.builder.appName(app)
         .config("spark.sql.adaptive.enabled", "true")
@@ -30,15 +29,10 @@ def build_session(app: str = "gantrylake", master: str | None = None, **settings
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, named by the cluster in ``spark.checkpoint.dir``.
 
-    Only a local-mode session may do without: there the driver's disk is the executors' disk.
+    Where it names none, the warehouse folder serves, which tables need to share as well.
     """
-    folder = spark.conf.get(CHECKPOINT_SETTING, None)
-    if folder:
-        return folder.rstrip("/")
-    master = spark.conf.get("spark.master", "local")
-    if not master.startswith("local"):
-        raise RuntimeError(f"{CHECKPOINT_SETTING} is not set: name a folder that all executors share")
-    return tempfile.mkdtemp(prefix="gantrylake-")
+    folder = spark.conf.get(CHECKPOINT_SETTING, None) or spark.conf.get("spark.sql.warehouse.dir")
+    return folder.rstrip("/")
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:

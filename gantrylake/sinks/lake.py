@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from gantrylake.functions.literals import literal, name as quoted
 from gantrylake.schemas import LAKE_COLUMNS, PARTITION_KEY
+from gantrylake.session import fresh_path
 from gantrylake.sources.hourly import read_lake
 
 
@@ -12,7 +15,7 @@ def write_lake(lake_rows: DataFrame, root: str) -> None:
     """Write lake rows, replacing exactly the months they hold.
 
     Rows are spread by month and day: a month is written by several tasks, each day by one, and
-    every file is sorted. Running a month again replaces it, other months stay.
+    every file is sorted. A month without rows here stays as it is; :func:`replace_days` empties it too.
     """
     (
         lake_rows.select(*LAKE_COLUMNS, PARTITION_KEY)
@@ -25,6 +28,35 @@ def write_lake(lake_rows: DataFrame, root: str) -> None:
     )
 
 
+def replace_days(lake_rows: DataFrame, root: str, year: int, month: int, day_start: int = 1, day_end: int = 31) -> None:
+    """Replace a window of days of one month; its other days stay as they are.
+
+    The month's other days and the new rows are put together in the shared folder first, then take the
+    month's place. Without new rows the window is empty afterwards.
+    """
+    spark = lake_rows.sparkSession
+    key = f"{year:04d}{month:02d}"
+    folder = f"{root}/{PARTITION_KEY}={key}"
+    new = lake_rows.select(*LAKE_COLUMNS)
+    if folder_exists(spark, folder):
+        old = spark.read.schema(new.schema).parquet(folder)
+        new = old.where(~F.col("day").between(day_start, day_end)).unionByName(new)
+    whole = materialise(new, fresh_path(spark, "month"))
+    ordered = whole.repartition("day").sortWithinPartitions("day", "hour_0", "gantry_id_o", "vehicle_type")
+    ordered.write.mode("overwrite").parquet(folder)
+
+
+def folder_exists(spark: SparkSession, folder: str) -> bool:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+
+
+def drop_folder(spark: SparkSession, folder: str) -> None:
+    """Remove an intermediate folder that this library wrote."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def materialise(table: DataFrame, path: str) -> DataFrame:
     """Write a table to the shared folder and go on from the files.
 
@@ -36,23 +68,26 @@ def materialise(table: DataFrame, path: str) -> DataFrame:
 
 def register_lake(spark: SparkSession, name: str, root: str) -> DataFrame:
     """Catalog table over existing month folders; its partitions are known before it is returned."""
-    columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in read_lake(spark, root).schema)
+    columns = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in read_lake(spark, root).schema)
+    table = table_name(name)
     spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING PARQUET PARTITIONED BY ({PARTITION_KEY}) LOCATION '{root}'"
+        f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING PARQUET PARTITIONED BY ({PARTITION_KEY}) LOCATION {literal(root)}"
     )
-    spark.catalog.recoverPartitions(name)
-    spark.catalog.refreshTable(name)
-    return spark.table(name)
+    spark.catalog.recoverPartitions(table)
+    spark.catalog.refreshTable(table)
+    return spark.table(table)
+
+
+def table_name(name: str) -> str:
+    """Each part of a dotted name quoted."""
+    return ".".join(quoted(part) for part in name.split("."))
 
 
 def create_table_as(query: DataFrame, name: str, root: str, partition: str = PARTITION_KEY) -> DataFrame:
-    """Partitioned Parquet table from a query."""
+    """Partitioned Parquet table from a query; a table of that name and its rows are replaced."""
     spark = query.sparkSession
-    view = f"{name.replace('.', '_')}_source"
-    query.createOrReplaceTempView(view)
-    ordered = ", ".join(f"`{c}`" for c in [*(c for c in query.columns if c != partition), partition])
-    spark.sql(
-        f"CREATE TABLE {name} USING PARQUET PARTITIONED BY ({partition}) LOCATION '{root}' AS SELECT {ordered} FROM {view}"
-    )
-    spark.catalog.dropTempView(view)
-    return spark.table(name)
+    table = table_name(name)
+    ordered = [*(c for c in query.columns if c != partition), partition]
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    query.select(*map(quoted, ordered)).write.mode("overwrite").partitionBy(partition).option("path", root).saveAsTable(table)
+    return spark.table(table)

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from gantrylake.operators.quality import latest_status
 
 # --- fixed values: states of a run --------------------------------------------------------
-STATES = ["accepted", "downloading", "downloaded", "cleaning", "done", "error"]
+STATES = ["accepted", "downloading", "downloaded", "cleaning", "skipped", "done", "error"]
 
 RECORD_SCHEMA = T.StructType(
     [
@@ -34,12 +34,27 @@ def append_record(spark: SparkSession, path: str, job_id: str, status: str, note
     spark.createDataFrame([row], RECORD_SCHEMA).write.mode("append").parquet(path)
 
 
-def append_counters(counters: DataFrame, path: str, job_id: str, status: str = "done") -> None:
+def append_skipped(damaged: DataFrame, path: str, job_id: str) -> None:
+    """One record for each file that was left out, with its name and the reason."""
+    at = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None).isoformat(sep=" ")
+    record = damaged.select(
+        F.lit(job_id).alias("job_id"),
+        F.lit(at).cast("timestamp_ntz").alias("at"),
+        F.lit("skipped").alias("status"),
+        *[F.lit(None).cast("long").alias(name) for name in COUNTERS],
+        F.concat_ws(": ", "file_name", "reason").alias("note"),
+    )
+    record.write.mode("append").parquet(path)
+
+
+def append_counters(counters: DataFrame, path: str, job_id: str, status: str = "done", skipped: int = 0) -> None:
     """The closing record with its counters, written by Spark from the one-row table.
 
-    No matching rows is a normal outcome: the record says so in its note.
+    No matching rows is a normal outcome: the record says so in its note, and how many files were skipped.
     """
-    note = F.when(F.col("hourly_rows") == 0, F.lit("no matching rows"))
+    left_out = F.lit(f"{skipped} damaged files skipped" if skipped else None)
+    matched = F.when(F.col("hourly_rows") == 0, F.lit("no matching rows"))
+    note = F.nullif(F.concat_ws("; ", matched, left_out), F.lit(""))
     record = counters.select(
         F.lit(job_id).alias("job_id"),
         F.lit(dt.datetime.now(dt.timezone.utc).replace(tzinfo=None).isoformat(sep=" ")).cast("timestamp_ntz").alias("at"),

@@ -7,10 +7,9 @@ from pyspark.sql import functions as F
 
 
 def read_inventory(spark: SparkSession, path: str, files: str = "*") -> DataFrame:
-    """Name and byte size of the files below a folder; contents are pruned, never read.
+    """Name and byte size of the files below a folder, empty ones too; contents are pruned, never read.
 
-    Spark plans no task for an empty file, so those are absent: to the completeness checks an
-    empty hour and a missing hour are the same.
+    Spark plans no task for an empty file; those come from the listing that the scan was planned from.
     """
     listing = (
         spark.read.format("binaryFile")
@@ -18,8 +17,13 @@ def read_inventory(spark: SparkSession, path: str, files: str = "*") -> DataFram
         .option("pathGlobFilter", files)
         .load(path)
     )
-    return listing.select(
+    listed = list(listing._jdf.inputFiles())
+    # Slashes after the scheme differ between the two; the rest of a path does not.
+    key = F.regexp_replace("path", "^([A-Za-z0-9]+):/+", "$1:/").alias("key")
+    full = listing.select(F.col("_metadata.file_path").alias("path"), F.col("length").alias("size")).select(key, "size")
+    every = spark.createDataFrame([(path,) for path in listed], "path string").select("path", key)
+    return every.join(full, "key", "left").select(
         F.element_at(F.split("path", "/"), -1).alias("file_name"),
-        F.col("length").alias("size"),
+        F.coalesce("size", F.lit(0)).alias("size"),
         F.col("path"),
     )

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import zlib
+from collections.abc import Iterator
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -11,7 +14,7 @@ from pyspark.sql import types as T
 from gantrylake.schemas import PARTITION_KEY, RAW_TRIP_COLUMNS, RAW_TRIP_SCHEMA
 
 # --- fixed values: file name patterns, upper or lower case --------------------------------
-PLAIN_FILES = "*.[cC][sS][vV]"
+PACKED_FILES = "*.[cC][sS][vV].[gG][zZ]"
 ANY_FILES = "*.{[cC][sS][vV],[cC][sS][vV].[gG][zZ]}"
 
 
@@ -20,18 +23,18 @@ def is_index_header(columns: list[str] = RAW_TRIP_COLUMNS) -> Column:
     return reduce(lambda a, b: a & b, (F.col(c).eqNullSafe(str(i)) for i, c in enumerate(columns)))
 
 
-def read_trips(spark: SparkSession, path: str | list[str], files: str = ANY_FILES) -> DataFrame:
+def read_trips(spark: SparkSession, path: str | list[str], files: str = ANY_FILES, tolerant: bool = False) -> DataFrame:
     """All trip files below a folder, one text column per field.
 
-    Short rows are padded with NULL, fields past the eighth are dropped, an unreadable file is
-    skipped. Splitting follows the files: plain text splits by block, gzip is one task per file.
+    Short rows are padded with NULL, fields past the eighth are dropped. A damaged file fails the job;
+    with ``tolerant`` its readable part is returned, and whoever asks must leave the rows of
+    :func:`damaged_files` out. Plain text splits by block, gzip is one task per file.
     """
     raw = (
         spark.read.schema(RAW_TRIP_SCHEMA)
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", files)
-        .option("ignoreCorruptFiles", "true")
-        .option("ignoreMissingFiles", "true")
+        .option("ignoreCorruptFiles", str(tolerant).lower())
         .option("ignoreLeadingWhiteSpace", "false")
         .option("ignoreTrailingWhiteSpace", "false")
         .option("mode", "PERMISSIVE")
@@ -46,7 +49,7 @@ def read_trip_months(spark: SparkSession, root: str, months: list[str] | None =
     The month filter is on the partition column, so other months are never listed into the scan.
     """
     schema = T.StructType([*RAW_TRIP_SCHEMA.fields, T.StructField(PARTITION_KEY, T.StringType())])
-    raw = spark.read.schema(schema).option("ignoreCorruptFiles", "true").csv(root)
+    raw = spark.read.schema(schema).csv(root)
     if months is not None:
         raw = raw.where(F.col(PARTITION_KEY).isin(months))
     return raw.where(~is_index_header())
@@ -65,8 +68,42 @@ def stream_trips(spark: SparkSession, path: str, files_per_trigger: int | None =
 
 
 def with_file_name(raw: DataFrame, column: str = "file_name") -> DataFrame:
-    """Tag rows with the file they were read from."""
-    return raw.withColumn(column, F.element_at(F.split(F.input_file_name(), "/"), -1))
+    """Tag rows with the full path of the file they were read from."""
+    return raw.withColumn(column, F.col("_metadata.file_path"))
+
+
+def damaged_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """``file_name`` (full path) and ``reason`` of packed files that cannot be unpacked to their end.
+
+    Each file is unpacked in one task, piece by piece; nothing of its content leaves the task.
+    """
+    packed = (
+        spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", PACKED_FILES).load(path)
+    )
+
+    def tested(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            reasons = [unpacking_error(memoryview(content.as_buffer())) for content in batch.column("content")]
+            yield pa.record_batch([batch.column("file_name"), pa.array(reasons, pa.string())], ["file_name", "reason"])
+
+    named = packed.select(F.col("_metadata.file_path").alias("file_name"), "content")
+    return named.mapInArrow(tested, "file_name string, reason string").where("reason IS NOT NULL")
+
+
+def unpacking_error(content: memoryview, piece: int = 1 << 20) -> str | None:
+    """What stops a gzip file from being unpacked whole, None for a sound one."""
+    unpacker = zlib.decompressobj(31)
+    try:
+        for start in range(0, len(content), piece):
+            rest = bytes(content[start : start + piece])
+            while rest:
+                unpacker.decompress(rest)
+                rest = unpacker.unused_data  # further members of the same file
+                if rest:
+                    unpacker = zlib.decompressobj(31)
+    except zlib.error as error:
+        return str(error)
+    return None if unpacker.eof else "the file ends early"
 
 
 def require_rows(raw: DataFrame) -> DataFrame:

@@ -3,7 +3,8 @@
 The stream keeps no state. Each micro-batch is counted on its own and written as one partial
 table, named by the batch; the hourly table is the sum of the partials. A batch that is replayed
 after a failure overwrites its own partial, so counting is exact, and a file that arrives late is
-merged like any other, without a watermark and however late it is.
+merged like any other, without a watermark and however late it is. Partials are merged into one table from
+time to time, so that their number stays small.
 """
 
 from __future__ import annotations
@@ -16,22 +17,24 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming.query import StreamingQuery
 
 from gantrylake.functions.calendar import clock_text, instant_wall_clock, wall_clock_instant
-from gantrylake.operators.clean import TRIP_TIME, clean_trips, coerce_trips, count_sound, quarantine
-from gantrylake.operators.hourly import count_hourly, merge_hourly
-from gantrylake.schemas import HOURLY_COLUMNS
+from gantrylake.functions.text import blank_to_null
+from gantrylake.operators.clean import TRIP_TIME, coerce_trips, count_sound, quarantine, touches
+from gantrylake.operators.hourly import count_keyed, keyed_trips, merge_hourly
+from gantrylake.schemas import HOURLY_COLUMNS, HOURLY_KEYS
+from gantrylake.sinks.lake import drop_folder, folder_exists, materialise
 
 _KINDS = {"GantryID_O": T.StringType(), "counts": T.LongType()}
 PARTIAL_SCHEMA = T.StructType([T.StructField(c, _KINDS.get(c, T.IntegerType())) for c in HOURLY_COLUMNS])
 
 
-def write_partial(root: str, files: int = 8) -> Callable[[DataFrame, int], None]:
-    """Batch writer whose output folder depends on the batch number alone.
+def write_partial(root: str) -> Callable[[DataFrame, int], None]:
+    """Batch writer of keyed trips whose output folder depends on the batch number alone.
 
-    Counted rows are few; a handful of files per batch keeps the partial table cheap to list.
+    Counted rows are few; adaptive execution gathers them into as many files as their size asks for.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        count_hourly(batch).coalesce(files).write.mode("overwrite").parquet(f"{root}/batch={batch_id}")
+        count_keyed(batch, HOURLY_KEYS).write.mode("overwrite").parquet(f"{root}/batch={batch_id}")
 
     return write
 
@@ -44,10 +47,15 @@ def start_hourly_stream(
     year: int | None = None,
     month: int | None = None,
 ) -> StreamingQuery:
-    """Clean and count whatever has landed, then stop; the checkpoint remembers what was read."""
-    cleaned = clean_trips(raw_stream, gantries, year, month)
+    """Clean and count whatever has landed, then stop; the checkpoint remembers what was read.
+
+    The source's ``files_per_trigger`` sets the size of a batch. A damaged file fails the stream, as it
+    fails a batch run, and nothing of its batch is counted.
+    """
+    near = raw_stream.where(touches(gantries, blank_to_null))
+    keyed = keyed_trips(near, gantries, year, month).select(*HOURLY_KEYS)
     return (
-        cleaned.writeStream.foreachBatch(write_partial(root))
+        keyed.writeStream.foreachBatch(write_partial(root))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
@@ -55,12 +63,28 @@ def start_hourly_stream(
 
 
 def read_partials(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.schema(PARTIAL_SCHEMA).parquet(root)
+    return spark.read.schema(T.StructType([*PARTIAL_SCHEMA.fields, T.StructField("batch", T.LongType())])).parquet(root)
+
+
+def compact_partials(spark: SparkSession, root: str, through: int) -> None:
+    """Merge the partials of all batches up to ``through`` into that batch's folder; the stream must be stopped.
+
+    The merged table is written to its own folder first. Batch ``through`` must be committed, as the stream
+    would write its folder again when it replays it.
+    """
+    kept = f"{root}/batch={through}"
+    low = read_partials(spark, root).where(F.col("batch") <= through)
+    merged = materialise(merge_hourly(low.drop("batch")), f"{root}/_merged")
+    merged.write.mode("overwrite").parquet(kept)
+    for batch in range(through):
+        if folder_exists(spark, f"{root}/batch={batch}"):
+            drop_folder(spark, f"{root}/batch={batch}")
+    drop_folder(spark, f"{root}/_merged")
 
 
 def streamed_hourly(spark: SparkSession, root: str) -> DataFrame:
     """The hourly table so far: partials added up."""
-    return merge_hourly(read_partials(spark, root))
+    return merge_hourly(read_partials(spark, root).drop("batch"))
 
 
 def start_quarantine_stream(raw_stream: DataFrame, root: str, checkpoint: str) -> StreamingQuery:

@@ -1,5 +1,6 @@
 import datetime as dt
 import gzip
+import json
 import os
 
 import pytest
@@ -14,7 +15,7 @@ from gantrylake.sinks.text import write_hourly_csv, write_layer_csv, write_layer
 from gantrylake.sources.documents import read_dictionary, read_knowledge
 from gantrylake.sources.hourly import read_hourly_csv, read_lake, tag_month, union_months
 from gantrylake.sources.inventory import read_inventory
-from gantrylake.sources.trips import read_trip_months, read_trips, require_rows
+from gantrylake.sources.trips import damaged_files, read_trip_months, read_trips, require_rows
 
 LINE = "31,2026-03-01 08:00:00,01F2930N,2026-03-01 08:20:00,01F3083N,10.5,Y,info"
 
@@ -50,11 +51,61 @@ def test_short_long_and_quoted_rows(spark, tmp_path):
     assert (quoted.VehicleType, quoted.GantryID_O) == ("31", "c,c")
 
 
-def test_damaged_gzip_is_skipped(spark, tmp_path):
+def cut_gzip(path, rows):
+    """A gzip file that breaks off: its first rows can still be read."""
+    whole = gzip.compress("".join(f"{LINE}{n}\n" for n in range(rows)).encode())
+    path.parent.mkdir(parents=True, exist_ok=True)
+    path.write_bytes(whole[: len(whole) * 6 // 10])
+
+
+def test_damaged_gzip_fails_or_is_named(spark, tmp_path):
     put(tmp_path, "good.csv.gz", LINE + "\n", zipped=True)
-    whole = gzip.compress((LINE + "\n").encode() * 1000)
-    (tmp_path / "bad.csv.gz").write_bytes(whole[: len(whole) // 2])
-    assert read_trips(spark, str(tmp_path)).where("GantryID_O IS NOT NULL").count() >= 1
+    put(tmp_path, "two.csv.gz", "", zipped=False).write_bytes(gzip.compress(LINE.encode()) + gzip.compress(b"\n" + LINE.encode()))
+    cut_gzip(tmp_path / "bad.csv.gz", 20000)
+    put(tmp_path, "false.csv.gz", LINE + "\n")
+    with pytest.raises(Exception):  # noqa: B017  Spark wraps the reader's error
+        read_trips(spark, str(tmp_path)).count()
+    bad = {os.path.basename(r.file_name): r.reason for r in damaged_files(spark, str(tmp_path)).collect()}
+    assert set(bad) == {"bad.csv.gz", "false.csv.gz"}
+    assert bad["bad.csv.gz"] == "the file ends early"
+
+
+def test_month_run_fails_on_or_leaves_out_a_damaged_file(spark, tmp_path):
+    put(tmp_path / "raw", "a.csv.gz", LINE + "\n" + LINE + "\n", zipped=True)
+    put(tmp_path / "raw", "empty.csv", "")
+    cut_gzip(tmp_path / "raw" / "bad.csv.gz", 20000)
+    with pytest.raises(Exception):  # noqa: B017
+        run_month(spark, month_run(tmp_path))
+    (failed,) = read_latest(spark, str(tmp_path / "records")).collect()
+    assert failed.status == "error" and len(failed.note) > 0
+    (summary,) = run_month(spark, month_run(tmp_path, skip_damaged=True)).collect()
+    assert (summary.scanned_rows, summary.cleaned_rows, summary.file_count) == (2, 2, 2)
+    records = spark.read.parquet(str(tmp_path / "records"))
+    (skipped,) = records.where("status = 'skipped'").collect()
+    assert skipped.note.endswith("bad.csv.gz: the file ends early")
+    assert read_latest(spark, str(tmp_path / "records")).first().note == "1 damaged files skipped"
+
+
+def test_day_window_keeps_the_other_days(spark, tmp_path):
+    lines = [LINE.replace("2026-03-01", f"2026-03-{day:02d}") for day in (1, 5, 9) for _ in range(2)]
+    put(tmp_path / "raw", "a.csv", "\n".join(lines) + "\n")
+    days = lambda: sorted((r.day, r.counts) for r in read_lake(spark, str(tmp_path / "lake")).collect())
+    run_month(spark, month_run(tmp_path))
+    assert days() == [(1, 2), (5, 2), (9, 2)]
+    run_month(spark, month_run(tmp_path, day_start=5, day_end=5))
+    assert days() == [(1, 2), (5, 2), (9, 2)]
+    run_month(spark, month_run(tmp_path, gantries=["05F0055N"], day_start=5, day_end=9))
+    assert days() == [(1, 2)]
+    run_month(spark, month_run(tmp_path, gantries=["05F0055N"]))
+    assert days() == []
+
+
+def test_canonical_order_over_several_files(spark, lake, tmp_path):
+    rows = hourly.to_text_layout(lake([(d, h, "a", v, 1) for v in (5, 31) for h in range(24) for d in range(1, 29)]).repartition(7))
+    write_hourly_csv(rows, str(tmp_path / "out"), mark=False)
+    text = "".join(open(path).read().split("\n", 1)[1] for path in sorted(files_below(tmp_path / "out", ".csv")))
+    keys = [tuple(int(x) for x in (line.split(",")[2], line.split(",")[4], line.split(",")[6])) for line in text.splitlines()]
+    assert len(keys) == 28 * 24 * 2 and keys == sorted(keys)
 
 
 def test_nothing_to_read_is_an_error(spark, tmp_path):
@@ -130,6 +181,7 @@ def test_inventory_reads_no_content(spark, tmp_path):
     listing = read_inventory(spark, str(tmp_path))
     assert sorted((r.file_name, r.size) for r in listing.select("file_name", "size").collect()) == [
         ("TRIPS_20260301_080000.csv", len(LINE)),
+        ("TRIPS_20260301_090000.csv", 0),
     ]
     assert "content" not in listing._jdf.queryExecution().optimizedPlan().toString().split("Relation")[0]
 
@@ -180,8 +232,10 @@ def test_month_run_end_to_end(spark, tmp_path):
     (record,) = read_latest(spark, str(tmp_path / "records")).collect()
     assert (record.status, record.scanned_rows, record.note) == ("done", 9, None)
     run_statistics(spark, str(tmp_path / "lake"), str(tmp_path / "stats"))
-    (document,) = spark.read.text(str(tmp_path / "stats")).collect()
-    assert document.value.startswith('{"available":true,"days_with_data":1')
+    (document,) = spark.read.text(str(tmp_path / "stats" / "gantries")).collect()
+    assert document.value.startswith('{"gantry_id":"01F2930N","available":true,"days_with_data":1')
+    (document,) = spark.read.text(str(tmp_path / "stats" / "all")).collect()
+    assert json.loads(document.value) == {"total_rows": 3, "days_covered": [1]}
 
 
 def test_month_without_match_is_done_with_a_note(spark, tmp_path):

@@ -143,13 +143,13 @@ def test_chunks_and_directions(spark):
 @pytest.mark.parametrize(
     "text, want",
     [
-        (" 好的，以下是 報告", "報告"), ("好的，好的，x", "好的，x"), ("x 以下是", "x 以下是"), ("```json\n{}\n```", "{}\n"),
-        ("　 沒問題，\n a ", "a"), (None, ""), ("```程式\ny```", "y"),
+        (" Sure, here is 報告", "報告"), ("Sure, Sure, x", "Sure, x"), ("x Sure,", "x Sure,"), ("```json\n{}\n```", "{}\n"),
+        ("\u3000\u2003 Here is\n a ", "a"), (None, ""), ("```程式\ny```", "y"),
     ],
 )
 def test_normalise(spark, text, want):
     frame = spark.createDataFrame([(text,)], "t string")
-    assert frame.select(normalise(F.col("t"))).first()[0] == want
+    assert frame.select(normalise(F.col("t"), ["Sure, here is", "Sure,", "Here is"])).first()[0] == want
 
 
 def test_tidy_label(spark):

@@ -2,7 +2,7 @@ from conftest import TARGETS, raw_row
 
 from gantrylake.operators import hourly
 from gantrylake.sources.trips import stream_trips
-from gantrylake.streaming.hourly import hourly_windows, start_hourly_stream, start_quarantine_stream, streamed_hourly
+from gantrylake.streaming.hourly import compact_partials, hourly_windows, start_hourly_stream, start_quarantine_stream, streamed_hourly
 
 
 def land(raw, folder, name, rows):
@@ -29,14 +29,18 @@ def test_stream_equals_batch_over_batches_late_files_and_restarts(spark, raw, tm
     batch = hourly.hourly_counts(raw(*landed), TARGETS, 2026, 3)
     streamed = hourly.to_lake_rows(hourly.add_week_index(streamed_hourly(spark, root)))
     assert sorted(streamed.collect()) == sorted(batch.collect())
-    assert len(list((tmp_path / "partials").glob("batch=*"))) >= 3
+    batches = sorted(int(p.name[6:]) for p in (tmp_path / "partials").glob("batch=*"))
+    assert len(batches) >= 3
+    compact_partials(spark, root, batches[-1])
+    assert [p.name for p in (tmp_path / "partials").glob("batch=*")] == [f"batch={batches[-1]}"]
+    merged = hourly.to_lake_rows(hourly.add_week_index(streamed_hourly(spark, root)))
+    assert sorted(merged.collect()) == sorted(batch.collect())
 
 
 def test_replayed_batch_overwrites_its_partial(spark, raw, tmp_path):
-    from gantrylake.operators.clean import clean_trips
     from gantrylake.streaming.hourly import write_partial
 
-    batch = clean_trips(raw(raw_row(), raw_row()), TARGETS, 2026, 3)
+    batch = hourly.keyed_trips(raw(raw_row(), raw_row()), TARGETS, 2026, 3)
     for _ in range(2):
         write_partial(str(tmp_path))(batch, 0)
     assert streamed_hourly(spark, str(tmp_path)).first().counts == 2
@@ -61,3 +65,10 @@ def test_windows_in_append_mode_emit_closed_hours(spark, raw, tmp_path):
     query.awaitTermination()
     (row,) = spark.read.parquet(str(tmp_path / "out")).collect()
     assert (row.window_start, row.window_end, row.trips) == ("2026-03-01 08:00:00", "2026-03-01 09:00:00", 2)
+
+
+def test_time_field_is_matched_once(spark, raw, tmp_path):
+    land(raw, tmp_path / "in", "a", [raw_row()])
+    batch = hourly.keyed_trips(raw(raw_row()), TARGETS, 2026, 3)
+    plan = hourly.count_keyed(batch, hourly.HOURLY_KEYS)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("RLIKE") + plan.count("rlike") <= 1
