@@ -26,6 +26,8 @@ SEQUENCE = 64
 EPOCHS = 2
 #: Words of a stretch that forward-backward takes in one step of its outer chain.
 STRETCH = 32
+#: Bytes of texts that are labelled together: the outer chain's steps serve more texts at once.
+BLOCK = 2 << 20
 #: Distinct words whose scores a worker remembers; then it starts afresh.
 REMEMBERED = 1 << 19
 LETTER = np.zeros(256, bool)
@@ -246,7 +248,7 @@ def identify(docs: DataFrame, crf: Crf, text_col: str = "text", carry: list[str]
     def tagged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tagger = Tagger(shared.value)
         for batch in batches:
-            for rows, data, offsets in blocks(batch):
+            for rows, data, offsets in blocks(batch, budget=BLOCK):
                 if labels:
                     chance, first = tagger.label(data, offsets)
                 else:
