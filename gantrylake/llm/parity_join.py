@@ -308,7 +308,7 @@ def pairs_across(open_: DataFrame, sketches: DataFrame, percent: int) -> DataFra
     """
     tiles = open_.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / TILE).cast("int").alias("tiles"))
     shared = open_.groupBy("short").agg(F.collect_set("key").alias("shared"))
-    rows = open_.join(tiles, "key").join(shared, "short").join(sketches, "short")
+    rows = open_.join(_written(tiles, "tiles"), "key").join(shared, "short").join(sketches, "short")
     rows = rows.withColumns(
         {
             "sketch": F.when(F.col("later"), F.col("next_sketch")).otherwise(F.col("sketch")),
@@ -351,8 +351,10 @@ def near_duplicates(
     leading = _written(leading.distinct(), "leading")
     # The centre of a bucket is its set with the fewest blocks of its own.
     rank = F.shiftleft("own", 48).bitwiseOR(_brief("short"))
+    # Tables of one row per key are written before they are joined: Spark can split a hot key of a plain shuffle only.
     centres = leading.groupBy("key").agg(F.min(rank).alias("centre"), F.count(F.lit(1)).alias("members")).where("members > 1")
-    members = _written(leading.join(centres.select("key", "centre"), "key").withColumn("rank", rank), "members")
+    centres = _written(centres.select("key", "centre"), "centres")
+    members = _written(leading.join(centres, "key").withColumn("rank", rank), "members")
     counted = members.where("rank != centre").groupBy("short", "centre").agg(F.count(F.lit(1)).alias("n"))
     nearest = counted.groupBy("short").agg(F.max_by("centre", F.struct("n", "centre")).alias("most"), F.min("centre").alias("least"))
     brief = F.col("centre").bitwiseAND(F.lit((1 << 48) - 1)).alias("brief")
@@ -365,7 +367,7 @@ def near_duplicates(
     groups = texts.select("short", "node").join(roots, "node", "left").select("short", F.coalesce("root", "node").alias("root"))
     labelled = members.select("key", "short", "later").join(groups, "short")
     mixed = labelled.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low != high").select("key")
-    open_ = _written(labelled.join(mixed, "key"), "open")
+    open_ = _written(labelled.join(_written(mixed, "mixed"), "key"), "open")
     whole = filled.select(short, "n_shingles", "sketch", "next_sketch").join(open_.select("short").distinct(), "short", "left_semi")
     across = pairs_across(open_, whole.distinct(), percent).select("short", _brief("other").alias("brief")).distinct()
     across = _written(across.join(first, ["short", "brief"], "left_anti"), "across")
@@ -374,7 +376,7 @@ def near_duplicates(
     nodes = rows.where("n_shingles > 0").groupBy("node").agg(F.min("doc_id").alias("least"))
     rooted = nodes.join(roots, "node", "left").select("node", "least", F.coalesce("root", "node").alias("root"))
     named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = rooted.join(named, "root").select("node", "component_id")
+    named = rooted.join(_written(named, "names"), "root").select("node", "component_id")
     full = rows.where("n_shingles > 0").select("doc_id", "n_shingles", "node").join(named, "node", "left")
     empty = rows.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     return full.select("doc_id", "n_shingles", "component_id").union(empty)

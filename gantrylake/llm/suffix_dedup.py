@@ -324,9 +324,13 @@ def _written(frame: DataFrame, name: str) -> DataFrame:
 
 
 def _sized(units: DataFrame) -> DataFrame:
-    """Units with the number of their group's ``members``."""
-    sizes = units.groupBy("key").agg(F.count(F.lit(1)).alias("members"))
-    return _written(units.join(sizes, "key"), "units")
+    """Units with the number of their group's ``members``.
+
+    Both sides of the join are written first: it then reads plain shuffles, which Spark splits where a key is hot.
+    """
+    stored = _written(units, "kinds")
+    sizes = _written(stored.groupBy("key").agg(F.count(F.lit(1)).alias("members")), "sizes")
+    return _written(stored.join(sizes, "key"), "units")
 
 
 def repeated_ranges(units: DataFrame, length: int) -> DataFrame:
