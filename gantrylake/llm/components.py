@@ -1,4 +1,4 @@
-"""Connected components of an edge table, by least labels and pointer jumping."""
+"""Connected components of an edge table, by following least neighbours and contracting."""
 
 from __future__ import annotations
 
@@ -11,34 +11,37 @@ from gantrylake.session import fresh_path
 def connected_components(edges: DataFrame) -> DataFrame:
     """(node, root) for every node of ``edges`` (columns ``a`` and ``b``); root is the least node reachable.
 
-    Each round takes the least label among a node and its neighbours, then the label of that label, so the
-    rounds grow with the logarithm of a component's width. Every round is written to the shared folder, and
-    a node with very many edges is combined before the shuffle. NULL ends are ignored.
+    Each round every node follows its least neighbour if that is less than itself, chains are shortened until all
+    point at their end, and the edges are drawn anew between those ends; what is left shrinks by half at
+    least. Every step is written to the shared folder, and a node with very many edges is combined before
+    the shuffle. NULL ends are ignored.
     """
-    spark = edges.sparkSession
     kept = edges.where("a is not null and b is not null and a != b")
-    both = kept.select("a", "b").union(kept.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
-    folder = fresh_path(spark, "edges")
-    both.write.parquet(folder)
-    both = spark.read.parquet(folder)
-    first = both.groupBy("a").agg(F.min("b").alias("b")).select(F.col("a").alias("node"), F.least("a", "b").alias("root"))
-    labels, _ = _stored(first.withColumn("changed", F.lit(True)))
+    left = _written(kept.select("a", "b").union(kept.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges")
+    roots = left.select(F.col("a").alias("node")).distinct().select("node", F.col("node").alias("root"))
+    while left.limit(1).count():
+        least = left.groupBy("a").agg(F.min("b").alias("b")).select(F.col("a").alias("node"), F.least("a", "b").alias("up"))
+        parents = _shortened(_written(least, "parents"))
+        ends = parents.select(F.col("node").alias("root"), "up")
+        roots = _written(roots.join(ends, "root", "left").select("node", F.coalesce("up", "root").alias("root")), "roots")
+        ups = parents.select(F.col("node").alias("a"), F.col("up").alias("up_a")), parents.select(F.col("node").alias("b"), F.col("up").alias("up_b"))
+        drawn = left.join(ups[0], "a").join(ups[1], "b").where("up_a != up_b")
+        left = _written(drawn.select(F.col("up_a").alias("a"), F.col("up_b").alias("b")).distinct(), "edges")
+    return roots
+
+
+def _shortened(parents: DataFrame) -> DataFrame:
+    """(node, up) with every node pointing at the end of its chain."""
     while True:
-        near = both.join(labels.select(F.col("node").alias("b"), "root"), "b").groupBy("a").agg(F.min("root").alias("near"))
-        stepped = labels.join(near.withColumnRenamed("a", "node"), "node").select(
-            "node", F.least("root", "near").alias("root"), F.col("root").alias("old")
-        )
-        above = labels.select(F.col("node").alias("root"), F.col("root").alias("top"))
-        jumped = stepped.join(above, "root").select("node", F.col("top").alias("root"), (F.col("top") != F.col("old")).alias("changed"))
-        labels, changed = _stored(jumped)
-        if not changed:
-            return labels
-
-
-def _stored(labels: DataFrame) -> tuple[DataFrame, bool]:
-    spark = labels.sparkSession
-    folder = fresh_path(spark, "labels")
-    labels.write.parquet(folder)
-    stored = spark.read.parquet(folder)
-    changed = bool(stored.where("changed").limit(1).count())
-    return stored.select("node", "root"), changed
+        above = parents.select(F.col("node").alias("up"), F.col("up").alias("top"))
+        moved = parents.join(above, "up").select("node", F.col("top").alias("up"), (F.col("top") != F.col("up")).alias("moved"))
+        moved = _written(moved, "parents")
+        parents = moved.select("node", "up")
+        if not moved.where("moved").limit(1).count():
+            return parents
+
+
+def _written(frame: DataFrame, name: str) -> DataFrame:
+    folder = fresh_path(frame.sparkSession, name)
+    frame.write.parquet(folder)
+    return frame.sparkSession.read.parquet(folder)

@@ -37,7 +37,7 @@ SPARE = 1.25
 BAND = 1.5
 #: Sets of a bucket that are compared in one piece of work, and bits of a whole sketch per differing shingle.
 TILE = 2048
-WHOLE_BITS = 16
+WHOLE_BITS = 8
 #: Blocks of its own that are told apart when a centre is chosen.
 OWN_LIMIT = (1 << 15) - 1
 _BIT_CODES = np.random.Generator(np.random.PCG64(77)).integers(1, 2**63, BLOCK_BITS, dtype=np.uint64)
@@ -260,7 +260,7 @@ def _tile_pairs(rows: list[tuple], low: int, high: int, bands: Bands) -> list[tu
     """
     key = rows[0][0]
     short = np.array([row[1] for row in rows], np.int64)
-    roots = np.unique(np.array([row[2] for row in rows], object), return_inverse=True)[1]
+    roots = np.array([row[2] for row in rows], np.int64)
     sizes = np.array([row[3] for row in rows], np.int64)
     words = np.frombuffer(b"".join(row[4] for row in rows), np.uint64).reshape(len(rows), -1)
     keys = [frozenset(row[5]) for row in rows]
@@ -308,7 +308,7 @@ def pairs_across(open_: DataFrame, sketches: DataFrame, percent: int) -> DataFra
     """
     tiles = open_.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / TILE).cast("int").alias("tiles"))
     shared = open_.groupBy("short").agg(F.collect_set("key").alias("shared"))
-    rows = open_.join(_written(tiles, "tiles"), "key").join(shared, "short").join(sketches, "short")
+    rows = open_.join(_written(tiles, "tiles"), "key").join(_written(shared.join(sketches, "short"), "whole"), "short")
     rows = rows.withColumns(
         {
             "sketch": F.when(F.col("later"), F.col("next_sketch")).otherwise(F.col("sketch")),
@@ -342,10 +342,10 @@ def near_duplicates(
     rows = _written(sketched(docs, width, percent, id_col, text_col), "sketches")
     short = _short("node").alias("short")
     filled = rows.where("n_shingles > 0")
-    buckets = filled.select(short, F.explode(F.concat("keys", "next_keys")).alias("key"))
-    # How common each block is among different sets: combined before the shuffle.
-    common = buckets.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("short").alias("low"), F.max("short").alias("high"))
-    table = spark.sparkContext.broadcast(rarity_table(common.where("low != high").select("key", "n"), "key", "n"))
+    buckets = filled.select(F.explode(F.concat("keys", "next_keys")).alias("key"))
+    # How common each block is: combined before the shuffle. Copies of one set count, which only makes the order coarser.
+    common = buckets.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    table = spark.sparkContext.broadcast(rarity_table(common, "key", "n"))
     sketches = filled.select(short, "keys", "lead", "next_keys", "next_lead")
     leading = sketches.mapInArrow(lambda batches: leading_keys(table.value, batches), "key long, short long, own long, later boolean")
     leading = _written(leading.distinct(), "leading")
@@ -365,11 +365,19 @@ def near_duplicates(
     # Then what shares a bucket across components.
     roots = connected_components(edges)
     groups = texts.select("short", "node").join(roots, "node", "left").select("short", F.coalesce("root", "node").alias("root"))
-    labelled = members.select("key", "short", "later").join(groups, "short")
+    groups = groups.withColumn("root", F.xxhash64("root"))
+    labelled = _written(members.select("key", "short", "later").join(groups, "short"), "labelled")
     mixed = labelled.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low != high").select("key")
     open_ = _written(labelled.join(_written(mixed, "mixed"), "key"), "open")
-    whole = filled.select(short, "n_shingles", "sketch", "next_sketch").join(open_.select("short").distinct(), "short", "left_semi")
-    across = pairs_across(open_, whole.distinct(), percent).select("short", _brief("other").alias("brief")).distinct()
+    wanted = spark.sparkContext.broadcast(bitmap_of(open_.select("short").distinct(), "short"))
+
+    def chosen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(may_hold(wanted.value, batch.column("short").to_numpy().view(np.uint64))))
+
+    whole = filled.select(short, "n_shingles", "sketch", "next_sketch")
+    whole = whole.mapInArrow(chosen, whole.schema).distinct()
+    across = pairs_across(open_, whole, percent).select("short", _brief("other").alias("brief")).distinct()
     across = _written(across.join(first, ["short", "brief"], "left_anti"), "across")
     later = _written(verified(across, texts, width, percent), "links")
     roots = connected_components(edges.union(later))
