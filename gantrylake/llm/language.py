@@ -156,7 +156,9 @@ def fit_crf(texts: list[str], langs: list[str]) -> Crf:
         words = np.concatenate([np.arange(*spans[n]) for n in order]) if len(order) else np.zeros(0, np.int64)
         for at in range(0, len(words), 64 * SEQUENCE):
             batch = words[at : at + 64 * SEQUENCE]
-            numbers, owner = word_features(data, starts[batch], ends[batch])
+            sizes = ends[batch] - starts[batch]
+            upto = np.cumsum(sizes)
+            numbers, owner = word_features(data[ragged(starts[batch], sizes)], upto - sizes, upto)
             scores = np.stack([np.bincount(owner, weights[numbers, n], minlength=len(batch)) for n in range(count)], 1)
             begins = np.append(np.arange(0, len(batch), SEQUENCE), len(batch))
             chance = forward_backward(scores, begins, transitions)

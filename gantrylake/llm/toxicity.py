@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gantrylake.llm.arrays import LOWER, WORD, HashIndex, SpanHash, blocks, mix, ragged, runs
+from gantrylake.llm.arrays import BLOCK_BYTES, LOWER, WORD, HashIndex, SpanHash, blocks, cuts, mix, ragged, runs, text_buffers
 from gantrylake.llm.rows import quoted, result_schema, unpacked, with_text
 
 #: Hashed forms, embedding size, filters of each width, widths.
@@ -138,17 +138,25 @@ def _step(model: TextCnn, forms: np.ndarray, first: np.ndarray, truth: np.ndarra
         model.embedding[rows] -= rate * grad / np.sqrt(seen[rows])
 
 
+def forms_of(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Form numbers of all words, small and worked out block by block, and where each text's words begin."""
+    data, offsets = text_buffers(pa.array(texts, pa.large_string()))
+    parts, counts = [np.zeros((0, 4), np.uint16)], [np.zeros(1, np.int64)]
+    for low, high in cuts(offsets, BLOCK_BYTES):
+        block = LOWER[data[offsets[low] : offsets[high]]]
+        starts, ends, first = runs(WORD[block], offsets[low : high + 1] - offsets[low])
+        parts.append(word_forms(block, starts, ends).astype(np.uint16))
+        counts.append(np.diff(first))
+    return np.concatenate(parts), np.cumsum(np.concatenate(counts))
+
+
 def fit_toxicity(rows: list[tuple[str, int, str]]) -> TextCnn:
     """Learns from (text, label 0 or 1, language or '') rows; one part of them only calibrates."""
     model = TextCnn.fresh(23)
     if not rows:
         model.bias = -4.0
         return model
-    raw = [text.encode() for text, _, _ in rows]
-    offsets = np.concatenate([[0], np.cumsum([len(text) for text in raw])]).astype(np.int64)
-    data = LOWER[np.frombuffer(b"".join(raw), np.uint8)]
-    starts, ends, first = runs(WORD[data], offsets)
-    forms = word_forms(data, starts, ends)
+    forms, first = forms_of([text for text, _, _ in rows])
     truth = np.array([label for _, label, _ in rows], np.float32)
     random = np.random.Generator(np.random.PCG64(29))
     order = random.permutation(len(rows))
