@@ -15,6 +15,7 @@ from gantrylake.llm.queries import tokenizer_path
 from gantrylake.llm.rows import quoted
 from gantrylake.llm.suffix_dedup import remove_repeats
 from gantrylake.session import fresh_path
+from gantrylake.sinks.lake import drop_folder
 
 
 def accept(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -67,8 +68,12 @@ ORACLE_SQL: str | None = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    done = None
     for name, stage in STAGES:
         folder = fresh_path(spark, f"stage-{name.replace(' ', '-')}")
         stage(spark, docs, sf_dir).write.parquet(folder)
         docs = spark.read.parquet(folder)
+        if done:
+            drop_folder(spark, done)  # the next stage's input is all that is still needed
+        done = folder
     return docs

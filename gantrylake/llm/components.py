@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gantrylake.session import fresh_path
+from gantrylake.llm.scratch import Scratch
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -16,32 +16,27 @@ def connected_components(edges: DataFrame) -> DataFrame:
     least. Every step is written to the shared folder, and a node with very many edges is combined before
     the shuffle. NULL ends are ignored.
     """
+    scratch = Scratch(edges.sparkSession, "components")
     kept = edges.where("a is not null and b is not null and a != b")
-    left = _written(kept.select("a", "b").union(kept.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges")
+    left = scratch.write(kept.select("a", "b").union(kept.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges")
     roots = left.select(F.col("a").alias("node")).distinct().select("node", F.col("node").alias("root"))
     while left.limit(1).count():
         least = left.groupBy("a").agg(F.min("b").alias("b")).select(F.col("a").alias("node"), F.least("a", "b").alias("up"))
-        parents = _shortened(_written(least, "parents"))
+        parents = _shortened(scratch.write(least, "parents"), scratch)
         ends = parents.select(F.col("node").alias("root"), "up")
-        roots = _written(roots.join(ends, "root", "left").select("node", F.coalesce("up", "root").alias("root")), "roots")
+        roots = scratch.write(roots.join(ends, "root", "left").select("node", F.coalesce("up", "root").alias("root")), "roots")
         ups = parents.select(F.col("node").alias("a"), F.col("up").alias("up_a")), parents.select(F.col("node").alias("b"), F.col("up").alias("up_b"))
         drawn = left.join(ups[0], "a").join(ups[1], "b").where("up_a != up_b")
-        left = _written(drawn.select(F.col("up_a").alias("a"), F.col("up_b").alias("b")).distinct(), "edges")
-    return roots
+        left = scratch.write(drawn.select(F.col("up_a").alias("a"), F.col("up_b").alias("b")).distinct(), "edges")
+    return scratch.finish(roots)
 
 
-def _shortened(parents: DataFrame) -> DataFrame:
+def _shortened(parents: DataFrame, scratch: Scratch) -> DataFrame:
     """(node, up) with every node pointing at the end of its chain."""
     while True:
         above = parents.select(F.col("node").alias("up"), F.col("up").alias("top"))
         moved = parents.join(above, "up").select("node", F.col("top").alias("up"), (F.col("top") != F.col("up")).alias("moved"))
-        moved = _written(moved, "parents")
+        moved = scratch.write(moved, "parents")
         parents = moved.select("node", "up")
         if not moved.where("moved").limit(1).count():
             return parents
-
-
-def _written(frame: DataFrame, name: str) -> DataFrame:
-    folder = fresh_path(frame.sparkSession, name)
-    frame.write.parquet(folder)
-    return frame.sparkSession.read.parquet(folder)

@@ -28,7 +28,7 @@ from gantrylake.llm.arrays import LOWER, SPACE, SpanHash, blocks, mix, ragged, r
 from gantrylake.llm.bitmap import bitmap_of, may_hold, rarity, rarity_table
 from gantrylake.llm.components import connected_components
 from gantrylake.llm.rows import quoted
-from gantrylake.session import fresh_path
+from gantrylake.llm.scratch import Scratch
 
 #: Bits of a sketch block, and blocks per block that must be looked at.
 BLOCK_BITS = 1024
@@ -300,7 +300,7 @@ def compared(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Rec
         yield pairs()
 
 
-def pairs_across(open_: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+def pairs_across(open_: DataFrame, sketches: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
     """Pairs of different components that share a bucket and whose whole sketches are near enough.
 
     A large bucket is cut into tiles by hash, and every two tiles are one piece of work, so no task holds more than
@@ -308,7 +308,7 @@ def pairs_across(open_: DataFrame, sketches: DataFrame, percent: int) -> DataFra
     """
     tiles = open_.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / TILE).cast("int").alias("tiles"))
     shared = open_.groupBy("short").agg(F.collect_set("key").alias("shared"))
-    rows = open_.join(_written(tiles, "tiles"), "key").join(_written(shared.join(sketches, "short"), "whole"), "short")
+    rows = open_.join(scratch.write(tiles, "tiles"), "key").join(scratch.write(shared.join(sketches, "short"), "whole"), "short")
     rows = rows.withColumns(
         {
             "sketch": F.when(F.col("later"), F.col("next_sketch")).otherwise(F.col("sketch")),
@@ -322,12 +322,6 @@ def pairs_across(open_: DataFrame, sketches: DataFrame, percent: int) -> DataFra
     return work.mapInArrow(lambda batches: compared(batches, percent), "short long, other long")
 
 
-def _written(frame: DataFrame, name: str) -> DataFrame:
-    folder = fresh_path(frame.sparkSession, name)
-    frame.write.parquet(folder)
-    return frame.sparkSession.read.parquet(folder)
-
-
 def near_duplicates(
     docs: DataFrame, width: int = 4, percent: int = 85, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -339,7 +333,8 @@ def near_duplicates(
     do not name a component unless no other id is in it. An empty table gives no rows.
     """
     spark = docs.sparkSession
-    rows = _written(sketched(docs, width, percent, id_col, text_col), "sketches")
+    scratch = Scratch(spark, "near-duplicates")
+    rows = scratch.write(sketched(docs, width, percent, id_col, text_col), "sketches")
     short = _short("node").alias("short")
     filled = rows.where("n_shingles > 0")
     buckets = filled.select(F.explode(F.concat("keys", "next_keys")).alias("key"))
@@ -348,27 +343,27 @@ def near_duplicates(
     table = spark.sparkContext.broadcast(rarity_table(common, "key", "n"))
     sketches = filled.select(short, "keys", "lead", "next_keys", "next_lead")
     leading = sketches.mapInArrow(lambda batches: leading_keys(table.value, batches), "key long, short long, own long, later boolean")
-    leading = _written(leading.distinct(), "leading")
+    leading = scratch.write(leading.distinct(), "leading")
     # The centre of a bucket is its set with the fewest blocks of its own.
     rank = F.shiftleft("own", 48).bitwiseOR(_brief("short"))
     # Tables of one row per key are written before they are joined: Spark can split a hot key of a plain shuffle only.
     centres = leading.groupBy("key").agg(F.min(rank).alias("centre"), F.count(F.lit(1)).alias("members")).where("members > 1")
-    centres = _written(centres.select("key", "centre"), "centres")
-    members = _written(leading.join(centres, "key").withColumn("rank", rank), "members")
+    centres = scratch.write(centres.select("key", "centre"), "centres")
+    members = scratch.write(leading.join(centres, "key").withColumn("rank", rank), "members")
     counted = members.where("rank != centre").groupBy("short", "centre").agg(F.count(F.lit(1)).alias("n"))
     nearest = counted.groupBy("short").agg(F.max_by("centre", F.struct("n", "centre")).alias("most"), F.min("centre").alias("least"))
     brief = F.col("centre").bitwiseAND(F.lit((1 << 48) - 1)).alias("brief")
     first = nearest.select("short", F.explode(F.array_distinct(F.array("most", "least"))).alias("centre")).select("short", brief)
-    first = _written(first, "pairs")
-    texts = _written(candidate_texts(docs, bitmap_of(members.select("short").distinct(), "short"), width, text_col), "texts")
-    edges = _written(verified(first, texts, width, percent).where("a != b"), "links")
+    first = scratch.write(first, "pairs")
+    texts = scratch.write(candidate_texts(docs, bitmap_of(members.select("short").distinct(), "short"), width, text_col), "texts")
+    edges = scratch.write(verified(first, texts, width, percent).where("a != b"), "links")
     # Then what shares a bucket across components.
     roots = connected_components(edges)
     groups = texts.select("short", "node").join(roots, "node", "left").select("short", F.coalesce("root", "node").alias("root"))
     groups = groups.withColumn("root", F.xxhash64("root"))
-    labelled = _written(members.select("key", "short", "later").join(groups, "short"), "labelled")
+    labelled = scratch.write(members.select("key", "short", "later").join(groups, "short"), "labelled")
     mixed = labelled.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low != high").select("key")
-    open_ = _written(labelled.join(_written(mixed, "mixed"), "key"), "open")
+    open_ = scratch.write(labelled.join(scratch.write(mixed, "mixed"), "key"), "open")
     wanted = spark.sparkContext.broadcast(bitmap_of(open_.select("short").distinct(), "short"))
 
     def chosen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -377,14 +372,14 @@ def near_duplicates(
 
     whole = filled.select(short, "n_shingles", "sketch", "next_sketch")
     whole = whole.mapInArrow(chosen, whole.schema).distinct()
-    across = pairs_across(open_, whole, percent).select("short", _brief("other").alias("brief")).distinct()
-    across = _written(across.join(first, ["short", "brief"], "left_anti"), "across")
-    later = _written(verified(across, texts, width, percent), "links")
+    across = pairs_across(open_, whole, percent, scratch).select("short", _brief("other").alias("brief")).distinct()
+    across = scratch.write(across.join(first, ["short", "brief"], "left_anti"), "across")
+    later = scratch.write(verified(across, texts, width, percent), "links")
     roots = connected_components(edges.union(later))
     nodes = rows.where("n_shingles > 0").groupBy("node").agg(F.min("doc_id").alias("least"))
     rooted = nodes.join(roots, "node", "left").select("node", "least", F.coalesce("root", "node").alias("root"))
     named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = rooted.join(_written(named, "names"), "root").select("node", "component_id")
+    named = rooted.join(scratch.write(named, "names"), "root").select("node", "component_id")
     full = rows.where("n_shingles > 0").select("doc_id", "n_shingles", "node").join(named, "node", "left")
     empty = rows.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
-    return full.select("doc_id", "n_shingles", "component_id").union(empty)
+    return scratch.finish(full.select("doc_id", "n_shingles", "component_id").union(empty))

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from gantrylake.llm.arrays import SpanHash, blocks, mix, ragged, text_buffers
 from gantrylake.llm.bitmap import bitmap_of, may_hold
 from gantrylake.llm.rows import quoted, result_schema, unpacked
-from gantrylake.session import fresh_path
+from gantrylake.llm.scratch import Scratch
 
 GRAM = 100
 #: Units of a group that one task sorts together, and bytes of a block that it transforms.
@@ -317,23 +317,17 @@ def hash_bytes(content: bytes, salt: int) -> int:
     return int.from_bytes(xxhash.xxh3_64_digest(content, seed=salt & (2**64 - 1)), "big", signed=True)
 
 
-def _written(frame: DataFrame, name: str) -> DataFrame:
-    folder = fresh_path(frame.sparkSession, name)
-    frame.write.option("compression", "zstd").parquet(folder)
-    return frame.sparkSession.read.parquet(folder)
-
-
-def _sized(units: DataFrame) -> DataFrame:
+def _sized(units: DataFrame, scratch: Scratch) -> DataFrame:
     """Units with the number of their group's ``members``.
 
     Both sides of the join are written first: it then reads plain shuffles, which Spark splits where a key is hot.
     """
-    stored = _written(units, "kinds")
-    sizes = _written(stored.groupBy("key").agg(F.count(F.lit(1)).alias("members")), "sizes")
-    return _written(stored.join(sizes, "key"), "units")
+    stored = scratch.write(units, "kinds")
+    sizes = scratch.write(stored.groupBy("key").agg(F.count(F.lit(1)).alias("members")), "sizes")
+    return scratch.write(stored.join(sizes, "key"), "units")
 
 
-def repeated_ranges(units: DataFrame, length: int) -> DataFrame:
+def repeated_ranges(units: DataFrame, length: int, scratch: Scratch) -> DataFrame:
     """(key, unit, ranges) of the strings that occur twice or more among sized units.
 
     ``units``: distinct runs with their key, ``content`` (where ``members`` is above 1), how often they occur (``n``),
@@ -350,10 +344,10 @@ def repeated_ranges(units: DataFrame, length: int) -> DataFrame:
     if not large.limit(1).count():
         return results
     parts = large.select("key", "unit", "strings", "near", "content", "first", "end").repartition("unit")
-    split = _written(parts.mapInArrow(lambda batches: _parts(batches, length), PARTS), "parts")
+    split = scratch.write(parts.mapInArrow(lambda batches: _parts(batches, length), PARTS), "parts")
     counted = split.join(large.select(F.col("key").alias("old_key"), F.col("unit").alias("old_unit"), "n"), ["old_key", "old_unit"])
     grouped = ["key", "unit", "strings", "near", "content", "first", "end"]
-    below = repeated_ranges(_sized(counted.groupBy(*grouped).agg(F.sum("n").alias("n"))), length)
+    below = repeated_ranges(_sized(counted.groupBy(*grouped).agg(F.sum("n").alias("n")), scratch), length, scratch)
     back = split.select("old_key", "old_unit", "skipped", "key", "unit").join(below, ["key", "unit"])
     shifted = F.transform("ranges", lambda x: (x + F.col("skipped")).cast("int"))
     return results.union(back.select(F.col("old_key").alias("key"), F.col("old_unit").alias("unit"), shifted.alias("ranges")))
@@ -372,24 +366,25 @@ def remove_repeats(
     An empty table gives no rows.
     """
     carry = carry or [id_col]
+    scratch = Scratch(docs.sparkSession, "repeats")
     every = bitmap_of(run_keys(docs, length, text_col), "key")
-    runs = _written(repeated_runs(docs, length, text_col, every), "runs")
+    runs = scratch.write(repeated_runs(docs, length, text_col, every), "runs")
     # One place of each unit stands for it, so that its bytes are fetched once.
     kinds = runs.groupBy("key", "unit", "strings", "near").agg(F.count(F.lit(1)).alias("n"), F.min("spot").alias("spot"))
     span = max(length - GRAM, 0) + 1
-    units = _sized(kinds.withColumns({"first": F.lit(0), "end": F.lit(span)}))
+    units = _sized(kinds.withColumns({"first": F.lit(0), "end": F.lit(span)}), scratch)
     several = units.where("members > 1")
     contents = run_contents(docs, length, text_col, bitmap_of(several, "spot"))
     columns = ["key", "unit", "strings", "near", "content", "n", "members", "first", "end"]
     filled = several.join(contents, ["key", "unit"]).select(*columns)
     alone = units.where("members = 1").withColumn("content", F.lit(None).cast("binary")).select(*columns)
-    ranges = _written(repeated_ranges(_written(filled, "contents").union(alone), length), "ranges")
+    ranges = scratch.write(repeated_ranges(scratch.write(filled, "contents").union(alone), length, scratch), "ranges")
     where = runs.select("key", "unit", "ref", "ref2", "at")
     pieces = where.join(ranges, ["key", "unit"]).select(
         "ref", "ref2", F.transform("ranges", lambda x: x + F.col("at")).alias("strings")
     )
     # A set: copies of one text have the same strings, and are combined before the shuffle.
-    found = pieces.groupBy("ref", "ref2").agg(F.flatten(F.collect_set("strings")).alias("strings"))
+    found = scratch.finish(pieces.groupBy("ref", "ref2").agg(F.flatten(F.collect_set("strings")).alias("strings")))
     text = F.coalesce(quoted(text_col).cast("string"), F.lit(""))
     rows = docs.select(F.struct(*[quoted(name) for name in carry]).alias("row"), text.alias("text"), *reference(text))
     joined = rows.join(found, ["ref", "ref2"], "left").select("row", "text", "strings")
