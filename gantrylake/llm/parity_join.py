@@ -165,6 +165,11 @@ def sketched(docs: DataFrame, width: int, percent: int, id_col: str, text_col: s
     return selected.mapInArrow(sketch, f"doc_id {kind}, n_shingles long, {kinds}")
 
 
+def _standing(batch: pa.RecordBatch, alone: np.ndarray) -> pa.RecordBatch:
+    """Rows that may stand for their set."""
+    return batch.filter(pa.array(may_hold(alone, batch.column("spot").to_numpy().view(np.uint64))))
+
+
 def leading_keys(table: np.ndarray, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(key, short, own, later) of each set's leading blocks that another set may have.
 
@@ -336,13 +341,24 @@ def near_duplicates(
     scratch = Scratch(spark, "near-duplicates")
     rows = scratch.write(sketched(docs, width, percent, id_col, text_col), "sketches")
     short = _short("node").alias("short")
-    filled = rows.where("n_shingles > 0")
-    buckets = filled.select(F.explode(F.concat("keys", "next_keys")).alias("key"))
-    # How common each block is: combined before the shuffle. Copies of one set count, which only makes the order coarser.
-    common = buckets.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    filled = rows.where("n_shingles > 0").withColumn("pick", F.xxhash64("doc_id"))
+    # One row stands for a set's copies; a filter of fixed size passes it, and now and then a copy, which does no harm.
+    spot = F.xxhash64("node", "pick").alias("spot")
+    alone = spark.sparkContext.broadcast(bitmap_of(filled.groupBy("node").agg(F.min("pick").alias("pick")).select(spot), "spot"))
+    sketches = filled.select(short, spot, "keys", "lead", "next_keys", "next_lead")
+
+    def flat(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            one = _standing(batch, alone.value)
+            yield pa.record_batch([pa.concat_arrays([one.column("keys").flatten(), one.column("next_keys").flatten()])], ["key"])
+
+    # How common each block is: combined before the shuffle.
+    common = sketches.mapInArrow(flat, "key long").groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     table = spark.sparkContext.broadcast(rarity_table(common, "key", "n"))
-    sketches = filled.select(short, "keys", "lead", "next_keys", "next_lead")
-    leading = sketches.mapInArrow(lambda batches: leading_keys(table.value, batches), "key long, short long, own long, later boolean")
+    leading = sketches.mapInArrow(
+        lambda batches: leading_keys(table.value, (_standing(batch, alone.value) for batch in batches)),
+        "key long, short long, own long, later boolean",
+    )
     leading = scratch.write(leading.distinct(), "leading")
     # The centre of a bucket is its set with the fewest blocks of its own.
     rank = F.shiftleft("own", 48).bitwiseOR(_brief("short"))
