@@ -121,28 +121,40 @@ class Encoder:
             self.used = need_ids
             self.index.add(hashes[at : at + 5000], np.arange(slot, need_slots, dtype=np.int32))
 
-    def _pieces(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Slots of all pieces of plain texts, and where each text's pieces begin."""
-        joined = "".join(texts)
-        codes = np.frombuffer(joined.encode("utf-32-le"), np.uint32)
-        offsets = np.zeros(len(texts) + 1, np.int64)
-        np.cumsum([len(text) for text in texts], out=offsets[1:])
-        begins = np.flatnonzero(piece_starts(codes, offsets))
-        ends = np.append(begins[1:], len(codes))
-        hashes = SpanHash(codes)(begins, ends)
+    def _slots(self, joined: str, begins: np.ndarray, ends: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+        """Slots of at most ``REMEMBERED`` pieces of a text; earlier slots may be forgotten."""
         slots = self.index.find(hashes)
         missed = np.flatnonzero(slots < 0)
         if self.index.size + len(missed) > REMEMBERED:
             self._forget()
             missed = np.arange(len(hashes))
         new, where = np.unique(hashes[missed], return_index=True)
-        if self.index.size + len(new) > REMEMBERED:
-            raise ValueError("a block has more distinct pieces than the encoder may remember")
         where = missed[where]
         spans = zip(begins[where].tolist(), ends[where].tolist(), strict=True)
         self._learn(new, [joined[a:b] for a, b in spans])
         slots[missed] = self.index.find(hashes[missed])
-        return slots, np.searchsorted(begins, offsets)
+        return slots
+
+    def _pieces(self, texts: list[str], with_ids: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Tokens of all pieces of plain texts, their ids if wanted, and where each text's pieces begin.
+
+        More pieces than a worker remembers are looked up in turns, so that a text of any length fits.
+        """
+        joined = "".join(texts)
+        codes = np.frombuffer(joined.encode("utf-32-le"), np.uint32)
+        offsets = np.zeros(len(texts) + 1, np.int64)
+        np.cumsum([len(text) for text in texts], out=offsets[1:])
+        begins = np.flatnonzero(piece_starts(codes, offsets))
+        ends = np.append(begins[1:], len(codes))
+        hashes = SpanHash(codes)(begins, ends)
+        lengths, ids = [], [np.zeros(0, np.uint32)]
+        for at in range(0, len(begins), REMEMBERED):
+            turn = slice(at, at + REMEMBERED)
+            slots = self._slots(joined, begins[turn], ends[turn], hashes[turn])
+            lengths.append(self.lengths[slots])
+            if with_ids:
+                ids.append(self.ids[ragged(self.starts[slots], lengths[-1])])
+        return np.concatenate(lengths), np.concatenate(ids), np.searchsorted(begins, offsets)
 
     def _simple(self, texts: list[str]) -> np.ndarray:
         if not self.plain:
@@ -156,9 +168,9 @@ class Encoder:
         counts = np.zeros(len(texts), np.int64)
         own = [text for text, ok in zip(texts, simple, strict=True) if ok]
         if own:
-            slots, first = self._pieces(own)
-            sums = np.zeros(len(slots) + 1, np.int64)
-            np.cumsum(self.lengths[slots], out=sums[1:])
+            lengths, _, first = self._pieces(own, False)
+            sums = np.zeros(len(lengths) + 1, np.int64)
+            np.cumsum(lengths, out=sums[1:])
             counts[simple] = np.diff(sums[first])
         rest = [text for text, ok in zip(texts, simple, strict=True) if not ok]
         if rest:
@@ -171,10 +183,8 @@ class Encoder:
         out: list[np.ndarray] = [np.zeros(0, np.uint32)] * len(texts)
         own = np.flatnonzero(simple)
         if len(own):
-            slots, first = self._pieces([texts[n] for n in own])
-            lengths = self.lengths[slots]
-            ids = self.ids[ragged(self.starts[slots], lengths)]
-            sums = np.zeros(len(slots) + 1, np.int64)
+            lengths, ids, first = self._pieces([texts[n] for n in own], True)
+            sums = np.zeros(len(lengths) + 1, np.int64)
             np.cumsum(lengths, out=sums[1:])
             bounds = sums[first].tolist()
             for n, a, b in zip(own.tolist(), bounds, bounds[1:], strict=False):

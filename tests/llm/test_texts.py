@@ -67,6 +67,17 @@ def test_encoder_equals_the_library():
     assert encoder.counts(texts).tolist() == [len(ids) for ids in want]
 
 
+def test_texts_of_more_pieces_than_are_remembered(monkeypatch):
+    monkeypatch.setattr(bpe, "REMEMBERED", 64)
+    encoder = bpe.Encoder(tokenizer_path())
+    generator = random.Random(4)
+    texts = [" ".join(str(generator.randrange(10**6)) for _ in range(count)) for count in (5, 64, 65, 1000)] + ["", "a 中 b", "1 2 3"]
+    want = [code.ids for code in encoder.library.encode_batch(texts, add_special_tokens=False)]
+    for _ in range(2):
+        assert encoder.counts(texts).tolist() == [len(ids) for ids in want]
+        assert [ids.tolist() for ids in encoder.encode(texts)] == want
+
+
 def test_every_plain_sign_is_split_as_the_library_does():
     split = bpe.Encoder(tokenizer_path()).library.pre_tokenizer.pre_tokenize_str
     for code in range(bpe.PLAIN):
