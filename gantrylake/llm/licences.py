@@ -2,21 +2,23 @@
 
 Everything runs in the JVM. The regression is fitted on sentences of the templates below, their shortened and extended
 forms, and a bounded sample of paragraphs without any licence wording, which are the class ``unknown``. Its
-weights become a table of n-grams, so that scoring is one join: each distinct paragraph that has a cue
-word is split into n-grams, their weights are summed, and the softmax gives a family. Below the
-calibrated probability the family is unknown; above it the paragraph must also share enough word triples
-with a template of that family. A paragraph without a cue word shares no triple with any template and
-is never confirmed, so it is not scored.
+weights become a table of n-grams, so that scoring is one join: a part of a paragraph is split into n-grams, their
+weights are summed, and the softmax gives a family. Below the calibrated probability the family is unknown; above it
+the templates of that family must confirm it. The parts are the whole paragraph, which must share enough of its own
+word triples with them (a paragraph of one or two words counts whole), and for each template the stretch that holds
+most of the template's triples, which must be enough of them, so a notice is found however long its line is.
+Paragraphs without a cue word are not scored.
 """
 
 from __future__ import annotations
 
 import json
+import re
 
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import CountVectorizer
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gantrylake.llm.rows import quoted
@@ -83,14 +85,32 @@ TEMPLATES: dict[str, list[str]] = {
         "Unauthorized copying of this file, via any medium, is strictly prohibited. Proprietary and confidential.",
     ],
 }
+#: Names that stand for a notice by themselves; they train the regression and are no templates.
+SHORT: dict[str, list[str]] = {
+    "apache": ["Apache License", "Apache License, Version 2.0", "Apache License 2.0"],
+    "mit": ["MIT License", "The MIT License"],
+    "gpl": ["GNU GPL, version 2", "GNU General Public License", "GNU General Public License, version 3"],
+    "lgpl": ["GNU Lesser General Public License", "Lesser General Public License, version 2.1"],
+    "agpl": ["GNU Affero General Public License", "Affero General Public License, version 3"],
+    "bsd": ["BSD License", "BSD 3-Clause License", "2-Clause BSD License"],
+    "mpl": ["Mozilla Public License", "Mozilla Public License 2.0"],
+    "cc-by": ["CC BY 4.0", "Creative Commons Attribution 4.0 International License"],
+    "cc-by-sa": ["CC BY-SA 4.0", "Creative Commons Attribution-ShareAlike License"],
+    "cc-by-nc": ["CC BY-NC 4.0", "Creative Commons Attribution-NonCommercial 4.0 International License"],
+    "public-domain": ["public domain", "CC0 1.0"],
+    "proprietary": ["All rights", "All rights reserved"],
+}
 FRAMES = ["{}", "Note: {}", "{} See the file for details.", "Copyright 2020 The Authors. {}", "the code {}", "This page: {}"]
 UNKNOWN = "unknown"
 #: Word stems; every template's sentence holds one, lower case.
 CUES = "licen[cs]e|copyright|rights reserved|public domain|permission is hereby|redistribut|free software|proprietary"
 #: Documents whose paragraphs may serve as unknown, and paragraphs taken from them, at most.
 SAMPLE_DOCS, SAMPLE_PARAGRAPHS = 400, 3000
-#: Least share of a paragraph's word triples that a template of the family must hold, and least probability.
+#: Least share of a paragraph's word triples that the family must hold, or of a template's that the paragraph must,
+#: and least probability.
 SHARED, LEAST = 0.5, 0.5
+#: Words that a stretch may have beyond its template's, and words beside it that are classified with it.
+SLACK, BESIDE = 4, 4
 
 
 def words(text: Column) -> Column:
@@ -114,12 +134,22 @@ def rows_of(spark: SparkSession, rows: list[dict], kind: str) -> DataFrame:
     return spark.range(1).select(F.inline(literal))
 
 
-def template_triples(spark: SparkSession) -> DataFrame:
-    """(family, triples) over all templates; a template of fewer words counts whole."""
-    rows = [{"family": family, "text": text} for family, texts in TEMPLATES.items() for text in texts]
-    tokens = rows_of(spark, rows, "family:string,text:string").withColumn("tokens", words(F.col("text")))
-    triples = tokens.select("family", F.explode(grams(F.col("tokens"), 3)).alias("gram"))
-    return triples.groupBy("family").agg(F.collect_set("gram").alias("triples"))
+def template_grams(size: int) -> list[dict]:
+    """``template``, ``family``, ``gram``, ``words`` and ``grams`` (of the template) for each n-gram of one size."""
+    rows = []
+    for number, (family, text) in enumerate((family, text) for family, texts in TEMPLATES.items() for text in texts):
+        own = re.findall("[a-z0-9]+", text.lower())
+        found = sorted({" ".join(own[n : n + size]) for n in range(len(own) - size + 1)})
+        rows += [{"template": number, "family": family, "gram": gram, "words": len(own), "grams": len(found)} for gram in found]
+    return rows
+
+
+def family_grams(spark: SparkSession) -> DataFrame:
+    """(family, triples, short): the word triples of all its templates, and their single words and pairs."""
+    kind = "family:string,gram:string"
+    triples = rows_of(spark, template_grams(3), kind).groupBy("family").agg(F.collect_set("gram").alias("triples"))
+    short = rows_of(spark, template_grams(1) + template_grams(2), kind).groupBy("family").agg(F.collect_set("gram").alias("short"))
+    return triples.join(short, "family")
 
 
 def paragraphs(text: Column) -> Column:
@@ -128,11 +158,12 @@ def paragraphs(text: Column) -> Column:
 
 
 def training_rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(family, tokens): framed templates and a bounded sample of paragraphs without a cue."""
+    """(family, tokens): framed templates, short names, and a bounded sample of paragraphs without a cue."""
     spark = docs.sparkSession
     framed = [
         {"family": family, "text": frame.format(text)} for family, texts in TEMPLATES.items() for text in texts for frame in FRAMES
     ]
+    framed += [{"family": family, "text": text} for family, texts in SHORT.items() for text in texts for _ in FRAMES]
     known = rows_of(spark, framed, "family:string,text:string")
     least = docs.select(quoted(id_col).alias("id"), quoted(text_col).cast("string").alias("text")).where("text is not null")
     least = least.orderBy(F.xxhash64("id"), "id", "text").limit(SAMPLE_DOCS)
@@ -191,37 +222,95 @@ def fit_licences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return LicenceModel(families, table, [float(x) for x in model.interceptVector], max(LEAST, min(highest, 0.9)))
 
 
-def classified(distinct: DataFrame, model: LicenceModel) -> DataFrame:
-    """``paragraph``, ``family``, ``probability``, ``confirmed`` for each distinct paragraph."""
-    spark = distinct.sparkSession
-    parts = distinct.select("paragraph", F.explode(all_grams(words(F.col("paragraph")))).alias("gram"))
+def guesses(parts: DataFrame, model: LicenceModel, keys: list[str]) -> DataFrame:
+    """The keys, ``guess`` and ``probability`` of each part, from its ``tokens``."""
     count = len(model.families)
-    summed = parts.join(model.weights, "gram").groupBy("paragraph").agg(
+    summed = parts.select(*keys, F.explode(all_grams(F.col("tokens"))).alias("gram")).join(F.broadcast(model.weights), "gram").groupBy(*keys).agg(
         *[F.sum(F.round(F.col("weights")[n] * 1e6).cast("long")).alias(f"w{n}") for n in range(count)]  # whole numbers: any order gives one sum
     )
     logits = [F.col(f"w{n}") / 1e6 + model.intercepts[n] for n in range(count)]
-    scored = summed.select("paragraph", F.array(*logits).alias("logits"))
+    scored = summed.select(*keys, F.array(*logits).alias("logits"))
     highest = F.array_max("logits")
     exps = F.transform("logits", lambda x: F.exp(x - highest))
     total = F.aggregate(exps, F.lit(0.0), lambda a, b: a + b)
     named = F.array(*map(F.lit, model.families))
     best = F.element_at(named, F.array_position("logits", highest).cast("int"))
-    guessed = scored.select("paragraph", best.alias("guess"), (1 / total).alias("probability"))
+    return scored.select(*keys, best.alias("guess"), (1 / total).alias("probability"))
+
+
+def stretches(lines: DataFrame) -> DataFrame:
+    """``line``, ``line2``, ``part``, ``holder``, ``tokens``: where a line holds enough triples of a template, the best place for each."""
+    spark = lines.sparkSession
+    last = F.size("tokens") - 2
+    places = F.when(last > 0, F.sequence(F.lit(1), last)).otherwise(F.array().cast("array<int>"))
+    triples = F.transform(places, lambda n: F.struct(n.alias("at"), F.array_join(F.slice("tokens", n, 3), " ").alias("gram")))
+    known = rows_of(spark, template_grams(3), "template:int,family:string,gram:string,words:int,grams:int")
+    hits = lines.select("line", "line2", F.inline(triples)).join(F.broadcast(known), "gram")
+    # A stretch may be longer than its template by SLACK words, and a triple begins two words before its end.
+    longest = max(row["words"] for row in template_grams(3)) + SLACK - 2
+    ahead = Window.partitionBy("line", "line2", "template").orderBy("at").rangeBetween(0, longest - 1)
+    held = F.filter(F.collect_list(F.struct("at", "gram")).over(ahead), lambda hit: hit["at"] < F.col("at") + F.col("words") + SLACK - 2)
+    spans = hits.withColumn("held", held).select(
+        "line", "line2", "template", "family", "grams", "at",
+        F.size(F.array_distinct(F.col("held.gram"))).alias("shared"), (F.array_max("held.at") + 3).alias("end"),
+    )
+    best = F.max(F.struct("shared", (-F.col("at")).alias("first"), "end")).alias("best")
+    enough = spans.where(F.col("shared") >= SHARED * F.col("grams")).groupBy("line", "line2", "template", "family").agg(best)
+    first = F.greatest(F.lit(1), -F.col("best.first") - BESIDE)
+    found = enough.join(lines, ["line", "line2"])
+    return found.select(
+        "line", "line2", F.col("template").alias("part"), F.col("family").alias("holder"),
+        F.slice("tokens", first, F.col("best.end") + BESIDE - first).alias("tokens"),
+    )
+
+
+def classified(distinct: DataFrame, model: LicenceModel) -> DataFrame:
+    """``paragraph``, ``family``, ``probability``, ``confirmed``, ``families`` (all confirmed) for each distinct paragraph.
+
+    Family and probability are those of the surest confirmed part, or of the whole paragraph if there is none.
+    """
+    spark = distinct.sparkSession
+    folder = fresh_path(spark, "licence-words")
+    line = [code.alias(name) for name, code in zip(("line", "line2"), digests(F.col("paragraph")), strict=True)]
+    distinct.select(*line, words(F.col("paragraph")).alias("tokens")).write.parquet(folder)
+    lines = spark.read.parquet(folder)
+    keys = ["line", "line2", "part", "holder"]
+    whole = lines.select("line", "line2", F.lit(-1).alias("part"), F.lit("").alias("holder"), "tokens")
+    folder = fresh_path(spark, "licence-parts")
+    whole.unionByName(stretches(lines)).write.parquet(folder)
+    parts = spark.read.parquet(folder)
+    guessed = guesses(parts, model, keys)
     sure = (F.col("guess") != UNKNOWN) & (F.col("probability") >= model.least)
-    family = F.when(sure, F.col("guess")).otherwise(F.lit(UNKNOWN))
-    triples = grams(words(F.col("paragraph")), 3)
-    compared = guessed.withColumn("family", family).join(F.broadcast(template_triples(spark)), "family", "left")  # one row per family
-    share = F.size(F.array_intersect(triples, F.coalesce("triples", F.array().cast("array<string>")))) / F.size(triples)
-    confirmed = F.when((F.col("family") != UNKNOWN) & (F.size(triples) > 0), share >= SHARED).otherwise(False)
-    return compared.select("paragraph", "family", "probability", confirmed.alias("confirmed"))
+    named = guessed.withColumn("family", F.when(sure, F.col("guess")).otherwise(F.lit(UNKNOWN)))
+    own = named.where("part < 0").join(lines, ["line", "line2"]).join(F.broadcast(family_grams(spark)), "family", "left")  # one row per family
+    triples = grams(F.col("tokens"), 3)
+    share = F.size(F.array_intersect(triples, F.col("triples"))) / F.size(triples)
+    held = F.when(F.size("tokens") < 3, F.array_contains("short", F.array_join("tokens", " "))).otherwise(share >= SHARED)
+    judged = own.select("line", "line2", "part", "family", "probability", F.coalesce(held, F.lit(False)).alias("confirmed")).unionByName(
+        named.where("part >= 0").select("line", "line2", "part", "family", "probability", (F.col("family") == F.col("holder")).alias("confirmed"))
+    )
+    confirmed = F.when(F.col("confirmed"), F.struct("probability", "family"))
+    by_line = judged.groupBy("line", "line2").agg(
+        F.max(confirmed).alias("best"),
+        F.max(F.when(F.col("part") < 0, F.struct("probability", "family"))).alias("own"),
+        F.array_sort(F.collect_set(F.when(F.col("confirmed"), F.col("family")))).alias("families"),
+    )
+    shown = F.coalesce("best", "own")
+    return distinct.select("paragraph", *line).join(by_line, ["line", "line2"], "left").select(
+        "paragraph",
+        F.coalesce(shown["family"], F.lit(UNKNOWN)).alias("family"),
+        shown["probability"].alias("probability"),
+        F.col("best").isNotNull().alias("confirmed"),
+        F.coalesce("families", F.array().cast("array<string>")).alias("families"),
+    )
 
 
 def licence_paragraphs(docs: DataFrame, model: LicenceModel, text_col: str = "text") -> DataFrame:
-    """``ref``, ``ref2`` (digests of the whole text), ``paragraph``, ``family``, ``probability``, ``confirmed``."""
+    """``ref``, ``ref2`` (digests of the whole text), ``paragraph``, ``family``, ``probability``, ``confirmed``, ``families``."""
     spark = docs.sparkSession
     text = F.coalesce(quoted(text_col).cast("string"), F.lit(""))
-    cued = docs.select(text.alias("text")).where(F.lower("text").rlike(CUES))
-    lines = cued.select(
+    held = docs.select(text.alias("text")).where(F.lower("text").rlike(CUES))
+    lines = held.select(
         *digests(F.col("text")), F.explode(F.filter(paragraphs(F.col("text")), lambda line: F.lower(line).rlike(CUES))).alias("paragraph")
     )
     folder = fresh_path(spark, "licence-lines")
@@ -248,7 +337,7 @@ def scan_licences(docs: DataFrame, model: LicenceModel, id_col: str = "doc_id",
     found = licence_paragraphs(docs, model, text_col)
     named = F.when(F.col("confirmed"), F.struct(F.col("probability"), F.col("family")))
     by_text = found.groupBy("ref", "ref2").agg(
-        F.array_sort(F.collect_set(F.when(F.col("confirmed"), F.col("family")))).alias("families"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_set("families")))).alias("families"),
         F.max(named).alias("best"),
         F.count(F.lit(1)).alias("cues"),
     )

@@ -221,6 +221,31 @@ def test_licence_scan_has_no_python_in_its_plan(spark, documents, awkward, nothi
     assert {row.paragraph: (row.family if row.confirmed else None) for row in got} == dict(zip(lines, [None, None, "bsd"]))
 
 
+def confirmed_families(spark, model, lines):
+    rows = licences.classified(spark.createDataFrame([(line,) for line in lines], "paragraph string"), model).collect()
+    assert all((row.families != []) == row.confirmed == (row.family in row.families) for row in rows)
+    return {row.paragraph: row.families for row in rows}
+
+
+MIT_TEXT = (
+    "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files "
+    '(the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, '
+    "publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, "
+    "subject to the following conditions:"
+)
+PROSE = "The results of the study can be found in the appendix, and the people of the town were free to use the land as they wished. "
+
+
+def test_notices_are_confirmed_whatever_stands_beside_them(spark, documents):
+    model = licences.fit_licences(documents)
+    frames = [*licences.FRAMES, PROSE + "{} " + PROSE, 20 * PROSE + "{} " + 20 * PROSE]
+    want = {frame.format(text): [family] for family, texts in licences.TEMPLATES.items() for text in texts for frame in frames}
+    want |= {MIT_TEXT: ["mit"], "MIT License": ["mit"], "BSD License": ["bsd"]}
+    plain = [PROSE, 20 * PROSE, "License", "Copyright", "The license fee is reserved for the public.", "any person", "can be found in the"]
+    want |= {line: [] for line in plain}
+    assert confirmed_families(spark, model, want) == want
+
+
 def test_pipeline_stages_keep_the_columns_and_take_effect(spark, sf_dir, documents):
     docs, kept = documents, {}
     for name, stage in corpus_pipeline.STAGES[:-1]:
