@@ -7,7 +7,7 @@ weights are summed, and the softmax gives a family. Below the calibrated probabi
 the templates of that family must confirm it. The parts are the whole paragraph, which must share enough of its own
 word triples with them (a paragraph of one or two words counts whole), and for each template the stretch that holds
 most of the template's triples, which must be enough of them, so a notice is found however long its line is.
-Paragraphs without a cue word are not scored.
+Paragraphs that hold neither a cue word nor any n-gram of a template could not be confirmed and are not scored.
 """
 
 from __future__ import annotations
@@ -102,7 +102,7 @@ SHORT: dict[str, list[str]] = {
 }
 FRAMES = ["{}", "Note: {}", "{} See the file for details.", "Copyright 2020 The Authors. {}", "the code {}", "This page: {}"]
 UNKNOWN = "unknown"
-#: Word stems; every template's sentence holds one, lower case.
+#: Word stems, lower case; a paragraph with one counts as a cue, whatever it is found to be.
 CUES = "licen[cs]e|copyright|rights reserved|public domain|permission is hereby|redistribut|free software|proprietary"
 #: Documents whose paragraphs may serve as unknown, and paragraphs taken from them, at most.
 SAMPLE_DOCS, SAMPLE_PARAGRAPHS = 400, 3000
@@ -152,13 +152,49 @@ def family_grams(spark: SparkSession) -> DataFrame:
     return triples.join(short, "family")
 
 
+def any_of(phrases: list[str]) -> str:
+    """A pattern of the phrases, written as a tree of their letters; any other signs may stand between words."""
+    if not phrases:
+        return ""
+    rest: dict[str, list[str]] = {}
+    for phrase in phrases:
+        rest.setdefault(phrase[:1], []).append(phrase[1:])
+    ended = "" in rest
+    tails = [("[^a-z0-9]++" if first == " " else first) + any_of(own) for first, own in sorted(rest.items()) if first]
+    return tails[0] if len(tails) == 1 and not ended else f"(?:{'|'.join(tails + [''] * ended)})" if tails else ""
+
+
+def candidate(line: Column) -> Column:
+    """Whether a line has a cue, holds a triple of a template, or is as a whole a shorter n-gram of one."""
+    triples = any_of(sorted({row["gram"] for row in template_grams(3)}))
+    short = any_of(sorted({row["gram"] for size in (1, 2) for row in template_grams(size)}))
+    low = F.lower(line)
+    held = F.concat(F.lit(" "), low).rlike(f"[^a-z0-9]{triples}(?![a-z0-9])")  # most places fail at the first sign
+    return low.rlike(CUES) | held | low.rlike(f"^[^a-z0-9]*+{short}[^a-z0-9]*+$")
+
+
 def paragraphs(text: Column) -> Column:
     """The lines of a text that have a word."""
     return F.filter(F.split(text, "\n"), lambda line: F.length(F.trim(line)) > 0)
 
 
+def unmarked(lines: DataFrame) -> DataFrame:
+    """``text`` of the lines that no template could confirm."""
+    names = ["line", "line2"]
+    line = [code.alias(name) for name, code in zip(names, digests(F.col("text")), strict=True)]
+    folder = fresh_path(lines.sparkSession, "licence-sample")
+    lines.select("text", *line, words(F.col("text")).alias("tokens")).write.parquet(folder)  # split once, not for each n-gram
+    own = lines.sparkSession.read.parquet(folder)
+    triples, short = ([row["gram"] for size in sizes for row in template_grams(size)] for sizes in ((3,), (1, 2)))
+    found = grams(F.col("tokens"), 3)
+    shared = F.size(F.array_intersect(found, F.array(*map(F.lit, triples)))) >= SHARED * F.size(found)
+    whole = F.array_join("tokens", " ").isin(short)
+    free = own.where(~F.when(F.size("tokens") < 3, whole).otherwise(shared))
+    return free.join(stretches(own), names, "left_anti").select("text")
+
+
 def training_rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(family, tokens): framed templates, short names, and a bounded sample of paragraphs without a cue."""
+    """(family, tokens): framed templates, short names, and a bounded sample of paragraphs that no cue or template marks."""
     spark = docs.sparkSession
     framed = [
         {"family": family, "text": frame.format(text)} for family, texts in TEMPLATES.items() for text in texts for frame in FRAMES
@@ -168,7 +204,7 @@ def training_rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     least = docs.select(quoted(id_col).alias("id"), quoted(text_col).cast("string").alias("text")).where("text is not null")
     least = least.orderBy(F.xxhash64("id"), "id", "text").limit(SAMPLE_DOCS)
     lines = least.select(F.explode(paragraphs(F.col("text"))).alias("text")).where(~F.lower("text").rlike(CUES)).distinct()
-    other = lines.orderBy(F.xxhash64("text"), "text").limit(SAMPLE_PARAGRAPHS)
+    other = unmarked(lines).orderBy(F.xxhash64("text"), "text").limit(SAMPLE_PARAGRAPHS)
     every = known.union(other.select(F.lit(UNKNOWN).alias("family"), "text"))
     # Sentences that name a licence without being a notice, so that cue words alone decide nothing.
     near = [
@@ -309,10 +345,8 @@ def licence_paragraphs(docs: DataFrame, model: LicenceModel, text_col: str = "te
     """``ref``, ``ref2`` (digests of the whole text), ``paragraph``, ``family``, ``probability``, ``confirmed``, ``families``."""
     spark = docs.sparkSession
     text = F.coalesce(quoted(text_col).cast("string"), F.lit(""))
-    held = docs.select(text.alias("text")).where(F.lower("text").rlike(CUES))
-    lines = held.select(
-        *digests(F.col("text")), F.explode(F.filter(paragraphs(F.col("text")), lambda line: F.lower(line).rlike(CUES))).alias("paragraph")
-    )
+    every = docs.select(text.alias("text")).select("text", F.explode(paragraphs(F.col("text"))).alias("paragraph"))
+    lines = every.where(candidate(F.col("paragraph"))).select(*digests(F.col("text")), "paragraph")
     folder = fresh_path(spark, "licence-lines")
     lines.distinct().write.parquet(folder)
     lines = spark.read.parquet(folder)
@@ -329,8 +363,8 @@ def digests(text: Column) -> list[Column]:
 def scan_licences(docs: DataFrame, model: LicenceModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id``, ``families`` (sorted, confirmed), ``licence`` (of the surest paragraph), ``probability``, ``cues``.
 
-    ``cues`` counts the distinct paragraphs with a cue word; ``licence`` is ``unknown`` if there are some and none is
-    confirmed, and NULL without any. NULL and empty texts have none; repeated rows have a row each; an empty
+    ``cues`` counts the distinct paragraphs that have a cue word or are confirmed; ``licence`` is ``unknown`` if there
+    are some and none is confirmed, and NULL without any. NULL and empty texts have none; repeated rows have a row each; an empty
     table gives no rows. Equal texts are scanned once.
     """
     spark = docs.sparkSession
@@ -339,7 +373,7 @@ def scan_licences(docs: DataFrame, model: LicenceModel, id_col: str = "doc_id",
     by_text = found.groupBy("ref", "ref2").agg(
         F.array_sort(F.array_distinct(F.flatten(F.collect_set("families")))).alias("families"),
         F.max(named).alias("best"),
-        F.count(F.lit(1)).alias("cues"),
+        F.count_if(F.col("confirmed") | F.lower("paragraph").rlike(CUES)).alias("cues"),
     )
     folder = fresh_path(spark, "licence-texts")
     by_text.write.parquet(folder)

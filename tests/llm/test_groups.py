@@ -246,6 +246,31 @@ def test_notices_are_confirmed_whatever_stands_beside_them(spark, documents):
     assert confirmed_families(spark, model, want) == want
 
 
+def test_notices_without_a_cue_word_are_found(spark, documents):
+    notices = {
+        "GNU GPL, version 2": "gpl",
+        "CC BY-SA 4.0": "cc-by-sa",
+        "to any person obtaining a copy of this software and associated documentation files": "mit",
+        "Unauthorized copying of this file, via any medium, is strictly prohibited.": "proprietary",
+        "public-domain": "public-domain",
+        "All rights\nreserved": "proprietary",
+    }
+    texts = [PROSE + "\n" + notice + "\n" + PROSE for notice in notices] + [PROSE, "any person\ncan be found in the"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = sorted(licences.scan_licences(docs, licences.fit_licences(documents)).collect())
+    assert [row.licence for row in rows] == [*notices.values(), None, None]
+    assert [row.cues for row in rows] == [1] * len(notices) + [0, 0]
+
+
+def test_lines_that_are_looked_at_hold_every_template_gram(spark):
+    triples = ["so " + row["gram"].replace(" ", ", ") + " it" for row in licences.template_grams(3)]
+    short = [f" - {row['gram']}!" for size in (1, 2) for row in licences.template_grams(size)]
+    held = spark.createDataFrame([(text,) for text in triples + short], "text string")
+    assert held.where(~licences.candidate(F.col("text"))).collect() == []
+    other = spark.createDataFrame([("the results were found",), ("any personal view",), ("my any person",)], "text string")
+    assert other.where(licences.candidate(F.col("text"))).collect() == []
+
+
 def test_pipeline_stages_keep_the_columns_and_take_effect(spark, sf_dir, documents):
     docs, kept = documents, {}
     for name, stage in corpus_pipeline.STAGES[:-1]:
