@@ -1,7 +1,7 @@
 import datetime as dt
 
 import pytest
-from conftest import TARGETS, raw_row
+from sample_trips import TARGETS, raw_row
 from hypothesis import given
 from hypothesis import strategies as st
 from pyspark.sql import functions as F

@@ -4,7 +4,7 @@ import json
 import os
 
 import pytest
-from conftest import TARGETS
+from sample_trips import TARGETS
 
 from gantrylake.operators import hourly
 from gantrylake.plans.month import MonthRun, run_flow, run_month, run_statistics

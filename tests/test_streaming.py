@@ -1,4 +1,4 @@
-from conftest import TARGETS, raw_row
+from sample_trips import TARGETS, raw_row
 
 from gantrylake.operators import hourly
 from gantrylake.sources.trips import stream_trips
