@@ -7,9 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gantrylake.llm.oracle import SQL  # noqa: F401  the queries' SQL, for whoever registers them
+
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
-SQL: dict[str, str] = {}
 
 
 def query(function: Query) -> Query:
@@ -127,3 +128,17 @@ def op2_licences(spark: SparkSession, sf: str) -> DataFrame:
 
     docs = table(spark, sf, "documents")
     return scan_licences(docs, fit_licences(docs))
+
+
+@query
+def op11_filter_audit(spark: SparkSession, sf: str) -> DataFrame:
+    from gantrylake.llm.filter_audit import audit_filters
+
+    return audit_filters(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+@query
+def op12_manifest(spark: SparkSession, sf: str) -> DataFrame:
+    from gantrylake.llm.manifest import merkle_manifest
+
+    return merkle_manifest(table(spark, sf, "documents"))
