@@ -142,3 +142,16 @@ def op12_manifest(spark: SparkSession, sf: str) -> DataFrame:
     from gantrylake.llm.manifest import merkle_manifest
 
     return merkle_manifest(table(spark, sf, "documents"))
+
+
+@query
+def op13_personal_data(spark: SparkSession, sf: str) -> DataFrame:
+    from gantrylake.llm.personal import KINDS, count_of, find_personal, shown
+
+    found = find_personal(table(spark, sf, "documents"))
+    return found.select(
+        "doc_id",
+        *[count_of(kind).alias(f"n_{kind}") for kind in KINDS],
+        F.sha2(shown(F.col("base")), 256).alias("base_sha256"),
+        shown(F.col("spans")).alias("spans"),
+    )
