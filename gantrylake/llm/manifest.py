@@ -1,9 +1,10 @@
 """Merkle manifest of a dataset: a tree of digests per source, one over the sources, and a proof per row.
 
-Leaves are ranked inside their source by a range sort; every level is one grouping of three neighbours, written as
-rows that link the children's digests to their parent. A recursive query then climbs from every leaf: each step
-joins the run that the current node belongs to, notes the siblings, and folds the digest that started from the
-tampered leaf. Nothing is gathered beyond the steps of one leaf, whose number is the tree's height.
+Leaves are ranked inside their source by a range sort; every level is one grouping of three neighbours. The levels
+are stored as rows that hold a stretch of the tree, three levels high, and a link to the node where it goes on.
+A recursive query then climbs from every leaf: each step joins the stretch above the current node, notes the
+siblings passed there, and folds the digest that started from the tampered leaf. Nothing is gathered beyond the
+steps of one leaf, whose number is a third of the tree's height.
 """
 
 from __future__ import annotations
@@ -17,8 +18,9 @@ from pyspark.sql import functions as F
 from gantrylake.llm.rows import quoted
 from gantrylake.llm.scratch import Scratch
 
-#: Children of a node, and the tree over the sources.
+#: Children of a node, levels that one step climbs, and the tree over the sources.
 FAN = 3
+HOPS = 3
 TOP = -1
 #: The number of a row inside its partition, as ``monotonically_increasing_id`` lays it out.
 INSIDE = (1 << 33) - 1
@@ -66,32 +68,61 @@ def ranked(rows: DataFrame, group: list[str], order: list[str], scratch: Scratch
     return located.join(starts, same).select(*rows.columns, place)
 
 
-def build_runs(nodes: DataFrame, scratch: Scratch) -> tuple[list[DataFrame], list[DataFrame]]:
-    """(runs of every level, roots) of trees whose lowest nodes are ``nodes``: tree, level, place, n, digest.
+def build_levels(nodes: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """(nodes of all levels below the roots, roots) of trees whose lowest nodes are ``nodes``.
 
-    ``n`` is the number of nodes that the tree has on the level. A run names the parent (tree, level, place) and
-    holds its children's digests in order. Roots come in pieces, by the height of their trees.
+    Columns are tree, level, place, n (nodes that the tree has on the level) and digest.
     """
-    runs, roots = [], []
+    inner, roots = [], []
     while True:
-        roots.append(nodes.where("n = 1").select("tree", "level", "digest"))
+        roots.append(nodes.where("n = 1"))
         left = nodes.where("n > 1")
-        children = F.array_sort(F.collect_list(F.struct("place", "digest")))
+        inner.append(left)
         parent = F.call_function("div", F.col("place"), F.lit(FAN))
-        grouped = left.groupBy("tree", "level", parent.alias("parent"), "n").agg(children.alias("children"))
-        run = grouped.select(
+        grouped = left.groupBy("tree", "level", parent.alias("parent"), "n").agg(F.array_sort(F.collect_list(F.struct("place", "digest"))).alias("run"))
+        inputs = F.array_join(F.transform("run.digest", as_text), "")
+        up = grouped.select(
             "tree",
             (F.col("level") + 1).alias("level"),
             F.col("parent").alias("place"),
             F.ceil(F.col("n") / FAN).cast("long").alias("n"),
-            F.col("children.digest").alias("children"),
+            digest(inputs).alias("digest"),
         )
-        inputs = F.array_join(F.transform("children", as_text), "")
-        run = scratch.write(run.withColumn("digest", digest(inputs)), "level")
-        if not run.limit(1).count():
-            return runs, roots
-        runs.append(run.select("tree", "level", "place", "n", "children"))
-        nodes = run.select("tree", "level", "place", "n", "digest")
+        nodes = scratch.write(up, "level")
+        if not nodes.limit(1).count():
+            return union(inner), union(roots)
+
+
+def stretches(nodes: DataFrame) -> DataFrame:
+    """Stretches of ``HOPS`` levels: tree, lowest level, place among the stretches there, the digests of each level
+    in order (none for a level that the tree ends below), and the node where the climb goes on.
+
+    A source's tree that ends in a stretch goes on as a leaf of the tree over the sources.
+    """
+    low = F.col("level") % HOPS
+    width = F.element_at(F.array(*[F.lit(FAN**n) for n in range(HOPS, 0, -1)]), (low + 1).cast("int"))
+    keyed = nodes.select(
+        "tree",
+        (F.col("level") - low).cast("int").alias("level"),
+        F.call_function("div", F.col("place"), width).alias("above"),
+        F.struct(low.alias("hop"), F.col("place").alias("at"), "digest").alias("node"),
+        F.when(low == 0, F.col("n")).alias("n"),
+    )
+    grouped = keyed.groupBy("tree", "level", "above").agg(F.array_sort(F.collect_list("node")).alias("nodes"), F.max("n").alias("n"))
+    ends = (F.col("n") <= FAN**HOPS) & (F.col("tree") != TOP)
+
+    def of(hop: int) -> Column:
+        return F.filter("nodes", lambda node: node["hop"] == hop)["digest"].alias(f"hop{hop}")
+
+    return grouped.select(
+        "tree",
+        "level",
+        "above",
+        *map(of, range(HOPS)),
+        F.when(ends, TOP).otherwise(F.col("tree")).cast("long").alias("up_tree"),
+        F.when(ends, 0).otherwise(F.col("level") + HOPS).cast("int").alias("up_level"),
+        F.when(ends, F.col("tree")).otherwise(F.col("above")).alias("up_place"),
+    )
 
 
 def union(frames: list[DataFrame]) -> DataFrame:
@@ -116,28 +147,34 @@ def unbounded_recursion(spark: SparkSession) -> Iterator[None]:
             spark.conf.set(name, before)
 
 
-def climbed(spark: SparkSession, leaves: DataFrame, runs: DataFrame) -> DataFrame:
-    """One row per leaf and node on its way to the root: the folded digest and the siblings passed there.
+def _hop(hop: int) -> str:
+    """One level up: a node's digest becomes its run's; the run's other digests are noted."""
+    at = f"CAST(place DIV {FAN**hop} % {FAN ** (HOPS - hop)} AS INT)"
+    text = "array_join(transform({}, x -> lower(hex(x))), '')"
+    before = text.format(f"slice(hop{hop}, {at} - {at} % {FAN} + 1, {at} % {FAN})")
+    after = text.format(f"slice(hop{hop}, {at} + 2, {FAN - 1} - {at} % {FAN})")
+    beside = f"SELECT *, {before} AS before, {after} AS after"
+    up = f"IF(size(hop{hop}) = 0, folded, unhex(sha2(concat(before, lower(hex(folded)), after), 256)))"
+    return f"SELECT * EXCEPT (folded, siblings, before, after), {up} AS folded, concat(siblings, before, after) AS siblings FROM ({beside} FROM ({{}}))"
+
 
-    A node's run is found by its parent's number; where a run's digest is the root of a source's tree, the climb
-    goes on in the tree over the sources.
+def climbed(spark: SparkSession, leaves: DataFrame, table: DataFrame) -> DataFrame:
+    """One row per leaf and stretch on its way to the root: the folded digest and the siblings passed there."""
+    step = f"""
+        SELECT c.row, c.place, c.folded, '' AS siblings, s.*
+        FROM climb c JOIN {{table}} s ON s.tree = c.tree AND s.level = c.level AND s.above = c.place DIV {FAN**HOPS}
     """
-    child = "CAST(c.place % 3 AS INT)"
-    before = f"array_join(transform(slice(r.children, 1, {child}), x -> lower(hex(x))), '')"
-    after = f"array_join(transform(slice(r.children, {child} + 2, 3), x -> lower(hex(x))), '')"
+    for hop in range(HOPS):
+        step = _hop(hop).replace("{}", step)
     query = f"""
     WITH RECURSIVE climb (row, tree, level, place, folded, siblings) AS (
         SELECT row, tree, level, place, tampered, CAST('' AS BINARY) FROM {{leaves}}
         UNION ALL
-        SELECT row, tree, level, place, unhex(sha2(concat(before, lower(hex(folded)), after), 256)), unhex(concat(before, after))
-        FROM (
-            SELECT c.row, r.up_tree AS tree, r.up_level AS level, r.up_place AS place, c.folded, {before} AS before, {after} AS after
-            FROM climb c JOIN {{runs}} r ON r.tree = c.tree AND r.level = c.level + 1 AND r.place = c.place DIV 3
-        )
+        SELECT row, up_tree, up_level, up_place, folded, unhex(siblings) FROM ({step})
     )
     SELECT * FROM climb
     """
-    return spark.sql(query, leaves=leaves, runs=runs)
+    return spark.sql(query, leaves=leaves, table=table)
 
 
 def merkle_manifest(
@@ -181,30 +218,14 @@ def merkle_manifest(
         "places",
     )
     lowest = placed.select("tree", F.lit(0).alias("level"), "place", "n", F.col("leaf").alias("digest"))
-    runs, roots = build_runs(lowest, scratch)
-    subroots = scratch.write(union(roots), "subroots")
-    count = trees.count()
-    tops = subroots.select(F.lit(TOP).cast("long").alias("tree"), F.lit(0).alias("level"), F.col("tree").alias("place"), F.lit(count).cast("long").alias("n"), "digest")
-    top_runs, top_roots = build_runs(tops, scratch)
-    inner = [
-        run.select(
-            "tree", "level", "place", "children",
-            F.when(F.col("n") == 1, TOP).otherwise(F.col("tree")).cast("long").alias("up_tree"),
-            F.when(F.col("n") == 1, 0).otherwise(F.col("level")).cast("int").alias("up_level"),
-            F.when(F.col("n") == 1, F.col("tree")).otherwise(F.col("place")).alias("up_place"),
-        )
-        for run in runs
-    ]
-    outer = [
-        run.select("tree", "level", "place", "children", F.col("tree").alias("up_tree"), F.col("level").alias("up_level"), F.col("place").alias("up_place"))
-        for run in top_runs
-    ]
-    top = union(top_roots).first()  # the one root
-    root = F.lit(None).cast("binary") if top is None else F.lit(top["digest"])
-    if not inner + outer:  # one row, or none
-        proofs = placed.select("row", F.sha2(F.lit(""), 256).alias("proof_sha256"), F.col("tampered").alias("folded"))
-        return scratch.finish(_result(placed, proofs, subroots, root))
-    table = scratch.write(union(inner + outer), "runs")
+    inner, roots = build_levels(lowest, scratch)
+    subroots = scratch.write(roots.select("tree", "digest"), "subroots")
+    count = F.lit(subroots.count()).cast("long")
+    tops = subroots.select(F.lit(TOP).cast("long").alias("tree"), F.lit(0).alias("level"), F.col("tree").alias("place"), count.alias("n"), "digest")
+    outer, top = build_levels(tops, scratch)
+    first = top.first()  # the one root
+    root = F.lit(None).cast("binary") if first is None else F.lit(first["digest"])
+    table = scratch.write(stretches(union([inner, outer])), "stretches")
     alone = F.col("n") == 1
     starts = placed.select(
         "row",
