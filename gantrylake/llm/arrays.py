@@ -13,9 +13,8 @@ import pyarrow as pa
 
 BLOCK_BYTES = 1 << 19
 
-_BASE = 0x9E3779B97F4A7C15
 _SEED = 20240611
-_CODES = np.random.Generator(np.random.PCG64(_SEED)).integers(1, 2**63, 1 << 16, dtype=np.uint64)
+_CODES = np.random.Generator(np.random.PCG64(_SEED)).integers(1, 2**31 - 1, (2, 1 << 16), dtype=np.uint64)
 _tables: dict[str, np.ndarray] = {}
 
 
@@ -75,40 +74,86 @@ def mix(values: np.ndarray) -> np.ndarray:
     return values
 
 
-def _powers(size: int, name: str = "up") -> np.ndarray:
+#: Span hashes are residues by this prime, in two lanes of their own bases. A sum of codes times powers of a
+#: number modulo 2**64 would give equal hashes to unequal texts of regular form; a prime modulus does not.
+PRIME = np.uint64((1 << 31) - 1)
+_SHIFT = np.uint64(31)
+_BASES = (0x2545F491, 0x5851F42D)
+
+
+def residue(values: np.ndarray) -> np.ndarray:
+    """Values below 2**62 modulo ``PRIME``."""
+    values = (values & PRIME) + (values >> _SHIFT)
+    values = (values & PRIME) + (values >> _SHIFT)
+    return np.where(values == PRIME, np.uint64(0), values)
+
+
+def _powers(size: int, lane: int, down: bool = False) -> np.ndarray:
+    name = f"{lane}{down}"
     table = _tables.get(name)
     if table is None or len(table) < size:
-        base = _BASE if name == "up" else pow(_BASE, -1, 1 << 64)
-        table = np.full(max(size, 1 << 16), base, np.uint64)
-        table[0] = 1
-        _tables[name] = table = np.cumprod(table)
+        prime = int(PRIME)
+        base = pow(_BASES[lane], -1, prime) if down else _BASES[lane] % prime
+        table = np.ones(1, np.uint64)
+        while len(table) < max(size, 1 << 16):
+            table = np.concatenate([table, residue(table * np.uint64(pow(base, len(table), prime)))])
+        _tables[name] = table
     return table[:size]
 
 
 class SpanHash:
     """64-bit hashes of any spans of one sequence, equal for equal content, after one pass over it.
 
-    A prefix sum of random codes times powers of an odd number, modulo 2**64. ``salt`` gives an
-    independent second hash.
+    Two prefix sums of random codes times powers of a base, each modulo a prime. Symbols are small numbers, or
+    64-bit hashes themselves. Unequal content of equal hash has a chance of about (length / 2**31) ** 2; where equality
+    decides a result, content is compared as well (see :func:`content_ids`).
     """
 
-    def __init__(self, symbols: np.ndarray, salt: int = 0) -> None:
-        codes = _CODES if not salt else mix(_CODES + np.uint64(salt))
-        terms = codes[symbols] if symbols.dtype != np.uint64 else symbols.copy()
-        terms *= _powers(len(symbols))
-        self.sums = np.zeros(len(symbols) + 1, np.uint64)
-        np.cumsum(terms, out=self.sums[1:])
-        self.back = _powers(len(symbols) + 1, "down")
+    def __init__(self, symbols: np.ndarray) -> None:
+        self.sums, self.back = [], []
+        for lane in (0, 1):
+            if symbols.dtype == np.uint64:
+                codes = residue((mix(symbols + np.uint64(lane)) if lane else symbols) >> np.uint64(2 * lane) & np.uint64((1 << 62) - 1))
+            else:
+                codes = _CODES[lane][symbols]
+            sums = np.zeros(len(symbols) + 1, np.uint64)
+            np.cumsum(residue(codes * _powers(len(symbols), lane)), out=sums[1:])
+            self.sums.append(sums)
+            self.back.append(_powers(len(symbols) + 1, lane, True))
+
+    def _joined(self, lanes: list[np.ndarray]) -> np.ndarray:
+        return mix((lanes[0] << _SHIFT) | lanes[1])
 
     def __call__(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        return mix((self.sums[ends] - self.sums[starts]) * self.back[starts])
+        return self._joined([residue(residue(sums[ends] - sums[starts]) * back[starts]) for sums, back in zip(self.sums, self.back, strict=True)])
 
     def windows(self, width: int) -> np.ndarray:
         """Hashes of all spans of one width."""
-        total = len(self.sums) - width
+        total = len(self.sums[0]) - width
         if total <= 0:
             return np.zeros(0, np.uint64)
-        return mix((self.sums[width:] - self.sums[:-width]) * self.back[:total])
+        lanes = [residue(residue(sums[width:] - sums[:-width]) * back[:total]) for sums, back in zip(self.sums, self.back, strict=True)]
+        return self._joined(lanes)
+
+
+def content_ids(symbols: np.ndarray, starts: np.ndarray, ends: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Numbers of spans, equal exactly where their content is.
+
+    Spans of one hash are compared with the first of them, symbol by symbol. Should any differ, all spans are numbered
+    by their content itself.
+    """
+    _, first, ids = np.unique(hashes, return_index=True, return_inverse=True)
+    like = first[ids]
+    lengths = ends - starts
+    other = np.flatnonzero(like != np.arange(len(ids)))
+    own, its = lengths[other], lengths[like[other]]
+    same = np.array_equal(own, its) and np.array_equal(
+        symbols[ragged(starts[other], own)], symbols[ragged(starts[like[other]], its)]
+    )
+    if same:
+        return ids
+    seen: dict[bytes, int] = {}
+    return np.array([seen.setdefault(symbols[a:b].tobytes(), len(seen)) for a, b in zip(starts.tolist(), ends.tolist(), strict=True)], np.int64)
 
 
 def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:

@@ -99,27 +99,41 @@ class Encoder:
         self.lengths = np.zeros(1 << 16, np.int64)
         self.ids = np.zeros(1 << 18, np.uint32)
         self.used = 0
+        # The pieces themselves, as code points: a hash finds a piece, its content decides.
+        self.kept = np.zeros(1 << 18, np.uint32)
+        self.kept_starts = np.zeros(1 << 16, np.int64)
+        self.kept_sizes = np.zeros(1 << 16, np.int64)
+        self.kept_used = 0
 
     def _whole(self, texts: list[str]) -> list[list[int]]:
         return [code.ids for code in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _learn(self, hashes: np.ndarray, pieces: list[str]) -> None:
         for at in range(0, len(pieces), 5000):
-            encoded = self._whole(pieces[at : at + 5000])
+            part = pieces[at : at + 5000]
+            encoded = self._whole(part)
             lengths = np.fromiter(map(len, encoded), np.int64, len(encoded))
             flat = np.fromiter((i for ids in encoded for i in ids), np.uint32, int(lengths.sum()))
+            content = np.frombuffer("".join(part).encode("utf-32-le"), np.uint32)
+            sizes = np.fromiter(map(len, part), np.int64, len(part))
             slot = self.index.size
-            need_slots, need_ids = slot + len(encoded), self.used + len(flat)
-            if need_slots > len(self.starts):
-                self.starts = np.resize(self.starts, 2 * need_slots)
-                self.lengths = np.resize(self.lengths, 2 * need_slots)
-            if need_ids > len(self.ids):
-                self.ids = np.resize(self.ids, 2 * need_ids)
-            self.starts[slot:need_slots] = self.used + np.cumsum(lengths) - lengths
-            self.lengths[slot:need_slots] = lengths
-            self.ids[self.used : need_ids] = flat
-            self.used = need_ids
-            self.index.add(hashes[at : at + 5000], np.arange(slot, need_slots, dtype=np.int32))
+            need = slot + len(encoded)
+            if need > len(self.starts):
+                for name in ("starts", "lengths", "kept_starts", "kept_sizes"):
+                    setattr(self, name, np.resize(getattr(self, name), 2 * need))
+            if self.used + len(flat) > len(self.ids):
+                self.ids = np.resize(self.ids, 2 * (self.used + len(flat)))
+            if self.kept_used + len(content) > len(self.kept):
+                self.kept = np.resize(self.kept, 2 * (self.kept_used + len(content)))
+            self.starts[slot:need] = self.used + np.cumsum(lengths) - lengths
+            self.lengths[slot:need] = lengths
+            self.ids[self.used : self.used + len(flat)] = flat
+            self.used += len(flat)
+            self.kept_starts[slot:need] = self.kept_used + np.cumsum(sizes) - sizes
+            self.kept_sizes[slot:need] = sizes
+            self.kept[self.kept_used : self.kept_used + len(content)] = content
+            self.kept_used += len(content)
+            self.index.add(hashes[at : at + 5000], np.arange(slot, need, dtype=np.int32))
 
     def _slots(self, joined: str, begins: np.ndarray, ends: np.ndarray, hashes: np.ndarray) -> np.ndarray:
         """Slots of at most ``REMEMBERED`` pieces of a text; earlier slots may be forgotten."""
@@ -135,6 +149,18 @@ class Encoder:
         slots[missed] = self.index.find(hashes[missed])
         return slots
 
+    def _strangers(self, codes: np.ndarray, begins: np.ndarray, ends: np.ndarray, slots: np.ndarray) -> np.ndarray:
+        """Pieces whose slot holds another piece of the same hash."""
+        sizes = ends - begins
+        wrong = sizes != self.kept_sizes[slots]
+        alike = np.flatnonzero(~wrong)
+        own = ragged(begins[alike], sizes[alike])
+        its = ragged(self.kept_starts[slots[alike]], sizes[alike])
+        unequal = codes[own] != self.kept[its]
+        if unequal.any():
+            wrong[np.repeat(alike, sizes[alike])[unequal]] = True
+        return np.flatnonzero(wrong)
+
     def _pieces(self, texts: list[str], with_ids: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Tokens of all pieces of plain texts, their ids if wanted, and where each text's pieces begin.
 
@@ -151,9 +177,20 @@ class Encoder:
         for at in range(0, len(begins), REMEMBERED):
             turn = slice(at, at + REMEMBERED)
             slots = self._slots(joined, begins[turn], ends[turn], hashes[turn])
-            lengths.append(self.lengths[slots])
+            counts = self.lengths[slots]
+            strangers = self._strangers(codes, begins[turn], ends[turn], slots)
+            if not len(strangers):
+                lengths.append(counts)
+                if with_ids:
+                    ids.append(self.ids[ragged(self.starts[slots], counts)])
+                continue
+            encoded = self._whole([joined[begins[at + n] : ends[at + n]] for n in strangers.tolist()])
+            counts[strangers] = [len(own) for own in encoded]
+            lengths.append(counts)
             if with_ids:
-                ids.append(self.ids[ragged(self.starts[slots], lengths[-1])])
+                apart = dict(zip(strangers.tolist(), encoded, strict=True))
+                known = zip(self.starts[slots].tolist(), counts.tolist(), strict=True)
+                ids += [np.array(apart[n], np.uint32) if n in apart else self.ids[a : a + size] for n, (a, size) in enumerate(known)]
         return np.concatenate(lengths), np.concatenate(ids), np.searchsorted(begins, offsets)
 
     def _simple(self, texts: list[str]) -> np.ndarray:

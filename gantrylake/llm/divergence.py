@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gantrylake.llm.arrays import LOWER, SPACE, SpanHash, blocks, lookup_table, ragged, runs
+from gantrylake.llm.arrays import LOWER, SPACE, SpanHash, blocks, content_ids, lookup_table, ragged, runs
 from gantrylake.llm.rows import quoted, result_schema, unpacked
 
 SYMBOLS = lookup_table("#*$%&|<>")
@@ -72,18 +72,19 @@ def base_figures(data: np.ndarray, offsets: np.ndarray) -> Base:
     # Lines with a word that equal an earlier one of the text.
     line_starts, line_ends, line_first = runs(data != 10, offsets)
     worded = np.searchsorted(starts, line_ends) > np.searchsorted(starts, line_starts)
-    hashes = spans(line_starts, line_ends)
+    same_lines = content_ids(data, line_starts, line_ends, spans(line_starts, line_ends))
     lines = np.zeros(texts, np.int64)
     bounds = line_first.tolist()
     # Words inside windows of five that the text holds twice.
-    words = spans(starts, ends)
+    hashes = spans(starts, ends)
+    words = content_ids(data, starts, ends, hashes)
     counts = np.maximum(np.diff(first) - 4, 0)
     at = ragged(first[:-1], counts)
-    windows = SpanHash(words)(at, at + 5)
+    windows = content_ids(words, at, at + 5, SpanHash(hashes)(at, at + 5))
     window_bounds = np.concatenate([[0], np.cumsum(counts)]).tolist()
     twice = np.zeros(len(windows), bool)
     for n in range(texts):
-        own = hashes[bounds[n] : bounds[n + 1]][worded[bounds[n] : bounds[n + 1]]]
+        own = same_lines[bounds[n] : bounds[n + 1]][worded[bounds[n] : bounds[n + 1]]]
         lines[n] = len(own) - len(np.unique(own)) if len(own) > 1 else 0
         a, b = window_bounds[n], window_bounds[n + 1]
         if b - a > 1:

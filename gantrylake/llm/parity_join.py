@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gantrylake.llm.arrays import LOWER, SPACE, SpanHash, blocks, mix, ragged, runs, text_buffers
+from gantrylake.llm.arrays import LOWER, SPACE, SpanHash, blocks, content_ids, mix, ragged, runs, text_buffers
 from gantrylake.llm.bitmap import bitmap_of, may_hold, rarity, rarity_table
 from gantrylake.llm.components import connected_components
 from gantrylake.llm.rows import quoted
@@ -43,8 +43,11 @@ OWN_LIMIT = (1 << 15) - 1
 _BIT_CODES = np.random.Generator(np.random.PCG64(77)).integers(1, 2**63, BLOCK_BITS, dtype=np.uint64)
 
 
-def shingle_sets(data: np.ndarray, offsets: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted distinct shingle hashes of each text, one after the other, and where each text's begin."""
+def shingle_sets(data: np.ndarray, offsets: np.ndarray, width: int, exact: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct shingles of each text, one after the other, and where each text's begin.
+
+    Shingles are hashes; ``exact`` ones are numbers that hold among the given texts, equal where all words are.
+    """
     data = LOWER[data]
     starts, ends, first = runs(~SPACE[data], offsets)
     words = SpanHash(data)(starts, ends)
@@ -52,9 +55,12 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, width: int) -> tuple[np.
     size = np.minimum(number, width)
     counts = np.where(number > 0, number - size + 1, 0)
     at = ragged(first[:-1], counts)
-    hashes = SpanHash(words)(at, at + np.repeat(size, counts))
+    until = at + np.repeat(size, counts)
+    shingles = SpanHash(words)(at, until)
+    if exact:
+        shingles = content_ids(content_ids(data, starts, ends, words), at, until, shingles)
     bounds = np.concatenate([[0], np.cumsum(counts)]).tolist()
-    sets = [np.unique(hashes[a:b]) for a, b in zip(bounds, bounds[1:], strict=False)]
+    sets = [np.unique(shingles[a:b]) for a, b in zip(bounds, bounds[1:], strict=False)]
     total = np.concatenate([[0], np.cumsum([len(own) for own in sets])]).astype(np.int64)
     return np.concatenate(sets) if sets else np.zeros(0, np.uint64), total
 
@@ -237,7 +243,7 @@ def _brief(short: str) -> F.Column:
 
 
 def verified(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
-    """(a, b) nodes of the candidate pairs (short, brief) whose sets are linked."""
+    """(a, b) nodes of the candidate pairs (short, brief) whose sets are linked, compared word by word."""
     left = texts.select("short", F.col("node").alias("a"), F.col("text").alias("text_a"))
     right = texts.select(_brief("short").alias("brief"), F.col("node").alias("b"), F.col("text").alias("text_b"))
     rows = pairs.join(left, "short").join(right, "brief").select("a", "text_a", "b", "text_b")
@@ -245,11 +251,13 @@ def verified(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> Da
     def checked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for own, data, offsets in blocks(batch, "text_a"):
-                members, first = shingle_sets(data, offsets, width)
-                others, second = shingle_sets(*text_buffers(own.column("text_b")), width)
+                others, after = text_buffers(own.column("text_b"))
+                both = np.concatenate([data, others]), np.concatenate([offsets, len(data) + after[1:]])
+                members, first = shingle_sets(*both, width, exact=True)
                 linked = []
                 for n in range(own.num_rows):
-                    one, two = members[first[n] : first[n + 1]], others[second[n] : second[n + 1]]
+                    m = own.num_rows + n
+                    one, two = members[first[n] : first[n + 1]], members[first[m] : first[m + 1]]
                     common = len(np.intersect1d(one, two, assume_unique=True))
                     linked.append(100 * common >= percent * (len(one) + len(two) - common))
                 hit = pa.array(linked, pa.bool_())
