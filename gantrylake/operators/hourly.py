@@ -112,12 +112,20 @@ def tally_trips(
     """Everything one pass over the raw rows can tell: scanned and cleaned rows per file and key.
 
     Rows the cleaning drops share a NULL key. The hourly table, the run counters and the retained
-    share all follow from this small table, so the raw files are read once.
+    share all follow from this small table, so the raw files are read once. Where the rows come with
+    a ``verdict`` per file, it stands with the file's NULL key.
     """
     keyed = keyed_trips(raw, gantries, year, month, day_start, day_end)
-    return keyed.groupBy(file_column, *HOURLY_KEYS).agg(
-        F.count(F.lit(1)).alias("scanned"), F.count_if("kept").alias("cleaned")
-    )
+    counted = [F.count(F.lit(1)).alias("scanned"), F.count_if("kept").alias("cleaned")]
+    if "verdict" in raw.columns:
+        counted = [F.count_if(F.col("verdict").isNull()).alias("scanned"), counted[1], F.max("verdict").alias("verdict")]
+    return keyed.groupBy(file_column, *HOURLY_KEYS).agg(*counted)
+
+
+def judged_tally(tally: DataFrame, sound: str, file_column: str = "file_name") -> tuple[DataFrame, DataFrame]:
+    """(the tally of sound files, name and reason of the others) of a written tally with verdicts."""
+    bad = tally.where(F.col("verdict") != sound).select(file_column, F.col("verdict").alias("reason"))
+    return tally.drop("verdict").join(bad.select(file_column), file_column, "left_anti"), bad
 
 
 def hourly_from_tally(tally: DataFrame) -> DataFrame:

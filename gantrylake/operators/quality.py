@@ -12,7 +12,17 @@ from gantrylake.functions.calendar import hour_bit
 from gantrylake.functions.files import day_text_to_date, file_day, file_hour
 from gantrylake.functions.literals import literal_array
 from gantrylake.functions.numbers import ratio, round_half_even
+from gantrylake.operators.clean import LIST_ROWS
 from gantrylake.schemas import FILES_PER_DAY, GANTRY_ID_PATTERN, HOURS
+from gantrylake.session import fresh_path
+from gantrylake.sinks.lake import materialise
+
+#: Decimal digits that the values of a type take, and the least value.
+ORDER_DIGITS = {
+    "int": (10, -(2**31)),
+    "bigint": (20, -(2**63)),
+    "timestamp": (18, -(10**17)),
+}
 
 
 def day_calendar(spark: SparkSession, first: dt.date, last: dt.date) -> DataFrame:
@@ -122,6 +132,37 @@ def reconcile(expected: DataFrame, actual: DataFrame, keys: Sequence[str]) -> Da
     return both.select(*keys, *rows, status.alias("status"))
 
 
+def reconcile_rows(expected: DataFrame, actual: DataFrame, keys: Sequence[str], buckets: int = 64) -> DataFrame:
+    """The rows by which two tables differ: ``side`` (``MISSING`` or ``EXTRA``), ``copies``, and the row.
+
+    Both sides shrink to a digest per key and bucket of rows, hashed by content. Only rows of buckets whose digests
+    differ go on to be compared; the list of those buckets is broadcast up to a counted size, so
+    rows of equal buckets are never shuffled, and a key that holds a third of all rows is spread over its buckets.
+    """
+    columns = sorted(expected.columns)
+    bucket = F.pmod(F.xxhash64(*columns), F.lit(buckets)).cast("int").alias("_bucket")
+
+    def digests(table: DataFrame, sign: int) -> DataFrame:
+        rows = table.select(*columns, bucket).groupBy(*keys, "_bucket").agg(F.count(F.lit(1)).alias("n"), row_digest(columns).alias("digest"))
+        return rows.select(*keys, "_bucket", (F.col("n") * sign).alias("n"), (F.col("digest") * sign).alias("digest"))
+
+    sums = digests(expected, 1).unionByName(digests(actual, -1)).groupBy(*keys, "_bucket").agg(F.sum("n").alias("n"), F.sum("digest").alias("digest"))
+    folder = fresh_path(expected.sparkSession, "uneven")
+    uneven = materialise(sums.where("n != 0 OR digest != 0").select(*[F.col(k).alias(f"_{k}") for k in keys], F.col("_bucket").alias("_at")), folder)
+    few = uneven.count() <= LIST_ROWS
+
+    def open_rows(table: DataFrame, sign: int) -> DataFrame:
+        rows = table.select(*columns, bucket)
+        same = rows["_bucket"] == uneven["_at"]
+        for key in keys:
+            same &= rows[key].eqNullSafe(uneven[f"_{key}"])
+        return rows.join(F.broadcast(uneven) if few else uneven, same, "left_semi").select(*columns, F.lit(sign).alias("_sign"))
+
+    left = open_rows(expected, 1).unionByName(open_rows(actual, -1)).groupBy(*columns).agg(F.sum("_sign").alias("_sign"))
+    side = F.when(F.col("_sign") > 0, "MISSING").otherwise("EXTRA").alias("side")
+    return left.where("_sign != 0").select(side, F.abs("_sign").alias("copies"), *columns)
+
+
 def run_summary(counters: DataFrame) -> DataFrame:
     """Run counters with the share of rows kept and the share of hourly rows, in percent."""
     percent = lambda part, whole: round_half_even(ratio(F.col(part), F.col(whole)) * F.lit(100.0), 2)
@@ -135,15 +176,39 @@ def run_summary(counters: DataFrame) -> DataFrame:
     )
 
 
+def packed_order(records: DataFrame, order: Sequence[str]) -> Column:
+    """One number that orders rows as the columns do, the first one first; NULL precedes all values."""
+    kinds, number, used = dict(records.dtypes), F.lit(0).cast("decimal(38,0)"), 0
+    for name in order:
+        width, least = ORDER_DIGITS[kinds[name].removesuffix("_ntz")]
+        used += width
+        value = F.col(name)
+        if kinds[name].startswith("timestamp"):
+            value = F.unix_micros(value.cast("timestamp"))
+        place = F.coalesce(value.cast("decimal(38,0)") + F.lit(str(1 - least)).cast("decimal(38,0)"), F.lit("0").cast("decimal(38,0)"))
+        number = (number * F.lit(str(10**width)).cast("decimal(38,0)") + place).cast("decimal(38,0)")
+    if used > 38:
+        raise ValueError("the order columns do not fit one number")
+    return number
+
+
+def _greatest(rows: DataFrame, job: str, number: Column) -> DataFrame:
+    """Rows whose number is their job's greatest; jobs meet by hash, a job's rows spread by their numbers."""
+    numbered = rows.withColumn("_number", number)
+    last = numbered.groupBy(job).agg(F.max("_number").alias("_last")).withColumnRenamed(job, "_job")
+    newest = numbered[job].eqNullSafe(last["_job"]) & (numbered["_number"] == last["_last"])
+    return numbered.join(last, newest, "left_semi").drop("_number")
+
+
 def latest_status(records: DataFrame, job: str = "job_id", order: Sequence[str] = ("at",)) -> DataFrame:
-    """The last record of every job.
+    """The last record of every job; of different records that tie in every order column, one chosen by hash.
 
-    A maximum, not a ranked window: each task keeps one candidate per job before the shuffle, so a
-    job with a third of all records does not sort them in one place.
+    Numbers are compared, never text: each task keeps one number per job by hash, and the record itself
+    is fetched by job and number. Neither step sorts a job's records or brings them to one place.
     """
     rest = [c for c in records.columns if c not in (job, *order)]
-    newest = records.groupBy(job).agg(F.max(F.struct(*order, *rest)).alias("last"))
-    return newest.select(job, "last.*")
+    newest = _greatest(records, job, packed_order(records, order))
+    return _greatest(newest, job, F.xxhash64(*rest, F.lit(0))).distinct().select(job, *order, *rest)
 
 
 def domain_rules(

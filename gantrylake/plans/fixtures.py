@@ -15,6 +15,7 @@ from gantrylake.functions.calendar import clock_text, month_key_of
 from gantrylake.functions.files import hourly_file_name
 from gantrylake.functions.literals import literal_array, literal_map
 from gantrylake.operators.hourly import hourly_counts
+from gantrylake.schemas import RAW_TRIP_COLUMNS
 
 # --- fixed values of the fixtures ---------------------------------------------------------
 GANTRIES = ["01F2930N", "01F2930S", "01F3019N", "01F3019S", "01F3083N", "01F3083S", "05F0287N", "05F0055N"]
@@ -208,6 +209,23 @@ def damaged_copies(spark: SparkSession, landed: str, target: str) -> None:
             system.rename(status.getPath(), spark._jvm.org.apache.hadoop.fs.Path(f"{target}/{name}.csv.gz"))
 
 
+def cut_copies(spark: SparkSession, sf_dir: str, folder: str) -> None:
+    """Trips again, as packed files that break off after half of their bytes; their first rows can be read."""
+    target = f"{folder}-whole"
+    trips(spark, sf_dir).select(*RAW_TRIP_COLUMNS).repartition(2, "TripInformation").write.option("compression", "gzip").csv(target)
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    path = hadoop.Path(target)
+    system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    copy = spark._jvm.org.apache.commons.io.IOUtils.copyLarge
+    for status in system.listStatus(path):
+        if status.getPath().getName().startswith("part-"):
+            source, out = system.open(status.getPath()), system.create(hadoop.Path(f"{folder}/cut-{status.getPath().getName()}"))
+            copy(source, out, 0, status.getLen() // 2)
+            source.close()
+            out.close()
+    system.delete(path, True)
+
+
 def write_daily_files(spark: SparkSession, sf_dir: str, target: str) -> None:
     """One file of trips per day, and an empty one."""
     days = trips(spark, sf_dir).select(F.substring("DetectionTime_D", 1, 10).alias("day"), "VehicleType", "GantryID_D")

@@ -456,6 +456,21 @@ grid AS (SELECT *, CAST(unnest(range(1, 8)) AS INTEGER) AS weekday FROM (SELECT
     ),
     "nested_files": _with(TRIPS, 'SELECT VehicleType AS "VehicleType", count(*) AS rows FROM trips GROUP BY 1'),
     "skipped_files": _with(HOURLY, "SELECT * FROM hourly"),
+    "month_folder_skips": _with(HOURLY, "SELECT * FROM hourly"),
+    "stream_skips_damaged": _with(HOURLY, "SELECT * FROM hourly"),
+    "incremental_month": _with(HOURLY, "SELECT * FROM hourly"),
+    "month_swap": _with(HOURLY, f"SELECT {_HOURLY_LIST}, '202401' AS yyyymm FROM hourly"),
+    "reconcile_rows": _with(
+        HOURLY
+        + """,
+actual AS (
+  SELECT year, month, CASE WHEN day = 9 THEN 31 ELSE day END AS day, weekday, hour_0, gantry_id_o, vehicle_type,
+    CASE WHEN day = 3 AND hour_0 = 8 THEN counts + 1 ELSE counts END AS counts, week_index
+  FROM hourly WHERE day <> 5),
+lost AS (SELECT 'MISSING' AS side, * FROM (SELECT * FROM hourly EXCEPT ALL SELECT * FROM actual)),
+extra AS (SELECT 'EXTRA' AS side, * FROM (SELECT * FROM actual EXCEPT ALL SELECT * FROM hourly))""",
+        f"SELECT side, count(*) AS copies, {_HOURLY_LIST} FROM (SELECT * FROM lost UNION ALL SELECT * FROM extra) GROUP BY ALL",
+    ),
     "inventory_sizes": (
         "SELECT true AS filled, count(DISTINCT strftime(ts + INTERVAL 20 MINUTES, '%Y-%m-%d')) AS files FROM events UNION ALL SELECT false, 1"
     ),

@@ -12,15 +12,16 @@ from gantrylake.functions.files import file_day
 from gantrylake.functions.text import normalise
 from gantrylake.operators import clean, dims, flow, grids, hourly, paths, profile, quality
 from gantrylake.plans import fixtures as fx
+from gantrylake.plans.month import MonthRun, run_month
 from gantrylake.schemas import HOURLY_CSV_COLUMNS, KNOWLEDGE_SCHEMA, RAW_TRIP_COLUMNS, VEHICLE_CODES
 from gantrylake.session import fresh_path
-from gantrylake.sinks.lake import create_table_as, register_lake, replace_days, write_lake
+from gantrylake.sinks.lake import create_table_as, materialise, month_folder, register_lake, replace_days, write_lake
 from gantrylake.sinks.text import write_hourly_csv, write_layer_csv, write_layers
 from gantrylake.sources.documents import json_number, read_dictionary
 from gantrylake.sources.hourly import coerce_hourly, read_hourly_csv, read_lake, tag_month, union_months
 from gantrylake.sources.inventory import read_inventory
-from gantrylake.sources.trips import damaged_files, read_trip_months, read_trips, with_file_name
-from gantrylake.streaming.hourly import compact_partials, hourly_windows, start_hourly_stream, streamed_hourly
+from gantrylake.sources.trips import SOUND, checked_trip_months, damaged_files, file_stream, read_trip_months, read_trips, with_file_name
+from gantrylake.streaming.hourly import compact_partials, hourly_windows, start_checked_stream, start_hourly_stream, streamed_hourly
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -92,6 +93,40 @@ def skipped_files(spark, sf):
     return hourly.to_lake_rows(hourly.add_week_index(hourly.hourly_from_tally(sound))).drop("yyyymm")
 
 
+@query
+def month_folder_skips(spark, sf):
+    """Month folders, a second and damaged landing in each: rows and verdicts come from one read of every file."""
+    path = fresh_path(spark, "months")
+    key = F.lit(f"{fx.YEAR:04d}{fx.MONTH:02d}").alias("yyyymm")
+    landed = fx.trips(spark, sf).select(*RAW_TRIP_COLUMNS, key).write.option("compression", "gzip").option("emptyValue", "")
+    landed.option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false").partitionBy("yyyymm").csv(path)
+    fx.cut_copies(spark, sf, f"{path}/yyyymm={fx.YEAR:04d}{fx.MONTH:02d}")
+    tally = hourly.tally_trips(checked_trip_months(spark, path, [f"{fx.YEAR:04d}{fx.MONTH:02d}"]), fx.TARGETS, fx.YEAR, fx.MONTH)
+    sound, _ = hourly.judged_tally(materialise(tally, fresh_path(spark, "tally")), SOUND)
+    return hourly.to_lake_rows(hourly.add_week_index(hourly.hourly_from_tally(sound))).drop("yyyymm")
+
+
+@query
+def incremental_month(spark, sf):
+    """A month run three times over four folders of files, one of which is written again in between."""
+    path, home = fresh_path(spark, "raw"), fresh_path(spark, "incremental")
+    trips = fx.trips(spark, sf)
+    run = MonthRun("month", fx.YEAR, fx.MONTH, fx.TARGETS, path, f"{home}/lake", f"{home}/records", tally_path=f"{home}/tallies")
+
+    def land(part, rows):
+        writer = rows.select(*RAW_TRIP_COLUMNS).write.mode("overwrite").option("compression", "gzip").option("emptyValue", "")
+        writer.option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false").csv(f"{path}/{part}")
+
+    for part in range(4):
+        mine = trips.where(F.col("event_id") % 4 == part)
+        land(part, mine.unionByName(mine) if part == 3 else mine)
+    run_month(spark, run)
+    land(3, trips.where(F.col("event_id") % 4 == 3))
+    run_month(spark, run)
+    run_month(spark, run)
+    return read_lake(spark, f"{home}/lake").drop("yyyymm")
+
+
 @query
 def clean_trips(spark, sf):
     cleaned = clean.clean_trips(fx.trips(spark, sf), fx.TARGETS, fx.YEAR, fx.MONTH)
@@ -352,6 +387,19 @@ def month_window_run(spark, sf):
     return read_lake(spark, path)
 
 
+@query
+def month_swap(spark, sf):
+    """A registered month replaced twice; a writer that never commits leaves rows that don't count."""
+    path = fresh_path(spark, "swap")
+    name = "swap_" + path.rsplit("-", 1)[-1]
+    month = f"{fx.YEAR:04d}{fx.MONTH:02d}"
+    replace_days(fx.hourly(spark, sf).where(F.col("day") != 5), path, fx.YEAR, fx.MONTH)
+    register_lake(spark, name, path)
+    fx.hourly(spark, sf).drop("yyyymm").write.parquet(f"{path}/{month_folder(month, 'abandoned')}")
+    replace_days(fx.hourly(spark, sf), path, fx.YEAR, fx.MONTH)
+    return register_lake(spark, name, path)
+
+
 def _layers(spark, sf):
     path = fresh_path(spark, "layers")
     write_layers(fx.hourly(spark, sf), path)
@@ -439,16 +487,28 @@ def inventory_sizes(spark, sf):
     return read_inventory(spark, path, "*.csv").groupBy(filled).agg(F.countDistinct("path").alias("files"))
 
 
-@query
-def reconcile(spark, sf):
-    """Daily layers against a copy with a lost day, a changed day and a day too many."""
+def _two_layers(spark, sf):
+    """Daily layers, and a copy with a lost day, a changed day and a day too many."""
     expected = fx.hourly(spark, sf).drop("yyyymm")
     changed = F.when((F.col("day") == 3) & (F.col("hour_0") == 8), F.col("counts") + 1).otherwise(F.col("counts"))
     moved = F.when(F.col("day") == 9, F.lit(31)).otherwise(F.col("day")).cast("int")
-    actual = expected.where(F.col("day") != 5).withColumns({"counts": changed, "day": moved})
+    return expected, expected.where(F.col("day") != 5).withColumns({"counts": changed, "day": moved})
+
+
+@query
+def reconcile(spark, sf):
+    """Daily layers against a copy with a lost day, a changed day and a day too many."""
+    expected, actual = _two_layers(spark, sf)
     return quality.reconcile(expected, actual, ["week_index", "day"])
 
 
+@query
+def reconcile_rows(spark, sf):
+    """The rows by which the same two tables differ."""
+    expected, actual = _two_layers(spark, sf)
+    return quality.reconcile_rows(expected, actual, ["week_index", "day"])
+
+
 @query
 def latest_status(spark, sf):
     last = quality.latest_status(fx.run_log(spark, sf), order=("at", "event_id"))
@@ -558,6 +618,20 @@ def stream_equals_batch(spark, sf):
     return hourly.to_lake_rows(counted).drop("yyyymm")
 
 
+@query
+def stream_skips_damaged(spark, sf):
+    """Packed files and damaged copies read as a stream of four files to a batch: sound files count, others are set aside."""
+    root = fresh_path(spark, "checked")
+    landed = fx.trips(spark, sf).select(*RAW_TRIP_COLUMNS).repartition(6, "TripInformation").write
+    landed = landed.option("compression", "gzip").option("emptyValue", "").option("ignoreLeadingWhiteSpace", "false")
+    landed.option("ignoreTrailingWhiteSpace", "false").csv(f"{root}/in/good")
+    fx.cut_copies(spark, sf, f"{root}/in/bad")
+    files = file_stream(spark, f"{root}/in", files_per_trigger=4)
+    start_checked_stream(files, f"{root}/partials", f"{root}/checkpoint", fx.TARGETS, fx.YEAR, fx.MONTH).awaitTermination()
+    counted = hourly.add_week_index(streamed_hourly(spark, f"{root}/partials"))
+    return hourly.to_lake_rows(counted).drop("yyyymm")
+
+
 # --- paths and calendar ------------------------------------------------------------------------
 
 

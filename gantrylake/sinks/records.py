@@ -1,4 +1,4 @@
-"""Run records: appended, never updated; readers take the last one per job."""
+"""Run records: appended, never updated; readers take the last one per job. Old ones are merged into one file."""
 
 from __future__ import annotations
 
@@ -9,9 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gantrylake.operators.quality import latest_status
-
-# --- fixed values: states of a run --------------------------------------------------------
-STATES = ["accepted", "downloading", "downloaded", "cleaning", "skipped", "done", "error"]
+from gantrylake.sinks.heads import Log
 
 RECORD_SCHEMA = T.StructType(
     [
@@ -31,7 +29,7 @@ COUNTERS = ["scanned_rows", "cleaned_rows", "hourly_rows", "file_count"]
 def append_record(spark: SparkSession, path: str, job_id: str, status: str, note: str | None = None) -> None:
     """One state of a run without counters."""
     row = (job_id, dt.datetime.now(dt.timezone.utc).replace(tzinfo=None), status, None, None, None, None, note)
-    spark.createDataFrame([row], RECORD_SCHEMA).write.mode("append").parquet(path)
+    Log(spark, path).append(spark.createDataFrame([row], RECORD_SCHEMA).coalesce(1))
 
 
 def append_skipped(damaged: DataFrame, path: str, job_id: str) -> None:
@@ -44,17 +42,19 @@ def append_skipped(damaged: DataFrame, path: str, job_id: str) -> None:
         *[F.lit(None).cast("long").alias(name) for name in COUNTERS],
         F.concat_ws(": ", "file_name", "reason").alias("note"),
     )
-    record.write.mode("append").parquet(path)
+    Log(record.sparkSession, path).append(record.select(*[F.col(f.name).cast(f.dataType) for f in RECORD_SCHEMA]))
 
 
-def append_counters(counters: DataFrame, path: str, job_id: str, status: str = "done", skipped: int = 0) -> None:
+def append_counters(
+    counters: DataFrame, path: str, job_id: str, status: str = "done", skipped: int = 0, remark: str | None = None
+) -> None:
     """The closing record with its counters, written by Spark from the one-row table.
 
     No matching rows is a normal outcome: the record says so in its note, and how many files were skipped.
     """
     left_out = F.lit(f"{skipped} damaged files skipped" if skipped else None)
     matched = F.when(F.col("hourly_rows") == 0, F.lit("no matching rows"))
-    note = F.nullif(F.concat_ws("; ", matched, left_out), F.lit(""))
+    note = F.nullif(F.concat_ws("; ", matched, left_out, F.lit(remark)), F.lit(""))
     record = counters.select(
         F.lit(job_id).alias("job_id"),
         F.lit(dt.datetime.now(dt.timezone.utc).replace(tzinfo=None).isoformat(sep=" ")).cast("timestamp_ntz").alias("at"),
@@ -62,8 +62,12 @@ def append_counters(counters: DataFrame, path: str, job_id: str, status: str = "
         *COUNTERS,
         note.alias("note"),
     )
-    record.write.mode("append").parquet(path)
+    Log(record.sparkSession, path).append(record.select(*[F.col(f.name).cast(f.dataType) for f in RECORD_SCHEMA]))
+
+
+def read_records(spark: SparkSession, path: str) -> DataFrame:
+    return Log(spark, path).rows(RECORD_SCHEMA)
 
 
 def read_latest(spark: SparkSession, path: str) -> DataFrame:
-    return latest_status(spark.read.schema(RECORD_SCHEMA).parquet(path))
+    return latest_status(read_records(spark, path))

@@ -7,7 +7,10 @@ from pyspark.sql import functions as F
 
 from gantrylake.functions.coercion import to_whole_number
 from gantrylake.schemas import HOURLY_TEXT_SCHEMA, LAKE_SCHEMA, PARTITION_KEY
+from gantrylake.sinks.heads import Heads
 
+#: The folder level below a month.
+VERSION = "version"
 REQUIRED = ["Day", "Hour_0", "VehicleType", "counts"]
 
 
@@ -24,9 +27,26 @@ def read_hourly_csv(spark: SparkSession, path: str) -> DataFrame:
     return coerce_hourly(text)
 
 
+def lake_folders(spark: SparkSession, root: str) -> dict[str, str] | None:
+    """Path of each month's current folder, None for a lake whose months are plain folders."""
+    heads = Heads(spark, root)
+    folders = heads.read()
+    return None if folders is None else {month: heads.path(folder) for month, folder in sorted(folders.items())}
+
+
 def read_lake(spark: SparkSession, root: str, months: list[str] | None = None) -> DataFrame:
-    """The month-partitioned lake table. The explicit schema keeps ``yyyymm`` a text column."""
-    lake = spark.read.schema(LAKE_SCHEMA).parquet(root)
+    """The month-partitioned lake table as last committed. The explicit schema keeps ``yyyymm`` a text column.
+
+    Months that are not asked for are not even listed.
+    """
+    folders = lake_folders(spark, root)
+    if folders is None:
+        lake = spark.read.schema(LAKE_SCHEMA).parquet(root)
+    else:
+        paths = [path for month, path in folders.items() if months is None or month in months]
+        if not paths:
+            return spark.createDataFrame([], LAKE_SCHEMA)
+        lake = spark.read.schema(LAKE_SCHEMA).option("basePath", root).parquet(*paths).drop(VERSION)
     return lake if months is None else lake.where(F.col(PARTITION_KEY).isin(months))
 
 

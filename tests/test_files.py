@@ -10,7 +10,7 @@ from gantrylake.operators import hourly
 from gantrylake.plans.month import MonthRun, run_flow, run_month, run_statistics
 from gantrylake.schemas import FLOW_SCHEMA, RAW_TRIP_COLUMNS
 from gantrylake.sinks.lake import materialise, register_lake, write_lake
-from gantrylake.sinks.records import append_record, read_latest
+from gantrylake.sinks.records import append_record, read_latest, read_records
 from gantrylake.sinks.text import write_hourly_csv, write_layer_csv, write_layers
 from gantrylake.sources.documents import read_dictionary, read_knowledge
 from gantrylake.sources.hourly import read_hourly_csv, read_lake, tag_month, union_months
@@ -80,7 +80,7 @@ def test_month_run_fails_on_or_leaves_out_a_damaged_file(spark, tmp_path):
     assert failed.status == "error" and len(failed.note) > 0
     (summary,) = run_month(spark, month_run(tmp_path, skip_damaged=True)).collect()
     assert (summary.scanned_rows, summary.cleaned_rows, summary.file_count) == (2, 2, 2)
-    records = spark.read.parquet(str(tmp_path / "records"))
+    records = read_records(spark, str(tmp_path / "records"))
     (skipped,) = records.where("status = 'skipped'").collect()
     assert skipped.note.endswith("bad.csv.gz: the file ends early")
     assert read_latest(spark, str(tmp_path / "records")).first().note == "1 damaged files skipped"
