@@ -30,8 +30,9 @@ from gantrylake.llm.components import connected_components
 from gantrylake.llm.rows import quoted
 from gantrylake.llm.scratch import Scratch
 
-#: Bits of a sketch block, and blocks per block that must be looked at.
-BLOCK_BITS = 1024
+#: Bits of a sketch block, and blocks per block that must be looked at. Blocks travel as hashes, so their width costs
+#: nothing; wide ones agree only where sets share shingles, not by chance, however many sets there are.
+BLOCK_BITS = 1 << 20
 SPARE = 1.25
 #: Sizes in a band differ by this factor at most.
 BAND = 1.5
@@ -40,7 +41,7 @@ TILE = 2048
 WHOLE_BITS = 8
 #: Blocks of its own that are told apart when a centre is chosen.
 OWN_LIMIT = (1 << 15) - 1
-_BIT_CODES = np.random.Generator(np.random.PCG64(77)).integers(1, 2**63, BLOCK_BITS, dtype=np.uint64)
+_BIT_CODE = np.uint64(0x6A09E667F3BCC909)
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, width: int, exact: bool = False) -> tuple[np.ndarray, np.ndarray]:
@@ -112,7 +113,7 @@ def sketch_keys(members: np.ndarray, first: np.ndarray, bands: Bands) -> list[tu
         counts = sizes[own]
         values = members[ragged(first[own], counts)]
         local = np.repeat(np.arange(len(own)), counts)
-        block = ((values >> np.uint64(12)) % np.repeat(number, counts).astype(np.uint64)).astype(np.int64)
+        block = ((values >> np.uint64(20)) % np.repeat(number, counts).astype(np.uint64)).astype(np.int64)
         base = np.concatenate([[0], np.cumsum(number)]).astype(np.int64)
         cell = (base[local] + block) * BLOCK_BITS + (values & np.uint64(BLOCK_BITS - 1)).astype(np.int64)
         cell.sort()
@@ -125,7 +126,7 @@ def sketch_keys(members: np.ndarray, first: np.ndarray, bands: Bands) -> list[tu
         pattern = np.zeros(int(base[-1]), np.uint64)
         bits = np.zeros(int(base[-1]), np.int64)
         if len(full):
-            pattern[full[begin]] = np.bitwise_xor.reduceat(_BIT_CODES[cell % BLOCK_BITS], begin)
+            pattern[full[begin]] = np.bitwise_xor.reduceat(mix((cell % BLOCK_BITS).astype(np.uint64) + _BIT_CODE), begin)
             bits[full[begin]] = np.diff(np.append(begin, len(full)))
         owner = np.repeat(np.arange(len(own)), number)
         place = np.arange(len(owner)) - base[owner]
