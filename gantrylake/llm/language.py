@@ -18,12 +18,16 @@ from pyspark.sql import functions as F
 
 from gantrylake.llm.arrays import LOWER, HashIndex, SpanHash, blocks, mix, ragged, runs
 from gantrylake.llm.rows import quoted, result_schema, unpacked, with_text
+from gantrylake.llm.sampling import collected, sample_of
+from gantrylake.llm.scratch import Scratch
 
 #: Hashed features, labelled rows that are learned from at most, words of a training sequence, passes.
 FEATURES = 1 << 15
 SAMPLE = 2000
 SEQUENCE = 64
 EPOCHS = 2
+#: Weight of the prior that keeps transitions small.
+PRIOR = 1e-4
 #: Words of a stretch that forward-backward takes in one step of its outer chain.
 STRETCH = 32
 #: Bytes of texts that are labelled together: the outer chain's steps serve more texts at once.
@@ -72,6 +76,29 @@ class Crf:
 def forward_backward(scores: np.ndarray, first: np.ndarray, transitions: np.ndarray) -> np.ndarray:
     """Label probabilities of every word of many sequences (``first``: where each begins).
 
+    See :func:`messages` for how.
+    """
+    ahead, behind, _ = messages(scores, first, transitions)
+    out = ahead * behind
+    return out / out.sum(1, keepdims=True) if len(out) else out
+
+
+def pair_chances(scores: np.ndarray, first: np.ndarray, transitions: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Label probabilities of every word, words that have one before them, and the probability of each pair of labels there."""
+    ahead, behind, local = messages(scores, first, transitions)
+    chance = ahead * behind
+    chance /= np.maximum(chance.sum(1, keepdims=True), 1e-300)
+    inside = np.ones(len(scores), bool)
+    inside[first[:-1][np.diff(first) > 0]] = False
+    later = np.flatnonzero(inside)
+    move = np.exp(transitions - transitions.max())
+    pairs = ahead[later - 1][:, :, None] * move[None] * (local * behind)[later][:, None, :]
+    return chance, later, pairs / pairs.sum((1, 2), keepdims=True)
+
+
+def messages(scores: np.ndarray, first: np.ndarray, transitions: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Forward messages (each word's own score included), backward messages (without it), and the words' own factors.
+
     Sequences are cut into stretches. Each stretch's product of transfer matrices carries messages over it
     in one step, so a very long text costs few steps more than a short one; then messages run
     inside all stretches at once.
@@ -88,12 +115,16 @@ def forward_backward(scores: np.ndarray, first: np.ndarray, transitions: np.ndar
     # Longest stretches first: those still running are a leading part.
     order = np.argsort(-length, kind="stable")
     begin, length = begin[order], length[order]
+    fresh = (inner == 0)[order]  # nothing moves into a sequence's first word
     running = [int(np.searchsorted(-length, -step, side="left")) for step in range(STRETCH)]
     carry = np.broadcast_to(np.eye(labels), (len(begin), labels, labels)).copy()
     for step in range(STRETCH):
         n = running[step]
         if n:
-            part = (carry[:n].reshape(-1, labels) @ move).reshape(n, labels, labels) * local[begin[:n] + step][:, None, :]
+            part = (carry[:n].reshape(-1, labels) @ move).reshape(n, labels, labels)
+            if step == 0:
+                part[fresh[:n]] = 1.0
+            part *= local[begin[:n] + step][:, None, :]
             carry[:n] = part / part.sum((1, 2), keepdims=True)
     back = np.empty(len(order), np.int64)
     back[order] = np.arange(len(order))
@@ -113,21 +144,24 @@ def forward_backward(scores: np.ndarray, first: np.ndarray, transitions: np.ndar
         behind[at] = message[active[k]]
         moved = np.matmul(carry[at], message[active[k]][:, :, None])[:, :, 0]
         message[active[k]] = moved / moved.sum(1, keepdims=True)
-    out = np.empty((count, labels))
+    forward, backward = np.empty((count, labels)), np.empty((count, labels))
     for step in range(STRETCH):
         n = running[step]
         if n:
-            part = (ahead[:n] @ move) * local[begin[:n] + step]
+            part = ahead[:n] @ move
+            if step == 0:
+                part[fresh[:n]] = 1.0
+            part *= local[begin[:n] + step]
             ahead[:n] = part / part.sum(1, keepdims=True)
-            out[begin[:n] + step] = ahead[:n]
+            forward[begin[:n] + step] = ahead[:n]
     for step in reversed(range(STRETCH)):
         n = running[step]
         if n:
             at = begin[:n] + step
-            out[at] *= behind[:n]
+            backward[at] = behind[:n]
             part = (behind[:n] * local[at]) @ move.T
             behind[:n] = part / part.sum(1, keepdims=True)
-    return out / out.sum(1, keepdims=True) if count else out
+    return forward, backward, local
 
 
 def fit_crf(texts: list[str], langs: list[str]) -> Crf:
@@ -161,7 +195,7 @@ def fit_crf(texts: list[str], langs: list[str]) -> Crf:
             numbers, owner = word_features(data[ragged(starts[batch], sizes)], upto - sizes, upto)
             scores = np.stack([np.bincount(owner, weights[numbers, n], minlength=len(batch)) for n in range(count)], 1)
             begins = np.append(np.arange(0, len(batch), SEQUENCE), len(batch))
-            chance = forward_backward(scores, begins, transitions)
+            chance, later, pairs = pair_chances(scores, begins, transitions)
             right = truth[batch]
             wrong = chance.copy()
             wrong[np.arange(len(batch)), right] -= 1
@@ -170,18 +204,17 @@ def fit_crf(texts: list[str], langs: list[str]) -> Crf:
                 slope += 1e-7 * weights[:, n]
                 seen[:, n] += slope**2
                 weights[:, n] -= 0.2 * slope / np.sqrt(seen[:, n])
-            # Expected less observed label pairs inside the sequences.
-            inside = np.ones(len(batch), bool)
-            inside[begins[:-1]] = False
-            later = np.flatnonzero(inside)
-            pairs = chance[later - 1][:, :, None] * np.exp(transitions)[None] * (chance[later] / np.maximum(chance[later - 1] @ np.exp(transitions), 1e-12))[:, None, :]
-            expected = (pairs / pairs.sum((1, 2), keepdims=True)).sum(0)
-            observed = np.zeros((count, count))
-            np.add.at(observed, (right[later - 1], right[later]), 1)
-            slope = (expected - observed) / len(batch)
+            slope = transition_slope(pairs, right, later) / len(batch) + PRIOR * transitions
             moved += slope**2
             transitions -= 0.1 * slope / np.sqrt(moved)
-    return Crf(labels, weights, np.clip(transitions, -6, 6))
+    return Crf(labels, weights, transitions)
+
+
+def transition_slope(pairs: np.ndarray, right: np.ndarray, later: np.ndarray) -> np.ndarray:
+    """The gradient of the negative log-likelihood: expected less observed pairs of labels."""
+    observed = np.zeros(pairs.shape[1:])
+    np.add.at(observed, (right[later - 1], right[later]), 1)
+    return pairs.sum(0) - observed
 
 
 class Tagger:
@@ -224,15 +257,13 @@ class Tagger:
 
 
 def learn_languages(docs: DataFrame, chosen: F.Column, lang_col: str = "lang", id_col: str = "doc_id", text_col: str = "text") -> Crf:
-    """A model from at most ``SAMPLE`` rows among ``chosen`` that have a language, those with the least hash of their id."""
-    picked = (
-        docs.where(chosen & quoted(lang_col).isNotNull() & quoted(text_col).isNotNull())
-        .select(quoted(id_col).alias("id"), quoted(lang_col).cast("string").alias("lang"), quoted(text_col).cast("string").alias("text"))
-    )
-    keys = picked.select("id", F.xxhash64("id").alias("rank")).orderBy("rank", "id").limit(SAMPLE).select("id").distinct()
-    rows = picked.join(F.broadcast(keys), "id").select("lang", "text").collect()  # `SAMPLE` bounds both
-    rows = sorted((row["lang"], row["text"]) for row in rows)
-    return fit_crf([text for _, text in rows], [lang for lang, _ in rows])
+    """A model from at most ``SAMPLE`` different rows among ``chosen`` that have a language, evenly over the languages."""
+    known = docs.where(chosen & quoted(lang_col).isNotNull() & quoted(text_col).isNotNull())
+    picked = known.select(quoted(lang_col).cast("string").alias("lang"), quoted(text_col).cast("string").alias("text"))
+    scratch = Scratch(docs.sparkSession, "languages")
+    rows = collected(sample_of(picked, SAMPLE, scratch, "lang"))
+    scratch.drop()
+    return fit_crf([row["text"] for row in rows], [row["lang"] for row in rows])
 
 
 def identify(docs: DataFrame, crf: Crf, text_col: str = "text", carry: list[str] | None = None) -> DataFrame:

@@ -22,6 +22,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gantrylake.llm.rows import quoted
+from gantrylake.llm.sampling import sample_of
+from gantrylake.llm.scratch import Scratch
 from gantrylake.session import fresh_path
 
 # Wording of public licence notices, by family.
@@ -109,6 +111,8 @@ SAMPLE_DOCS, SAMPLE_PARAGRAPHS = 400, 3000
 #: Least share of a paragraph's word triples that the family must hold, or of a template's that the paragraph must,
 #: and least probability.
 SHARED, LEAST = 0.5, 0.5
+#: The share of paragraphs without a notice that may pass the regression (templates are compared after it), and n-grams at most.
+STRAYS, VOCABULARY = 0.01, 1 << 18
 #: Words that a stretch may have beyond its template's, and words beside it that are classified with it.
 SLACK, BESIDE = 4, 4
 
@@ -193,7 +197,7 @@ def unmarked(lines: DataFrame) -> DataFrame:
     return free.join(stretches(own), names, "left_anti").select("text")
 
 
-def training_rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def training_rows(docs: DataFrame, text_col: str, scratch: Scratch) -> DataFrame:
     """(family, tokens): framed templates, short names, and a bounded sample of paragraphs that no cue or template marks."""
     spark = docs.sparkSession
     framed = [
@@ -201,8 +205,8 @@ def training_rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     ]
     framed += [{"family": family, "text": text} for family, texts in SHORT.items() for text in texts for _ in FRAMES]
     known = rows_of(spark, framed, "family:string,text:string")
-    least = docs.select(quoted(id_col).alias("id"), quoted(text_col).cast("string").alias("text")).where("text is not null")
-    least = least.orderBy(F.xxhash64("id"), "id", "text").limit(SAMPLE_DOCS)
+    texts = docs.select(quoted(text_col).cast("string").alias("text")).where("text is not null")
+    least = sample_of(texts, SAMPLE_DOCS, scratch)
     lines = least.select(F.explode(paragraphs(F.col("text"))).alias("text")).where(~F.lower("text").rlike(CUES)).distinct()
     other = unmarked(lines).orderBy(F.xxhash64("text"), "text").limit(SAMPLE_PARAGRAPHS)
     every = known.union(other.select(F.lit(UNKNOWN).alias("family"), "text"))
@@ -223,18 +227,22 @@ class LicenceModel:
         self.families, self.weights, self.intercepts, self.least = families, weights, intercepts, least
 
 
-def fit_licences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> LicenceModel:
+def fit_licences(docs: DataFrame, text_col: str = "text") -> LicenceModel:
     """Fits the regression and calibrates the unknown class on the rows that its hash fold holds out."""
     spark = docs.sparkSession
     families = [*TEMPLATES, UNKNOWN]
     label = F.array_position(F.array(*map(F.lit, families)), F.col("family")) - 1
     folder = fresh_path(spark, "licence-rows")
-    rows = training_rows(docs, id_col, text_col).select(label.cast("double").alias("label"), all_grams(F.col("tokens")).alias("grams"))
+    scratch = Scratch(spark, "licence-sample")
+    rows = training_rows(docs, text_col, scratch).select(label.cast("double").alias("label"), all_grams(F.col("tokens")).alias("grams"))
     rows.withColumn("held", F.pmod(F.xxhash64("grams"), F.lit(5)) == 0).coalesce(2).write.parquet(folder)
+    scratch.drop()
     rows = spark.read.parquet(folder)
     unknown = len(families) - 1
     named = rows.where((F.col("label") != unknown) | F.exists("grams", lambda gram: gram.rlike(CUES)))
-    vector = CountVectorizer(inputCol="grams", outputCol="features", binary=True, vocabSize=1 << 13, minDF=1.0).fit(named)
+    vector = CountVectorizer(inputCol="grams", outputCol="features", binary=True, vocabSize=VOCABULARY, minDF=1.0).fit(named)
+    if len(vector.vocabulary) >= VOCABULARY:
+        raise ValueError("the templates have more n-grams than the vocabulary holds")
     # Every family weighs the same, however many templates it has.
     sizes = rows.groupBy("label").agg((1000 / F.count(F.lit(1))).alias("weight"))
     counted = vector.transform(rows).join(F.broadcast(sizes), "label").persist()
@@ -246,7 +254,7 @@ def fit_licences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     strays = model.transform(counted.where((F.col("label") == unknown) & F.col("held"))).select(
         F.array_max(F.slice(chance, 1, unknown)).alias("best")
     )
-    highest = strays.agg(F.max("best")).first()[0] or 0.0
+    passed = strays.agg(F.percentile("best", F.lit(1 - STRAYS))).first()[0] or 0.0
     counted.unpersist()
     matrix = model.coefficientMatrix.toArray()
     weights = [
@@ -255,7 +263,7 @@ def fit_licences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         if abs(matrix[:, n]).max() > 1e-6
     ]
     table = rows_of(spark, weights, "gram:string,weights:array<double>")
-    return LicenceModel(families, table, [float(x) for x in model.interceptVector], max(LEAST, min(highest, 0.9)))
+    return LicenceModel(families, table, [float(x) for x in model.interceptVector], max(LEAST, passed))
 
 
 def guesses(parts: DataFrame, model: LicenceModel, keys: list[str]) -> DataFrame:

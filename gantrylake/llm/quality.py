@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 
 from gantrylake.llm.arrays import SPACE, SpanHash, blocks, mix, runs
 from gantrylake.llm.rows import quoted, result_schema, unpacked, with_text
+from gantrylake.llm.sampling import labelled_sample
+from gantrylake.llm.scratch import Scratch
 
 #: Hashed features, rows that a model is fitted on at most, and passes over them.
 FEATURES = 1 << 16
@@ -128,20 +130,8 @@ def fit_ordinal(numbers: list[np.ndarray], counts: list[np.ndarray], grades: np.
     return OrdinalModel(weights, thresholds, kinds.astype(float))
 
 
-def graded_sample(docs: DataFrame, labels: DataFrame, grade: str, rows: int, id_col: str, text_col: str) -> DataFrame:
-    """(text, grade) of at most ``rows`` graded documents, those with the least hash of their id."""
-    picked = (
-        labels.where(quoted(grade).isNotNull() & quoted(id_col).isNotNull())
-        .select(quoted(id_col).alias("id"), quoted(grade).cast("double").alias("grade"))
-        .orderBy(F.xxhash64("id"), "id", "grade")
-        .limit(rows)
-    )
-    texts = docs.select(quoted(id_col).alias("id"), quoted(text_col).cast("string").alias("text"))
-    return texts.join(F.broadcast(picked), "id").select("text", "grade").where("text is not null")  # `rows` bounds the broadcast
-
-
 def fit_quality(docs: DataFrame, labels: DataFrame, grade: str = "quality", id_col: str = "doc_id", text_col: str = "text") -> OrdinalModel:
-    """A model of the grades, from at most ``SAMPLE`` graded rows (repeated ids may add a few copies)."""
+    """A model of the grades, from at most ``SAMPLE`` different graded rows."""
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -156,8 +146,12 @@ def fit_quality(docs: DataFrame, labels: DataFrame, grade: str = "quality", id_c
                     [pa.array(own, pa.binary()), pa.array(counts, pa.binary()), rows.column("grade")], ["numbers", "shares", "grade"]
                 )
 
-    sample = graded_sample(docs, labels, grade, SAMPLE, id_col, text_col)
+    scratch = Scratch(docs.sparkSession, "grades")
+    texts = docs.select(quoted(id_col).alias("id"), quoted(text_col).cast("string").alias("text"))
+    known = labels.select(quoted(id_col).alias("id"), quoted(grade).cast("double").alias("label"))
+    sample = labelled_sample(texts, known, SAMPLE, scratch).select("text", F.col("label").alias("grade"))
     rows = sample.mapInArrow(counted, "numbers binary, shares binary, grade double").toArrow().to_pydict()
+    scratch.drop()
     # The order in which rows arrive must not change the model.
     order = sorted(range(len(rows["grade"])), key=lambda n: (rows["numbers"][n], rows["grade"][n]))
     numbers = [np.frombuffer(rows["numbers"][n], "<u4").astype(np.int64) for n in order]

@@ -27,6 +27,10 @@ class Scratch:
         drop_folder(self.spark, self.folder)
         return kept
 
+    def drop(self) -> None:
+        """Drop the folder; nothing may read its tables any more."""
+        drop_folder(self.spark, self.folder)
+
     def _written(self, frame: DataFrame, path: str) -> DataFrame:
         frame.write.option("compression", "zstd").parquet(path)
         return self.spark.read.schema(frame.schema).parquet(path)

@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 
 from gantrylake.llm.arrays import BLOCK_BYTES, LOWER, WORD, HashIndex, SpanHash, blocks, cuts, mix, ragged, runs, text_buffers
 from gantrylake.llm.rows import quoted, result_schema, unpacked, with_text
+from gantrylake.llm.sampling import collected, labelled_sample
+from gantrylake.llm.scratch import Scratch
 
 #: Hashed forms, embedding size, filters of each width, widths.
 FORMS, SIZE, FILTERS, WIDTHS = 1 << 15, 16, 16, (1, 2, 3)
@@ -265,18 +267,14 @@ class Scorer:
 def learn_toxicity(
     docs: DataFrame, labels: DataFrame, chosen: F.Column, label: str = "toxic", lang_col: str = "lang", id_col: str = "doc_id", text_col: str = "text"
 ) -> TextCnn:
-    """A model from at most ``SAMPLE`` labelled rows among ``chosen`` (a condition on the id), those with the least hash of it."""
-    picked = (
-        labels.where(chosen & quoted(label).isNotNull() & quoted(id_col).isNotNull())
-        .select(quoted(id_col).alias("id"), (quoted(label) > 0).cast("int").alias("label"))
-        .orderBy(F.xxhash64("id"), "id", "label")
-        .limit(SAMPLE)
-    )
-    texts = docs.where(quoted(text_col).isNotNull()).select(
-        quoted(id_col).alias("id"), quoted(text_col).cast("string").alias("text"), F.coalesce(quoted(lang_col).cast("string"), F.lit("")).alias("lang")
-    )
-    rows = texts.join(F.broadcast(picked), "id").select("text", "label", "lang").collect()  # `SAMPLE` bounds both
-    return fit_toxicity(sorted((row["text"], row["label"], row["lang"]) for row in rows))
+    """A model from at most ``SAMPLE`` different labelled rows among ``chosen`` (a condition on the id)."""
+    scratch = Scratch(docs.sparkSession, "toxicity")
+    known = labels.where(chosen).select(quoted(id_col).alias("id"), (quoted(label) > 0).cast("int").alias("label"))
+    lang = F.coalesce(quoted(lang_col).cast("string"), F.lit("")).alias("lang")
+    texts = docs.select(quoted(id_col).alias("id"), quoted(text_col).cast("string").alias("text"), lang)
+    rows = collected(labelled_sample(texts, known, SAMPLE, scratch).select("text", "label", "lang"))
+    scratch.drop()
+    return fit_toxicity([(row["text"], row["label"], row["lang"]) for row in rows])
 
 
 def score_toxicity(docs: DataFrame, model: TextCnn, text_col: str = "text", carry: list[str] | None = None) -> DataFrame:
