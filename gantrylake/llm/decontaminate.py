@@ -203,7 +203,7 @@ def contamination(
     occurring window, as sorted text. NULL and empty texts have no words and no hits; an item without
     words has no window; items with the same id count as one, a NULL id as empty text. Repeated documents
     are judged each. An empty item table hits nothing. Documents are never shuffled: bounded blocks of
-    items are broadcast one after the other, and what the passes found is joined in the row.
+    items, dealt by id and text, are broadcast one after the other, and what the passes found is joined in the row.
     """
     spark = docs.sparkSession
     carry = carry or [id_col]
@@ -217,7 +217,7 @@ def contamination(
     )
     schema = result_schema(frame, "text string, spans array<long>, items array<string>, n_words long")
     for n in range(passes):
-        part = selected if passes == 1 else selected.where(F.pmod(F.xxhash64("item"), F.lit(passes)) == n)
+        part = selected if passes == 1 else selected.where(F.pmod(F.xxhash64("item", "text"), F.lit(passes)) == n)
         block = item_windows(sorted((row["item"], row["text"]) for row in part.collect() if row["text"]), width)
         prefixes = Prefixes.of(block, shingle_frequencies(docs, text_col, block))
         last = n == passes - 1

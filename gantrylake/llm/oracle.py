@@ -4,6 +4,31 @@ from __future__ import annotations
 
 SQL: dict[str, str] = {}
 
+_WORDS = r"""coalesce(regexp_extract_all(
+    translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), [])"""
+
+SQL["op5_contamination"] = f"""
+WITH item_words AS (SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item, {_WORDS.format("text")} AS w FROM benchmark),
+sized AS (SELECT item, w, least(10, len(w)) AS size FROM item_words WHERE len(w) > 0),
+item_windows AS (
+    SELECT DISTINCT item, size, array_to_string(w[i : i + size - 1], ' ') AS content
+    FROM (SELECT *, unnest(range(1, len(w) - size + 2)) AS i FROM sized)
+),
+sizes AS (SELECT DISTINCT size FROM item_windows),
+docs AS (SELECT row_number() OVER () AS row, doc_id, {_WORDS.format("text")} AS w FROM documents),
+doc_windows AS (
+    SELECT row, size, i, array_to_string(w[i : i + size - 1], ' ') AS content
+    FROM (SELECT row, w, size, unnest(range(1, len(w) - size + 2)) AS i FROM docs, sizes WHERE len(w) >= size)
+),
+matches AS (SELECT row, size, i, item FROM doc_windows JOIN item_windows USING (size, content)),
+hit AS (SELECT row, count(DISTINCT place) AS n_hit FROM (SELECT row, unnest(range(i, i + size)) AS place FROM matches) GROUP BY row),
+found AS (SELECT row, list_sort(list(DISTINCT item)) AS items FROM matches GROUP BY row)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(len(items), 0) AS BIGINT) AS n_items, sha256(coalesce(array_to_string(items, ','), '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN hit USING (row) LEFT JOIN found USING (row)
+"""
+
 SQL["op11_filter_audit"] = r"""
 WITH texts AS (
     SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS body,
