@@ -99,7 +99,7 @@ def pair_chances(scores: np.ndarray, first: np.ndarray, transitions: np.ndarray)
 def messages(scores: np.ndarray, first: np.ndarray, transitions: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Forward messages (each word's own score included), backward messages (without it), and the words' own factors.
 
-    Sequences are cut into stretches. Each stretch's product of transfer matrices carries messages over it
+    Before a sequence's first word stands one of unknown label, each label being as likely. Sequences are cut into stretches. Each stretch's product of transfer matrices carries messages over it
     in one step, so a very long text costs few steps more than a short one; then messages run
     inside all stretches at once.
     """
@@ -115,16 +115,12 @@ def messages(scores: np.ndarray, first: np.ndarray, transitions: np.ndarray) ->
     # Longest stretches first: those still running are a leading part.
     order = np.argsort(-length, kind="stable")
     begin, length = begin[order], length[order]
-    fresh = (inner == 0)[order]  # nothing moves into a sequence's first word
     running = [int(np.searchsorted(-length, -step, side="left")) for step in range(STRETCH)]
     carry = np.broadcast_to(np.eye(labels), (len(begin), labels, labels)).copy()
     for step in range(STRETCH):
         n = running[step]
         if n:
-            part = (carry[:n].reshape(-1, labels) @ move).reshape(n, labels, labels)
-            if step == 0:
-                part[fresh[:n]] = 1.0
-            part *= local[begin[:n] + step][:, None, :]
+            part = (carry[:n].reshape(-1, labels) @ move).reshape(n, labels, labels) * local[begin[:n] + step][:, None, :]
             carry[:n] = part / part.sum((1, 2), keepdims=True)
     back = np.empty(len(order), np.int64)
     back[order] = np.arange(len(order))
@@ -148,10 +144,7 @@ def messages(scores: np.ndarray, first: np.ndarray, transitions: np.ndarray) ->
     for step in range(STRETCH):
         n = running[step]
         if n:
-            part = ahead[:n] @ move
-            if step == 0:
-                part[fresh[:n]] = 1.0
-            part *= local[begin[:n] + step]
+            part = (ahead[:n] @ move) * local[begin[:n] + step]
             ahead[:n] = part / part.sum(1, keepdims=True)
             forward[begin[:n] + step] = ahead[:n]
     for step in reversed(range(STRETCH)):
@@ -195,7 +188,7 @@ def fit_crf(texts: list[str], langs: list[str]) -> Crf:
             numbers, owner = word_features(data[ragged(starts[batch], sizes)], upto - sizes, upto)
             scores = np.stack([np.bincount(owner, weights[numbers, n], minlength=len(batch)) for n in range(count)], 1)
             begins = np.append(np.arange(0, len(batch), SEQUENCE), len(batch))
-            chance, later, pairs = pair_chances(scores, begins, transitions)
+            chance, _, pairs = pair_chances(scores, begins, transitions)
             right = truth[batch]
             wrong = chance.copy()
             wrong[np.arange(len(batch)), right] -= 1
@@ -204,17 +197,26 @@ def fit_crf(texts: list[str], langs: list[str]) -> Crf:
                 slope += 1e-7 * weights[:, n]
                 seen[:, n] += slope**2
                 weights[:, n] -= 0.2 * slope / np.sqrt(seen[:, n])
-            slope = transition_slope(pairs, right, later) / len(batch) + PRIOR * transitions
+            slope = transition_slope(chance, pairs, right, begins, transitions) / len(batch) + PRIOR * transitions
             moved += slope**2
             transitions -= 0.1 * slope / np.sqrt(moved)
     return Crf(labels, weights, transitions)
 
 
-def transition_slope(pairs: np.ndarray, right: np.ndarray, later: np.ndarray) -> np.ndarray:
-    """The gradient of the negative log-likelihood: expected less observed pairs of labels."""
+def transition_slope(chance: np.ndarray, pairs: np.ndarray, right: np.ndarray, first: np.ndarray, transitions: np.ndarray) -> np.ndarray:
+    """The gradient of the negative log-likelihood: expected pairs of labels, by the model less by the right labels.
+
+    The label before a sequence's first word is unknown under both.
+    """
+    begins = first[:-1][np.diff(first) > 0]
+    inside = np.ones(len(right), bool)
+    inside[begins] = False
+    later = np.flatnonzero(inside)
     observed = np.zeros(pairs.shape[1:])
     np.add.at(observed, (right[later - 1], right[later]), 1)
-    return pairs.sum(0) - observed
+    unknown = np.exp(transitions - transitions.max())
+    unknown /= unknown.sum(0)
+    return pairs.sum(0) - observed + unknown * (chance[begins].sum(0) - np.bincount(right[begins], minlength=len(unknown)))
 
 
 class Tagger:

@@ -20,10 +20,12 @@ def chains(seed, labels=3):
 
 
 def paths(scores, transitions):
-    """Every path of one sequence with its weight."""
+    """Every path of one sequence with its weight; an empty sequence has none."""
+    if not len(scores):
+        return
     for path in itertools.product(range(scores.shape[1]), repeat=len(scores)):
         total = sum(scores[n, label] for n, label in enumerate(path)) + sum(transitions[a, b] for a, b in zip(path, path[1:], strict=False))
-        yield path, np.exp(total)
+        yield path, np.exp(total) * np.exp(transitions)[:, path[0]].sum()  # the label before the first word is unknown
 
 
 @pytest.mark.parametrize("seed", range(10))
@@ -52,11 +54,12 @@ def test_transition_gradient_by_finite_differences():
         for a, b in zip(first, first[1:], strict=False):
             if a < b:
                 own = sum(scores[n, right[n]] for n in range(a, b)) + sum(moved[right[n - 1], right[n]] for n in range(a + 1, b))
+                own += np.log(np.exp(moved)[:, right[a]].sum())
                 out += np.log(sum(weight for _, weight in paths(scores[a:b], moved))) - own
         return out
 
-    _, later, pairs = language.pair_chances(scores, first, transitions)
-    slope = language.transition_slope(pairs, right, later)
+    chance, _, pairs = language.pair_chances(scores, first, transitions)
+    slope = language.transition_slope(chance, pairs, right, first, transitions)
     for a, b in itertools.product(range(3), repeat=2):
         step = np.zeros((3, 3))
         step[a, b] = 1e-5
