@@ -28,7 +28,7 @@ from gantrylake.llm.arrays import LOWER, SPACE, SpanHash, blocks, content_ids, m
 from gantrylake.llm.bitmap import bitmap_of, may_hold, rarity, rarity_table
 from gantrylake.llm.components import connected_components
 from gantrylake.llm.rows import quoted
-from gantrylake.llm.scratch import Scratch
+from gantrylake.llm.scratch import Scratch, small_batches
 
 #: Bits of a sketch block, and blocks per block that must be looked at. Blocks travel as hashes, so their width costs
 #: nothing; wide ones agree only where sets share shingles, not by chance, however many sets there are.
@@ -38,7 +38,7 @@ SPARE = 1.25
 BAND = 1.5
 #: Sets of a bucket that are compared in one piece of work, and bits of a whole sketch per differing shingle.
 TILE = 2048
-WHOLE_BITS = 8
+WHOLE_BITS = 4
 #: Blocks of its own that are told apart when a centre is chosen.
 OWN_LIMIT = (1 << 15) - 1
 _BIT_CODE = np.uint64(0x6A09E667F3BCC909)
@@ -346,6 +346,11 @@ def near_duplicates(
     and stand alone under their own id. Rows with equal sets (copies, repeated rows) are one node. NULL ids
     do not name a component unless no other id is in it. An empty table gives no rows.
     """
+    with small_batches(docs.sparkSession):
+        return _near_duplicates(docs, width, percent, id_col, text_col)
+
+
+def _near_duplicates(docs: DataFrame, width: int, percent: int, id_col: str, text_col: str) -> DataFrame:
     spark = docs.sparkSession
     scratch = Scratch(spark, "near-duplicates")
     rows = scratch.write(sketched(docs, width, percent, id_col, text_col), "sketches")

@@ -2,12 +2,31 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 
 from gantrylake.session import fresh_path
 from gantrylake.sinks.lake import drop_folder
 
 
+#: Rows that go to a Python worker at a time where each may hold two texts.
+BATCH_ROWS = 1000
+
+
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Fewer rows in each Arrow batch of the jobs inside: executor and worker both hold a batch, beside what they work on."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(min(BATCH_ROWS, int(before)) if int(before) > 0 else BATCH_ROWS))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 class Scratch:
     """A folder below the shared one, where every table that cuts lineage is written."""
 
