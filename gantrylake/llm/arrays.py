@@ -81,11 +81,18 @@ _SHIFT = np.uint64(31)
 _BASES = (0x2545F491, 0x5851F42D)
 
 
+def folded(values: np.ndarray) -> np.ndarray:
+    """Smaller values that are the same modulo ``PRIME``: below 2**32 for values below 2**62, below 2**34 for any."""
+    high = values >> _SHIFT
+    high += values & PRIME
+    return high
+
+
 def residue(values: np.ndarray) -> np.ndarray:
-    """Values below 2**62 modulo ``PRIME``."""
-    values = (values & PRIME) + (values >> _SHIFT)
-    values = (values & PRIME) + (values >> _SHIFT)
-    return np.where(values == PRIME, np.uint64(0), values)
+    """Values modulo ``PRIME``."""
+    values = folded(folded(values))
+    values[values >= PRIME] -= PRIME
+    return values
 
 
 def _powers(size: int, lane: int, down: bool = False) -> np.ndarray:
@@ -117,7 +124,7 @@ class SpanHash:
             else:
                 codes = _CODES[lane][symbols]
             sums = np.zeros(len(symbols) + 1, np.uint64)
-            np.cumsum(residue(codes * _powers(len(symbols), lane)), out=sums[1:])
+            np.cumsum(folded(codes * _powers(len(symbols), lane)), out=sums[1:])
             self.sums.append(sums)
             self.back.append(_powers(len(symbols) + 1, lane, True))
 
@@ -125,14 +132,14 @@ class SpanHash:
         return mix((lanes[0] << _SHIFT) | lanes[1])
 
     def __call__(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        return self._joined([residue(residue(sums[ends] - sums[starts]) * back[starts]) for sums, back in zip(self.sums, self.back, strict=True)])
+        return self._joined([residue(folded(sums[ends] - sums[starts]) * back[starts]) for sums, back in zip(self.sums, self.back, strict=True)])
 
     def windows(self, width: int) -> np.ndarray:
         """Hashes of all spans of one width."""
         total = len(self.sums[0]) - width
         if total <= 0:
             return np.zeros(0, np.uint64)
-        lanes = [residue(residue(sums[width:] - sums[:-width]) * back[:total]) for sums, back in zip(self.sums, self.back, strict=True)]
+        lanes = [residue(folded(sums[width:] - sums[:-width]) * back[:total]) for sums, back in zip(self.sums, self.back, strict=True)]
         return self._joined(lanes)
 
 

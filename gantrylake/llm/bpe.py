@@ -154,9 +154,12 @@ class Encoder:
         sizes = ends - begins
         wrong = sizes != self.kept_sizes[slots]
         alike = np.flatnonzero(~wrong)
-        own = ragged(begins[alike], sizes[alike])
-        its = ragged(self.kept_starts[slots[alike]], sizes[alike])
-        unequal = codes[own] != self.kept[its]
+        its = self.kept[ragged(self.kept_starts[slots[alike]], sizes[alike])]
+        if len(alike) == len(sizes) and len(sizes):  # pieces follow one another without a gap
+            own = codes[begins[0] : ends[-1]]
+        else:
+            own = codes[ragged(begins[alike], sizes[alike])]
+        unequal = own != its
         if unequal.any():
             wrong[np.repeat(alike, sizes[alike])[unequal]] = True
         return np.flatnonzero(wrong)
