@@ -235,6 +235,25 @@ def test_stream_sets_damaged_files_aside_and_goes_on(spark, tmp_path):
     assert aside == {"bad.csv.gz": ("the file ends early", 2), "worse.csv.gz": ("the file ends early", 2)}
 
 
+def test_rows_with_verdicts_are_counted_by_hash(spark, tmp_path):
+    put(tmp_path / "good.csv.gz", 5)
+    put(tmp_path / "cut.csv.gz", 5, 0.1)
+    (tmp_path / "mixed.csv.gz").write_bytes(gzip.compress(f"{LINE}\n{LINE}\nabc{LINE}\nabc{LINE}\n".encode()))
+    checked = read_checked(file_list(spark, str(tmp_path)))
+    tally = hourly.tally_trips(checked, TARGETS, 2026, 3)
+    plan = tally._jdf.queryExecution().sparkPlan().toString().splitlines()
+    below = plan[[n for n, line in enumerate(plan) if "Aggregate(" in line][-1] :]
+    assert "HashAggregate(" in below[0] and not any("Sort" in line for line in below)
+    rows = sorted((os.path.basename(r.file_name), r.Day, r.scanned, r.cleaned, r.verdict) for r in tally.fillna(0, ["Day"]).collect())
+    assert rows == [
+        ("cut.csv.gz", 0, 0, 0, "the file ends early"),
+        ("good.csv.gz", 0, 0, 0, SOUND),
+        ("good.csv.gz", 1, 5, 5, None),
+        ("mixed.csv.gz", 0, 2, 0, SOUND),
+        ("mixed.csv.gz", 1, 2, 2, None),
+    ]
+
+
 def test_listing_in_tasks(spark, tmp_path):
     for name in ("a.csv", "x/b.csv.gz", "x/y/c.CSV", "x/y/_hidden/d.csv", "day=1/e.csv", ".f.csv"):
         put(tmp_path / name, 1)
